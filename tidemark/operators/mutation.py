@@ -24,10 +24,14 @@ def merge_upsert(
     if newest is not None:
         source = latest_by(source, keys, newest)
     else:
-        twice = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
         clash = F.raise_error(F.concat(F.lit("source key occurs twice: "), F.to_json(F.struct(*keys))))
-        # A guard with no rows unless a key clashes; reading it raises.
-        guard = twice.select(*keys).filter(clash.cast("boolean").isNotNull())
+        # No row passes the guard; a clashing key raises when it is counted.
+        guard = (
+            source.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("__n"))
+            .filter(F.when(F.col("__n") > 1, clash.cast("boolean")).otherwise(F.lit(False)))
+            .select(*keys)
+        )
         source = source.join(guard, list(keys), "left_anti")
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.unionByName(source.select(*target.columns))

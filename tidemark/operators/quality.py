@@ -144,9 +144,10 @@ def drift(baseline: DataFrame, current: DataFrame, column: str, buckets: int = 1
     cuts = baseline.agg(F.percentile_approx(column, shares, 100_000)).scalar()
 
     def counted(df: DataFrame, side: str) -> DataFrame:
-        part = df.filter(F.col(column).isNotNull()).select(
-            F.size(F.filter(cuts, lambda c: c < F.col(column))).alias("bucket")
-        )
+        below = F.lit(0)
+        for i in range(buckets - 1):
+            below = below + (cuts[i] < F.col(column)).cast("int")
+        part = df.filter(F.col(column).isNotNull()).select(below.alias("bucket"))
         return part.groupBy("bucket").agg(F.count(F.lit(1)).alias(side))
 
     def stats(df: DataFrame, side: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Registered queries, one module per family."""
 
-from tidemark.plans import changes, governance, quality, relational, windows  # noqa: F401
+from tidemark.plans import changes, governance, quality, relational, storage, streams, windows  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
