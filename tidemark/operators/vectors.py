@@ -1,12 +1,206 @@
-"""Placeholder, filled below."""
-from pyspark.sql import Window as W, functions as F
+"""Top-k per key and nearest vectors by cosine."""
 
+from __future__ import annotations
 
-def lateral_topk(outer, inner, keys, order, k):
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+from tidemark.session import settle
+
+# Query vectors a task may hold; above it both sides are cut into blocks.
+QUERY_BYTES = 16 * 1024 * 1024
+
+
+def lateral_topk(
+    outer: DataFrame, inner: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int
+) -> DataFrame:
     """For each outer row its best ``k`` inner rows by key.
 
     The inner side is cut to ``k`` rows per key before it is shuffled, then joined.
     """
+    return outer.join(topk(inner, keys, order, k), list(keys))
+
+
+def topk(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str | None = None) -> DataFrame:
     best = W.partitionBy(*keys).orderBy(*order)
-    top = inner.withColumn("__rn", F.row_number().over(best)).filter(F.col("__rn") <= k).drop("__rn")
-    return outer.join(top, list(keys))
+    out = df.withColumn("__rn", F.row_number().over(best)).filter(F.col("__rn") <= k)
+    return out.withColumnRenamed("__rn", rank) if rank else out.drop("__rn")
+
+
+def mean_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """Mean vector per key, summed on the map side."""
+    mean = Summarizer.mean(array_to_vector(F.col(vector).cast("array<double>")))
+    return df.groupBy(key).agg(vector_to_array(mean).alias(vector))
+
+
+def cosine(a: Column, b: Column) -> Column:
+    """Cosine of two array columns of equal length; null when one is all zero."""
+    a, b = a.cast("array<double>"), b.cast("array<double>")
+
+    def total(xs: Column) -> Column:
+        return F.aggregate(xs, F.lit(0.0), lambda s, x: s + x)
+
+    dot = total(F.zip_with(a, b, lambda x, y: x * y))
+    norm = F.sqrt(total(F.transform(a, lambda x: x * x))) * F.sqrt(total(F.transform(b, lambda x: x * x)))
+    return dot / F.nullif(norm, F.lit(0.0))
+
+
+def _unit(rows) -> np.ndarray:
+    m = np.stack([np.asarray(r, dtype=np.float64) for r in rows])
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.divide(m, norm, out=np.full_like(m, np.nan), where=norm > 0)
+
+
+def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` best of each column by score, smaller id on a tie; undefined scores last."""
+    s = np.where(np.isnan(scores), -np.inf, np.round(scores, 9))
+    if len(s) > 4 * k:
+        # Keep everything not below the k-th score, so ties are settled by id.
+        floor = np.partition(s, len(s) - k, axis=0)[len(s) - k]
+        rows = (s >= floor).any(axis=1)
+        s, ids = s[rows], (ids[rows] if ids.ndim == 1 else ids[rows, :])
+    if ids.ndim == 1:
+        ids = np.repeat(ids[:, None], s.shape[1], axis=1)
+    order = np.lexsort((ids, -s), axis=0)[:k]
+    return np.take_along_axis(s, order, axis=0), np.take_along_axis(ids, order, axis=0)
+
+
+def _rows(qids: np.ndarray, s: np.ndarray, ids: np.ndarray) -> pd.DataFrame:
+    out = pd.DataFrame(
+        {"query_id": np.repeat(qids[None, :], len(s), axis=0).ravel(), "id": ids.ravel(), "score": s.ravel()}
+    )
+    return out[np.isfinite(out["score"])]
+
+
+RESULT = "query_id long, id long, score double"
+
+
+def nearest(
+    corpus: DataFrame, id: str, vector: str, queries: DataFrame, k: int, limit: int = QUERY_BYTES
+) -> DataFrame:
+    """The ``k`` most similar corpus vectors of each query, exact.
+
+    ``queries(query_id, vector)``. When the query vectors fit ``limit`` bytes
+    every task scores its part of the corpus in one matrix product per batch and
+    hands on only its own ``k`` best per query; otherwise ``nearest_blocks`` is
+    used. Score pairs are never rows.
+    """
+    n, width = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vector)), F.lit(0))).first()
+    if n * width * 8 > limit:
+        return nearest_blocks(corpus, id, vector, queries, k)
+    found = queries.select("query_id", vector).collect()
+    if not found:
+        return corpus.sparkSession.createDataFrame([], RESULT + ", rank int")
+    qids = np.array([r[0] for r in found], dtype=np.int64)
+    q = _unit([r[1] for r in found])
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = None
+        for pdf in batches:
+            if len(pdf):
+                s, ids = _best(_unit(pdf["v"]) @ q.T, pdf["id"].to_numpy(), k)
+                if best is not None:
+                    s, ids = np.vstack([best[0], s]), np.vstack([best[1], ids])
+                    s, ids = _best(s, ids, k)
+                best = (s, ids)
+        if best is not None:
+            yield _rows(qids, *best)
+
+    part = corpus.select(F.col(id).alias("id"), F.col(vector).alias("v")).mapInPandas(score, RESULT)
+    return topk(part, ["query_id"], [F.desc("score"), F.asc("id")], k, rank="rank")
+
+
+def nearest_blocks(
+    corpus: DataFrame,
+    id: str,
+    vector: str,
+    queries: DataFrame,
+    k: int,
+    cell: str | None = None,
+    corpus_rows: int = 20_000,
+    query_rows: int = 2_000,
+) -> DataFrame:
+    """``nearest`` for query sets of any size: blocks of both sides meet in tasks.
+
+    Blocks come from a hash of the unique id, so no block is larger than the
+    others; a task sees one block of each side and emits ``k`` rows per query.
+    With ``cell`` a query row meets only corpus rows of the same cell.
+    """
+    cblocks = max(1, -(-corpus.count() // corpus_rows))
+    qblocks = max(1, -(-queries.count() // query_rows))
+    at = F.col(cell) if cell else F.lit(0)
+
+    def block(c: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+
+    left = corpus.select(
+        F.col(id).alias("id"),
+        F.col(vector).alias("v"),
+        at.alias("cell"),
+        block(id, cblocks).alias("cb"),
+        F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1))).alias("qb"),
+    )
+    right = queries.select(
+        "query_id",
+        F.col(vector).alias("v"),
+        at.alias("cell"),
+        F.explode(F.sequence(F.lit(0), F.lit(cblocks - 1))).alias("cb"),
+        block("query_id", qblocks).alias("qb"),
+    )
+
+    def score(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if c.empty or q.empty:
+            return pd.DataFrame({"query_id": [], "id": [], "score": []}).astype(
+                {"query_id": "int64", "id": "int64"}
+            )
+        s, ids = _best(_unit(c["v"]) @ _unit(q["v"]).T, c["id"].to_numpy(), k)
+        return _rows(q["query_id"].to_numpy(), s, ids)
+
+    keys = ["cell", "cb", "qb"]
+    part = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, RESULT)
+    return topk(part, ["query_id"], [F.desc("score"), F.asc("id")], k, rank="rank")
+
+
+class HyperplaneIndex:
+    """Approximate search: vectors stored by the side of ``bits`` random planes they lie on.
+
+    The table is partitioned by that cell, so a search reads only the cells
+    within ``reach`` flipped bits of its queries and ranks them exactly.
+    """
+
+    def __init__(self, path: str, dim: int, bits: int = 4, seed: int = 11):
+        self.path, self.bits = path, bits
+        self.planes = np.random.default_rng(seed).normal(size=(bits, dim))
+
+    def _cells(self, vector: str, reach: int = 0) -> Column:
+        planes, bits = self.planes, self.bits
+        near = np.array([m for m in range(1 << bits) if bin(m).count("1") <= reach], dtype=np.int32)
+
+        @F.pandas_udf("array<int>")
+        def cells(vectors: pd.Series) -> pd.Series:
+            if not len(vectors):
+                return pd.Series([], dtype=object)
+            m = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+            own = ((m @ planes.T) > 0) @ (1 << np.arange(bits))
+            return pd.Series([near ^ int(b) for b in own])
+
+        return cells(vector)
+
+    def write(self, corpus: DataFrame, id: str, vector: str) -> None:
+        rows = corpus.select(F.col(id).alias("id"), F.col(vector).alias("v"))
+        rows = rows.withColumn("cell", F.element_at(self._cells("v"), 1))
+        rows.write.mode("overwrite").partitionBy("cell").parquet(self.path)
+
+    def search(self, queries: DataFrame, vector: str, k: int, reach: int = 1) -> DataFrame:
+        """Partial lists per (query, cell block) are merged; a vector is in one cell only."""
+        probes = queries.select("query_id", F.col(vector).alias("v"), F.explode(self._cells(vector, reach)).alias("cell"))
+        probes = settle(probes, "probes")
+        # At most 2**bits values; partitions outside the list are not read.
+        cells = [r[0] for r in probes.select("cell").distinct().collect()]
+        stored = queries.sparkSession.read.parquet(self.path).filter(F.col("cell").isin(cells))
+        return nearest_blocks(stored, "id", "v", probes, k, cell="cell")
