@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once.
+
+    A column named inside a lambda is evaluated for every element; a lambda
+    variable is not.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def clean(c: Column) -> Column:
     """Trimmed, with every run of white space as one blank."""
     return F.trim(F.regexp_replace(c, r"[ \t\n\r\f]+", " "))
@@ -30,7 +41,6 @@ def chunks(c: Column, size: int = 300, overlap: int = 0) -> Column:
     Only lengths and start positions go through the fold, the texts are cut
     once at the end, so the cost stays linear in the text.
     """
-    parts = sentences(c)
     start = F.struct(
         F.array().cast("array<int>").alias("starts"),
         F.lit(0).alias("used"),
@@ -45,29 +55,36 @@ def chunks(c: Column, size: int = 300, overlap: int = 0) -> Column:
             (state["at"] + 1).alias("at"),
         )
 
-    starts = F.aggregate(F.transform(parts, F.length), start, add, lambda s: s["starts"])
+    def cut_all(parts: Column) -> Column:
+        starts = F.aggregate(F.transform(parts, F.length), start, add, lambda s: s["starts"])
+        return bind(starts, lambda begins: F.transform(begins, cut(parts, begins)))
+
+    def cut(parts: Column, begins: Column):
+        def one(begin: Column, i: Column) -> Column:
+            end = F.coalesce(F.get(begins, i + 1), F.size(parts))
+            first = F.greatest(begin - overlap, F.lit(0))
+            text = F.trim(F.array_join(F.slice(parts, first + 1, end - first), ". "))
+            closed = F.when(text.endswith("."), text).otherwise(F.concat(text, F.lit(".")))
+            return F.struct(i.alias("chunk_index"), closed.alias("chunk_text"))
 
-    def cut(begin: Column, i: Column) -> Column:
-        end = F.coalesce(F.get(starts, i + 1), F.size(parts))
-        first = F.greatest(begin - overlap, F.lit(0))
-        text = F.trim(F.array_join(F.slice(parts, first + 1, end - first), ". "))
-        closed = F.when(text.endswith("."), text).otherwise(F.concat(text, F.lit(".")))
-        return F.struct(i.alias("chunk_index"), closed.alias("chunk_text"))
+        return one
 
-    return F.when(F.trim(c) != "", F.transform(starts, cut))
+    return F.when(F.trim(c) != "", bind(sentences(c), cut_all))
 
 
 def shingles(c: Column, n: int = 3) -> Column:
     """Hashes of the distinct runs of ``n`` words; shorter texts hash as a whole."""
-    w = words(c)
-    runs = F.when(
-        F.size(w) >= n,
-        F.transform(
-            F.sequence(F.lit(1), F.size(w) - (n - 1)),
-            lambda i: F.xxhash64(*[F.element_at(w, i + k) for k in range(n)]),
-        ),
-    ).otherwise(F.array(F.xxhash64(F.array_join(w, " "))))
-    return F.array_distinct(runs)
+
+    def runs(w: Column) -> Column:
+        return F.when(
+            F.size(w) >= n,
+            F.transform(
+                F.sequence(F.lit(1), F.size(w) - (n - 1)),
+                lambda i: F.xxhash64(*[F.element_at(w, i + k) for k in range(n)]),
+            ),
+        ).otherwise(F.array(F.xxhash64(F.array_join(w, " "))))
+
+    return F.array_distinct(bind(words(c), runs))
 
 
 def hash_share(c: Column, digits: int = 6) -> Column:

@@ -123,14 +123,16 @@ def top_sentences(df: DataFrame, group: str, doc_id: str, text: str, min_words:
 
 def best_sentence(question: Column, answer: Column) -> Column:
     """The answer's sentence sharing the most distinct words with the question, first on a tie."""
-    asked = tx.words(question)
-    rated = F.transform(
-        tx.sentences(answer),
-        lambda s, i: F.struct(
-            F.size(F.array_intersect(tx.words(s), asked)).alias("overlap"), (-i).alias("late"), s.alias("sentence")
-        ),
-    )
-    return F.array_max(rated)
+
+    def rate(asked: Column) -> Column:
+        return F.transform(
+            tx.sentences(answer),
+            lambda s, i: F.struct(
+                F.size(F.array_intersect(tx.words(s), asked)).alias("overlap"), (-i).alias("late"), s.alias("sentence")
+            ),
+        )
+
+    return F.array_max(tx.bind(tx.words(question), rate))
 
 
 def token_scores(df: DataFrame, key: Sequence[str], answer: str, expected: str) -> DataFrame:
