@@ -63,14 +63,14 @@ def asof_join(
     right_time: str,
     features: Sequence[str],
     tie: str | None = None,
-    segment: Column | None = None,
+    segment=segmented.AUTO,
 ) -> DataFrame:
     """Every left row with the key's latest right row at or before its time.
 
     Both sides are stacked and the last feature row is carried forward, so
     there is no fan-out and no row pairs. A feature at the same instant counts;
     of several at one instant the one with the highest ``tie`` wins.
-    ``segment`` is a function of ``__time`` and defaults to its day.
+    ``segment`` is a function of ``__time``.
     """
     row = F.struct(*[F.col(c) for c in left.columns])
     seen = F.struct(*[F.col(c) for c in features])
@@ -92,10 +92,8 @@ def asof_join(
         seen.alias("__seen"),
     )
     both = l.unionByName(r)
-    day = F.date_trunc("day", F.col("__time")) if segment is None else segment
-    carried = segmented.last_seen(
-        both, keys, ["__time", "__side", "__tie"], day, "__seen", "__latest"
-    )
+    order = ["__time", "__side", "__tie"]
+    carried = segmented.last_seen(both, keys, order, "__seen", "__latest", segment)
     return carried.filter(F.col("__side") == 1).select("__row.*", *[f"__latest.{c}" for c in features])
 
 

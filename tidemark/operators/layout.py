@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.segmented import search
+
 
 def write_clustered(df: DataFrame, path: str, by: Sequence[str], files: int) -> None:
     """Range-partition and sort by ``by`` so that row-group statistics can skip files."""
@@ -28,17 +30,7 @@ def range_ids(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame
     n = 2**bits
     shares = [i / n for i in range(1, n)]
     cuts = df.agg(*[F.percentile_approx(c, shares, 10_000).alias(c) for c in columns]).first()
-    for i, c in enumerate(columns):
-        # Nested halving: ``bits`` comparisons find the range.
-        df = df.withColumn(f"__r{i}", _search(F.col(c), cuts[c], 0, n - 1))
-    return df
-
-
-def _search(c: Column, cuts: Sequence, low: int, high: int) -> Column:
-    if low == high:
-        return F.lit(low)
-    mid = (low + high) // 2
-    return F.when(c <= F.lit(cuts[mid]), _search(c, cuts, low, mid)).otherwise(_search(c, cuts, mid + 1, high))
+    return df.withColumns({f"__r{i}": search(F.col(c), cuts[c]) for i, c in enumerate(columns)})
 
 
 def write_zordered(df: DataFrame, path: str, by: Sequence[str], files: int, bits: int = 6) -> None:

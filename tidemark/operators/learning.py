@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.text import hash_share
 from tidemark.operators import segmented
 
 
@@ -37,8 +38,8 @@ def stratified_split(df: DataFrame, id: str, label: str, fifths: int = 4) -> Dat
 
     Positions come from segmented ranks, so a label may hold most of the rows.
     """
-    hashed = df.withColumn("__h", F.md5(F.col(id).cast("string")))
-    placed = segmented.row_position(hashed, [label], ["__h", id], F.substring("__h", 1, 2), "__rn")
+    hashed = df.withColumn("__h", hash_share(F.col(id), 8))
+    placed = segmented.row_position(hashed, [label], ["__h", id], "__rn")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
     part = F.when(F.col("__rn") * 5 <= F.col("__n") * fifths, "train").otherwise("test")
     return placed.join(sizes, label).withColumn("split", part).drop("__h", "__rn", "__n")
@@ -47,37 +48,33 @@ def stratified_split(df: DataFrame, id: str, label: str, fifths: int = 4) -> Dat
 # --- scores -----------------------------------------------------------------
 
 
-def roc_curve(df: DataFrame, label: str, score: str, segment: Column | None = None) -> DataFrame:
+def roc_curve(df: DataFrame, label: str, score: str, segment=segmented.AUTO) -> DataFrame:
     """Rows per distinct score with the true and false positives at that threshold.
 
     Scores are counted first, then summed from the top in segments, so neither
-    many rows nor many scores meet in one task. ``segment`` must not decrease as
-    the score falls; the default suits scores in [0, 1].
+    many rows nor many scores meet in one task.
     """
     levels = df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.sum(1 - F.col(label).cast("long")).alias("neg")
     )
     down = levels.withColumn("__down", -F.col("threshold"))
-    seg = F.floor(F.col("__down") * 64) if segment is None else segment
-    tp = segmented.running_sum(down, [], ["__down"], seg, "pos", "tp")
-    return segmented.running_sum(tp, [], ["__down"], seg, "neg", "fp").drop("__down")
+    if segment is segmented.AUTO:
+        segment = segmented.plan(down, [], ["__down"])
+    tp = segmented.running_sum(down, [], ["__down"], "pos", "tp", segment)
+    return segmented.running_sum(tp, [], ["__down"], "neg", "fp", segment).drop("__down")
 
 
-def auc(df: DataFrame, label: str, score: str, segment: Column | None = None) -> DataFrame:
+def auc(df: DataFrame, label: str, score: str, segment=segmented.AUTO) -> DataFrame:
     """Area under the ROC curve; tied scores count half."""
     curve = roc_curve(df, label, score, segment)
-    # Negatives below a score: all of them minus those at or above it.
-    wins = F.col("pos") * (F.col("all_neg") - F.col("fp") + F.col("neg") / 2)
-    totals = df.agg(
-        F.sum(F.col(label).cast("long")).alias("all_pos"), F.sum(1 - F.col(label).cast("long")).alias("all_neg")
-    ).withColumn("__one", F.lit(1))
-    return (
-        curve.withColumn("__one", F.lit(1))
-        .join(totals, "__one")
-        .groupBy("all_pos", "all_neg")
-        .agg(F.sum(wins).alias("wins"))
-        .select((F.col("wins") / (F.col("all_pos") * F.col("all_neg"))).alias("auc"))
+    # Products of row counts outgrow a long.
+    pos, neg, fp = (F.col(c).cast("double") for c in ("pos", "neg", "fp"))
+    # A positive wins against the negatives below it: all of them less those at or above.
+    sums = curve.agg(
+        F.sum(pos).alias("p"), F.sum(neg).alias("n"), F.sum(pos * fp).alias("above"), F.sum(pos * neg).alias("tied")
     )
+    p, n = F.col("p"), F.col("n")
+    return sums.select(((p * n - F.col("above") + F.col("tied") / 2) / (p * n)).alias("auc"))
 
 
 def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:

@@ -59,25 +59,24 @@ def scd2(
     effective_from: str,
     tracked: Sequence[str],
     skip_unchanged: bool = False,
-    segment: Column | None = None,
+    segment=segmented.AUTO,
 ) -> DataFrame:
     """Validity chain per key: ``[effective_from, effective_to)`` and ``is_current``.
 
     ``versions`` holds the open and the arriving rows, one per key and start.
     With ``skip_unchanged`` a row equal to its predecessor opens no version.
-    ``segment`` must not decrease with ``effective_from``; default is its month.
     """
-    seg = F.date_trunc("month", F.col(effective_from)) if segment is None else segment
+    order = [effective_from]
+    if segment is segmented.AUTO:
+        segment = segmented.plan(versions, keys, order)
     chain = versions
     if skip_unchanged:
         mark = "__mark"
         chain = chain.withColumn(mark, F.md5(F.to_json(F.struct(*tracked))))
-        chain = segmented.neighbour(chain, keys, [effective_from], seg, mark, "__before")
+        chain = segmented.neighbour(chain, keys, order, mark, "__before", segment)
         changed = F.col("__before").isNull() | (F.col("__before") != F.col(mark))
         chain = chain.filter(changed).drop(mark, "__before")
-    chain = segmented.neighbour(
-        chain, keys, [effective_from], seg, effective_from, "effective_to", following=True
-    )
+    chain = segmented.neighbour(chain, keys, order, effective_from, "effective_to", segment, following=True)
     return chain.withColumn("is_current", F.col("effective_to").isNull())
 
 

@@ -150,30 +150,21 @@ def drift(baseline: DataFrame, current: DataFrame, column: str, buckets: int = 1
         part = df.filter(F.col(column).isNotNull()).select(below.alias("bucket"))
         return part.groupBy("bucket").agg(F.count(F.lit(1)).alias(side))
 
-    def stats(df: DataFrame, side: str) -> DataFrame:
-        return df.agg(
-            F.avg(column).alias(f"mean_{side}"),
-            F.stddev(column).alias(f"sd_{side}"),
-            F.count(column).alias(f"n_{side}"),
-        ).withColumn("one", F.lit(1))
-
-    both = stats(baseline, "b").join(stats(current, "c"), "one")
-    per_bucket = (
-        counted(baseline, "b").join(counted(current, "c"), "bucket", "full_outer").fillna(0).withColumn("one", F.lit(1))
-    )
-    p = F.greatest(F.col("b") / F.col("n_b"), F.lit(1e-6))
-    q = F.greatest(F.col("c") / F.col("n_c"), F.lit(1e-6))
-    return (
-        per_bucket.join(both, "one")
-        .groupBy("mean_b", "mean_c", "sd_b", "sd_c")
-        .agg(F.sum((q - p) * F.ln(q / p)).alias("psi"))
-        .select(
-            F.round("mean_b", 4).alias("baseline_mean"),
-            F.round("mean_c", 4).alias("current_mean"),
-            F.round((F.col("mean_c") - F.col("mean_b")) / F.col("sd_b"), 6).alias("mean_shift"),
-            F.round(F.col("sd_c") / F.col("sd_b"), 6).alias("sd_ratio"),
-            F.round("psi", 6).alias("psi"),
-        )
+    def stats(df: DataFrame) -> Column:
+        row = F.struct(F.avg(column).alias("mean"), F.stddev(column).alias("sd"), F.count(column).alias("n"))
+        return df.agg(row).scalar()
+
+    b, c = stats(baseline), stats(current)
+    per_bucket = counted(baseline, "b").join(counted(current, "c"), "bucket", "full_outer").fillna(0)
+    p = F.greatest(F.col("b") / b["n"], F.lit(1e-6))
+    q = F.greatest(F.col("c") / c["n"], F.lit(1e-6))
+    psi = per_bucket.select(((q - p) * F.ln(q / p)).alias("part")).agg(F.sum("part").alias("psi"))
+    return psi.select(
+        F.round(b["mean"], 4).alias("baseline_mean"),
+        F.round(c["mean"], 4).alias("current_mean"),
+        F.round((c["mean"] - b["mean"]) / b["sd"], 6).alias("mean_shift"),
+        F.round(c["sd"] / b["sd"], 6).alias("sd_ratio"),
+        F.round("psi", 6).alias("psi"),
     )
 
 

@@ -1,14 +1,17 @@
 """Ordered windows for keys of any size.
 
-A plain ``Window.partitionBy(key)`` sends all rows of a key to one task, which
-fails when one key holds a third of the table. Here the rows of a key are cut
-into *segments* along the order (a day, a price band): windows run inside
-(key, segment), one small summary row per segment is carried forward along the
-key, and the two are added. The large side is shuffled once, on
+A plain ``Window.partitionBy(key)`` sends all rows of a key to one task. That
+is the best plan while the largest key fits a task, and a failure when one key
+holds a third of the table. ``plan`` measures the largest key; above
+``MAX_ROWS`` the rows of a key are cut into *segments* along the order: windows
+run inside (key, segment), one small summary row per segment is carried forward
+along the key, and the two are added. The large side is shuffled once, on
 (key, segment), and that partitioning serves both the join with the carried
 summary and the window.
 
-``segment`` must not decrease along ``order``. Keys must not be null.
+Every function takes ``segment``: ``AUTO`` measures, ``None`` is the plain
+window, a column is used as it is and must not decrease along ``order``. Keys
+must not be null.
 """
 
 from __future__ import annotations
@@ -16,12 +19,63 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 SEG = "__segment"
+AUTO = object()
+# Rows of one key that a single task may sort.
+MAX_ROWS = 5_000_000
+# Literal cut points of one order column.
+MAX_PARTS = 512
+
+
+def plan(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None = None) -> Column | None:
+    """None when every key fits a task, else a segment column of about even size.
+
+    Segments are quantile ranges of the first order column over all rows, so a
+    segment is small whatever the share of one key. A value that fills whole
+    ranges by itself is cut again along the second order column.
+    """
+    limit = MAX_ROWS if max_rows is None else max_rows
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    largest, total = sizes.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if largest <= limit:
+        return None
+    parts = min(MAX_PARTS, max(2, -(-total // limit)))
+    ranked = (NumericType, DateType, TimestampType, TimestampNTZType)
+    usable = [c for c in order[:2] if isinstance(df.schema[c].dataType, ranked)]
+    if not usable or usable[0] != order[0]:
+        raise TypeError(f"order column {order[0]!r} must be a number or a time")
+    shares = [i / parts for i in range(1, parts)]
+    found = df.agg(*[F.percentile_approx(c, shares, 100_000).alias(c) for c in usable]).first()
+    cuts = found[order[0]]
+    segment = search(F.col(order[0]), cuts)
+    heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
+    if heavy and len(usable) == 2:
+        inner = F.when(F.col(order[0]).isin(heavy), search(F.col(order[1]), found[order[1]])).otherwise(F.lit(0))
+        return F.struct(segment.alias("a"), inner.alias("b"))
+    return segment
+
+
+def search(c: Column, cuts: Sequence) -> Column:
+    """Number of the range of ``cuts`` that holds ``c``, by nested halving."""
+    cuts = sorted(set(cuts))
+
+    def half(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(c <= F.lit(cuts[mid]), half(low, mid)).otherwise(half(mid + 1, high))
+
+    return half(0, len(cuts))
+
+
+def _resolve(df, keys, order, segment) -> Column | None:
+    return plan(df, keys, order) if segment is AUTO else segment
 
 
 def _over(keys: Sequence[str]):
-    # Without keys the carried summary is one row per segment: a bounded list.
+    # Without keys this is one partition: a plan made for few rows, or one row per segment.
     return W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
 
 
@@ -33,19 +87,22 @@ def running_sum(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    segment: Column,
     value: str,
     out: str,
+    segment=AUTO,
     inclusive: bool = True,
 ) -> DataFrame:
     """Sum of ``value`` from the first row of the key up to this row."""
+    segment = _resolve(df, keys, order, segment)
+    last, zero = 0 if inclusive else -1, F.lit(0)
+    if segment is None:
+        upto = _over(keys).orderBy(*order).rowsBetween(W.unboundedPreceding, last)
+        return df.withColumn(out, F.coalesce(F.sum(value).over(upto), zero))
     seg = df.withColumn(SEG, segment)
     parts = seg.groupBy(*keys, SEG).agg(F.sum(value).alias("__part"))
     earlier = _over(keys).orderBy(SEG).rowsBetween(W.unboundedPreceding, -1)
     carry = parts.withColumn("__carry", F.sum("__part").over(earlier)).drop("__part")
-    last = 0 if inclusive else -1
     inside = W.partitionBy(*keys, SEG).orderBy(*order).rowsBetween(W.unboundedPreceding, last)
-    zero = F.lit(0)
     return (
         seg.join(carry, [*keys, SEG], "left")
         .withColumn(out, F.coalesce("__carry", zero) + F.coalesce(F.sum(value).over(inside), zero))
@@ -53,10 +110,11 @@ def running_sum(
     )
 
 
-def row_position(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column, out: str
-) -> DataFrame:
+def row_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, segment=AUTO) -> DataFrame:
     """1-based position of the row within its key."""
+    segment = _resolve(df, keys, order, segment)
+    if segment is None:
+        return df.withColumn(out, F.row_number().over(_over(keys).orderBy(*order)))
     seg = df.withColumn(SEG, segment)
     parts = seg.groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("__part"))
     earlier = _over(keys).orderBy(SEG).rowsBetween(W.unboundedPreceding, -1)
@@ -73,16 +131,19 @@ def neighbour(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    segment: Column,
     value: str,
     out: str,
+    segment=AUTO,
     following: bool = False,
 ) -> DataFrame:
     """``value`` of the previous (or following) row of the key.
 
     ``order`` must be unique within the key.
     """
+    segment = _resolve(df, keys, order, segment)
     at_edge, step = (F.min_by, F.lead) if following else (F.max_by, F.lag)
+    if segment is None:
+        return df.withColumn(out, step(value).over(_over(keys).orderBy(*order)))
     seg = df.withColumn(SEG, segment)
     ends = seg.groupBy(*keys, SEG).agg(at_edge(F.col(value), _point(order)).alias("__end"))
     carry = ends.withColumn("__carry", step("__end").over(_over(keys).orderBy(SEG))).drop("__end")
@@ -96,25 +157,19 @@ def neighbour(
 
 
 def last_seen(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    segment: Column,
-    value: str,
-    out: str,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, segment=AUTO
 ) -> DataFrame:
     """Latest non-null ``value`` of the key at or before this row."""
+    segment = _resolve(df, keys, order, segment)
+    if segment is None:
+        upto = _over(keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(upto))
     seg = df.withColumn(SEG, segment)
+    # Rows without a value have no point, so they never win.
     known = F.when(F.col(value).isNotNull(), _point(order))
-    ends = (
-        seg.filter(F.col(value).isNotNull())
-        .groupBy(*keys, SEG)
-        .agg(F.max_by(F.col(value), known).alias("__end"))
-    )
-    # Segments without a value still need the carried one.
-    spans = seg.select(*keys, SEG).distinct().join(ends, [*keys, SEG], "left")
+    ends = seg.groupBy(*keys, SEG).agg(F.max_by(F.col(value), known).alias("__end"))
     earlier = _over(keys).orderBy(SEG).rowsBetween(W.unboundedPreceding, -1)
-    carry = spans.withColumn("__carry", F.last("__end", ignorenulls=True).over(earlier)).drop("__end")
+    carry = ends.withColumn("__carry", F.last("__end", ignorenulls=True).over(earlier)).drop("__end")
     inside = W.partitionBy(*keys, SEG).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     return (
         seg.join(carry, [*keys, SEG], "left")
@@ -127,18 +182,23 @@ def ranks(
     df: DataFrame,
     keys: Sequence[str],
     measure: str,
-    segment: Column,
     rank: str = "rank",
     dense: str = "dense_rank",
+    segment=AUTO,
 ) -> DataFrame:
     """Rank and dense rank by ``measure``, highest first.
 
     Ranks are worked out over the distinct values with their counts, so a value
-    that fills the table costs one row; ``segment`` is a function of ``measure``.
+    that fills the table costs one row. ``segment`` is a function of ``measure``.
     """
-    levels = (
-        df.groupBy(*keys, measure).agg(F.count(F.lit(1)).alias("__n")).withColumn(SEG, segment)
-    )
+    levels = df.groupBy(*keys, measure).agg(F.count(F.lit(1)).alias("__n"))
+    segment = _resolve(levels, keys, [measure], segment)
+    if segment is None:
+        down = _over(keys).orderBy(F.desc(measure))
+        above = F.coalesce(F.sum("__n").over(down.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        placed = levels.select(*keys, measure, (above + 1).alias(rank), F.row_number().over(down).alias(dense))
+        return df.join(placed, [*keys, measure], "left")
+    levels = levels.withColumn(SEG, segment)
     parts = levels.groupBy(*keys, SEG).agg(
         F.sum("__n").alias("__rows"), F.count(F.lit(1)).alias("__values")
     )

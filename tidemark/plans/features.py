@@ -190,7 +190,7 @@ def standard_scale(t):
 @query(
     "stratified_split",
     """SELECT doc_id, quality, CASE WHEN rn * 5 <= n * 4 THEN 'train' ELSE 'test' END AS split FROM (
-      SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) AS rn,
+      SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY left(md5(CAST(doc_id AS VARCHAR)), 8), doc_id) AS rn,
         count(*) OVER (PARTITION BY quality) AS n FROM labels)""",
 )
 def stratified_split(t):

@@ -180,9 +180,8 @@ def freshness(t):
     UNION ALL SELECT 'silver_dedup_rate', CAST(b - s AS DOUBLE) * 100.0 / b FROM n""",
 )
 def quality_kpis(t):
-    b = bronze_events(t).agg(F.count(F.lit(1)).alias("b")).withColumn("one", F.lit(1))
-    s = silver_events(t).agg(F.count(F.lit(1)).alias("s")).withColumn("one", F.lit(1))
-    counts = b.join(s, "one")
+    b = bronze_events(t).agg(F.count(F.lit(1)).alias("b"))
+    counts = b.withColumn("s", silver_events(t).agg(F.count(F.lit(1))).scalar())
     return dq.as_rows(
         counts,
         [

@@ -147,9 +147,12 @@ def embedding_drift(t):
     """Cosine distance of the mean vectors of two batches (here: label groups)."""
     side = t.embeddings.withColumn("batch", F.when(F.col("label") < 5, 0).otherwise(1))
     means = vec.mean_vectors(side, "batch", "embedding")
-    a = means.filter("batch = 0").select(F.col("embedding").alias("a"), F.lit(1).alias("one"))
-    b = means.filter("batch = 1").select(F.col("embedding").alias("b"), F.lit(1).alias("one"))
-    return a.join(b, "one").select(F.round(1 - vec.cosine(F.col("a"), F.col("b")), 6).alias("drift"))
+    # At most one row per batch: conditional aggregates put both means side by side.
+    pair = means.agg(
+        F.max(F.when(F.col("batch") == 0, F.col("embedding"))).alias("a"),
+        F.max(F.when(F.col("batch") == 1, F.col("embedding"))).alias("b"),
+    )
+    return pair.select(F.round(1 - vec.cosine(F.col("a"), F.col("b")), 6).alias("drift"))
 
 
 @query("embed_tfidf")

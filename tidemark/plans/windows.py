@@ -14,10 +14,6 @@ KEYS = ["o_custkey"]
 ORDER = ["o_orderdate", "o_orderkey"]
 
 
-def _month():
-    return F.date_trunc("month", F.col("o_orderdate"))
-
-
 def _orders(t):
     return t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
 
@@ -31,8 +27,7 @@ def _orders(t):
 )
 def win_rank_dense(t):
     rows = t.orders.select("o_custkey", "o_orderkey", "o_totalprice")
-    band = F.floor(F.col("o_totalprice") / 10_000)
-    return segmented.ranks(rows, KEYS, "o_totalprice", band, "revenue_rank", "revenue_dense_rank")
+    return segmented.ranks(rows, KEYS, "o_totalprice", "revenue_rank", "revenue_dense_rank")
 
 
 @query(
@@ -42,8 +37,10 @@ def win_rank_dense(t):
     FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""",
 )
 def win_lag_lead(t):
-    back = segmented.neighbour(_orders(t), KEYS, ORDER, _month(), "o_totalprice", "prev_revenue")
-    return segmented.neighbour(back, KEYS, ORDER, _month(), "o_totalprice", "next_revenue", following=True)
+    rows = _orders(t)
+    cut = segmented.plan(rows, KEYS, ORDER)
+    back = segmented.neighbour(rows, KEYS, ORDER, "o_totalprice", "prev_revenue", cut)
+    return segmented.neighbour(back, KEYS, ORDER, "o_totalprice", "next_revenue", cut, following=True)
 
 
 @query(
@@ -55,7 +52,7 @@ def win_lag_lead(t):
 )
 def win_running_total(t):
     rows = _orders(t).withColumn("price", money("o_totalprice"))
-    out = segmented.running_sum(rows, KEYS, ORDER, _month(), "price", "running_total")
+    out = segmented.running_sum(rows, KEYS, ORDER, "price", "running_total")
     return out.select(*KEYS, "o_orderkey", "o_orderdate", F.col("running_total").cast("double"))
 
 
@@ -68,8 +65,9 @@ def win_running_total(t):
 )
 def win_moving_avg(t):
     rows = _orders(t).withColumn("price", money("o_totalprice"))
-    one = segmented.neighbour(rows, KEYS, ORDER, _month(), "price", "one_back")
-    two = segmented.neighbour(one, KEYS, ORDER, _month(), "one_back", "two_back")
+    cut = segmented.plan(rows, KEYS, ORDER)
+    one = segmented.neighbour(rows, KEYS, ORDER, "price", "one_back", cut)
+    two = segmented.neighbour(one, KEYS, ORDER, "one_back", "two_back", cut)
     zero = F.lit(0).cast("decimal(18,2)")
     total = F.col("price") + F.coalesce("one_back", zero) + F.coalesce("two_back", zero)
     n = 1 + F.col("one_back").isNotNull().cast("int") + F.col("two_back").isNotNull().cast("int")
