@@ -95,6 +95,9 @@ def test_upsert_log_survives_a_replayed_batch(spark, rows):
     for _ in range(2):
         log.upsert(two, 1, [F.desc("v")])
     assert rows(log.current()) == [(1, 10), (2, 22), (3, 30)]
+    short = log.compact(folder(spark, "log"))
+    short.upsert(spark.createDataFrame([(1, 11)], "k long, v long"), 2)
+    assert rows(short.current()) == [(1, 11), (2, 22), (3, 30)]
 
 
 def test_fan_out_feeds_every_sink_once(spark, land, rows):

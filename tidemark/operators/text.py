@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from tidemark.functions import text as tx
-from tidemark.operators.joins import broadcast_if_small
+from tidemark.operators.joins import broadcast_if_small, latest_by
 from tidemark.session import settle
 
 
@@ -98,12 +98,11 @@ def keyword_class(df: DataFrame, key: str, text: str, keywords: DataFrame, defau
 
 def top_sentences(df: DataFrame, group: str, doc_id: str, text: str, min_words: int = 5) -> DataFrame:
     """The sentence of each group whose words occur in the most documents on average."""
-    from tidemark.operators.joins import latest_by
-
-    spread = (
+    spread = settle(
         df.select(doc_id, F.explode(F.array_distinct(tx.words(F.col(text)))).alias("word"))
         .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("docs"))
+        .agg(F.count(F.lit(1)).alias("docs")),
+        "word-spread",
     )
     sent = df.select(group, doc_id, F.posexplode(tx.sentences(F.col(text))).alias("pos", "sentence"))
     terms = sent.select(group, doc_id, "pos", F.explode(F.array_distinct(tx.words(F.col("sentence")))).alias("word"))
@@ -114,10 +113,10 @@ def top_sentences(df: DataFrame, group: str, doc_id: str, text: str, min_words:
         .filter(F.col("n") >= min_words)
         .withColumn("score", F.col("weight") / F.col("n"))
     )
-    best = latest_by(scored, [group], [F.desc("score"), F.asc(doc_id), F.asc("pos")])
-    # Only the winners fetch their text.
-    return best.join(sent.select(doc_id, "pos", "sentence"), [doc_id, "pos"]).select(
-        group, doc_id, "pos", "score", "sentence"
+    best = settle(latest_by(scored, [group], [F.desc("score"), F.asc(doc_id), F.asc("pos")]), "best-sentences")
+    # Only the winners fetch their text; stored, they are small enough for Spark to broadcast.
+    return best.join(df.select(doc_id, text), doc_id).select(
+        group, doc_id, "pos", "score", F.get(tx.sentences(F.col(text)), F.col("pos")).alias("sentence")
     )
 
 

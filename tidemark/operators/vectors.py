@@ -81,29 +81,39 @@ RESULT = "query_id long, id long, score double"
 
 
 def nearest(
-    corpus: DataFrame, id: str, vector: str, queries: DataFrame, k: int, limit: int = QUERY_BYTES
+    corpus: DataFrame,
+    id: str,
+    vector: str,
+    queries: DataFrame,
+    k: int,
+    cell: str | None = None,
+    limit: int = QUERY_BYTES,
 ) -> DataFrame:
     """The ``k`` most similar corpus vectors of each query, exact.
 
     ``queries(query_id, vector)``. When the query vectors fit ``limit`` bytes
     every task scores its part of the corpus in one matrix product per batch and
     hands on only its own ``k`` best per query; otherwise ``nearest_blocks`` is
-    used. Score pairs are never rows.
+    used. Score pairs are never rows. With ``cell`` a query row meets only
+    corpus rows of the same cell.
     """
     n, width = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vector)), F.lit(0))).first()
     if n * width * 8 > limit:
-        return nearest_blocks(corpus, id, vector, queries, k)
-    found = queries.select("query_id", vector).collect()
+        return nearest_blocks(corpus, id, vector, queries, k, cell)
+    at = (F.col(cell) if cell else F.lit(0)).alias("cell")
+    found = queries.select("query_id", vector, at).collect()
     if not found:
         return corpus.sparkSession.createDataFrame([], RESULT + ", rank int")
     qids = np.array([r[0] for r in found], dtype=np.int64)
-    q = _unit([r[1] for r in found])
+    q, qcells = _unit([r[1] for r in found]), np.array([r[2] for r in found])
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = None
         for pdf in batches:
             if len(pdf):
-                s, ids = _best(_unit(pdf["v"]) @ q.T, pdf["id"].to_numpy(), k)
+                s = _unit(pdf["v"]) @ q.T
+                s[pdf["cell"].to_numpy()[:, None] != qcells[None, :]] = np.nan
+                s, ids = _best(s, pdf["id"].to_numpy(), k)
                 if best is not None:
                     s, ids = np.vstack([best[0], s]), np.vstack([best[1], ids])
                     s, ids = _best(s, ids, k)
@@ -111,7 +121,7 @@ def nearest(
         if best is not None:
             yield _rows(qids, *best)
 
-    part = corpus.select(F.col(id).alias("id"), F.col(vector).alias("v")).mapInPandas(score, RESULT)
+    part = corpus.select(F.col(id).alias("id"), F.col(vector).alias("v"), at).mapInPandas(score, RESULT)
     return topk(part, ["query_id"], [F.desc("score"), F.asc("id")], k, rank="rank")
 
 
@@ -203,4 +213,4 @@ class HyperplaneIndex:
         # At most 2**bits values; partitions outside the list are not read.
         cells = [r[0] for r in probes.select("cell").distinct().collect()]
         stored = queries.sparkSession.read.parquet(self.path).filter(F.col("cell").isin(cells))
-        return nearest_blocks(stored, "id", "v", probes, k, cell="cell")
+        return nearest(stored, "id", "v", probes, k, cell="cell")

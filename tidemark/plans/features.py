@@ -13,7 +13,7 @@ from tidemark.operators import learning as ml
 from tidemark.operators.joins import Lookup, feature_lookup
 from tidemark.plans.inputs import AS_OF_ORDERS, mavg, msum
 from tidemark.plans.registry import query
-from tidemark.session import settle
+from tidemark.session import settle, spread
 
 
 @query(
@@ -276,7 +276,7 @@ def document_features(documents):
     def share(pattern):
         return F.regexp_count("text", F.lit(pattern)) / chars
 
-    return documents.select(
+    return spread(documents.select("doc_id", "text")).select(
         "doc_id",
         chars.alias("chars"),
         tx.bind(tx.words(F.col("text")), features).alias("w"),
@@ -327,7 +327,7 @@ def score_batch(t):
 @query("classify_quality")
 def classify_quality(t):
     """Text classifier: hashed and weighted words into logistic regression, all documents scored."""
-    rows = t.documents.select("doc_id", tx.words(F.col("text")).alias("words"))
+    rows = spread(t.documents.select("doc_id", "text")).select("doc_id", tx.words(F.col("text")).alias("words"))
     steps = [
         HashingTF(inputCol="words", outputCol="tf", numFeatures=4096),
         IDF(inputCol="tf", outputCol="features"),

@@ -8,6 +8,7 @@ from tidemark.functions.measures import count_where
 from tidemark.operators import governance as gov
 from tidemark.plans.inputs import AS_OF_EVENTS
 from tidemark.plans.registry import query
+from tidemark.session import spread
 
 
 @query(
@@ -72,7 +73,7 @@ _TAGS = " UNION ALL ".join(
 def _tags(t):
     out = None
     for table, columns in TEXT_COLUMNS.items():
-        part = gov.classify_columns(getattr(t, table).select(*columns), table)
+        part = gov.classify_columns(spread(getattr(t, table).select(*columns)), table)
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -27,6 +27,7 @@ from tidemark.plans.inputs import (
     silver_events,
 )
 from tidemark.plans.registry import query
+from tidemark.session import spread
 
 # --- layered flagship -------------------------------------------------------
 
@@ -146,7 +147,7 @@ IPV4 = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
     FROM documents WHERE source LIKE 'src1%' OR regexp_matches(lang, '^(en|de)$')""",
 )
 def filter_like_rlike(t):
-    return t.documents.filter(
+    return spread(t.documents.select("doc_id", "lang", "source", "text")).filter(
         F.col("source").like("src1%") | F.col("lang").rlike("^(en|de)$")
     ).select(
         "doc_id",

@@ -194,9 +194,8 @@ def compact_files(t):
     out = None
     for state, path in (("before", small), ("after", large)):
         df = t.spark.read.parquet(path)
-        rows = df.agg(F.count(F.lit(1)).alias("rows")).withColumn("state", F.lit(state))
-        size = files.stored_bytes(df).withColumn("state", F.lit(state))
-        part = rows.join(size, "state")
+        rows = df.agg(F.count(F.lit(1))).scalar()
+        part = files.stored_bytes(df).withColumns({"rows": rows, "state": F.lit(state)})
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as tx
 from tidemark.functions.measures import count_where, money_sum
 from tidemark.operators import governance as gov, text as docs, vectors as vec
-from tidemark.operators.joins import broadcast_if_small
 from tidemark.plans.inputs import msum
 from tidemark.plans.registry import query
+from tidemark.session import settle, spread
 
 
 def w(c: str) -> str:
@@ -42,12 +42,12 @@ SELECT doc_id, chunk_index, CASE WHEN ends_with(body, '.') THEN body ELSE body |
 
 @query("chunk_documents", CHUNK_SQL)
 def chunk_documents(t):
-    return docs.chunk_rows(t.documents, "doc_id", "text")
+    return docs.chunk_rows(spread(t.documents.select("doc_id", "text")), "doc_id", "text")
 
 
 @query("udf_chunk", CHUNK_SQL)
 def udf_chunk(t):
-    rows = t.documents.select("doc_id", F.explode(docs.chunk_udf()("text")).alias("c"))
+    rows = spread(t.documents.select("doc_id", "text")).select("doc_id", F.explode(docs.chunk_udf()("text")).alias("c"))
     return rows.select(
         "doc_id",
         "c.chunk_index",
@@ -119,7 +119,9 @@ def vector_topk_lsh(t):
 )
 def rag_prompts(t):
     """Context of the three nearest documents, in rank order, put into a template."""
-    found = _top(t).join(t.documents, F.col("id") == F.col("doc_id"))
+    # Stored, the few hits have a known size and Spark broadcasts them: the documents stay put.
+    hits = settle(_top(t), "hits")
+    found = hits.join(t.documents, F.col("id") == F.col("doc_id"))
     piece = F.concat(F.lit("["), F.col("rank").cast("string"), F.lit("] "), tx.clean(F.col("text")))
     # Three rows per query at most.
     context = found.groupBy("query_id").agg(
@@ -158,7 +160,7 @@ def embedding_drift(t):
 @query("embed_tfidf")
 def embed_tfidf(t):
     """Hashed, weighted and normalised word vectors of every chunk."""
-    chunks = docs.chunk_rows(t.documents, "doc_id", "text").withColumn("words", tx.words(F.col("chunk_text")))
+    chunks = docs.chunk_rows(spread(t.documents.select("doc_id", "text")), "doc_id", "text").withColumn("words", tx.words(F.col("chunk_text")))
     steps = [
         HashingTF(inputCol="words", outputCol="tf", numFeatures=256),
         IDF(inputCol="tf", outputCol="tfidf"),
@@ -199,17 +201,19 @@ def embed_incremental(t):
 )
 def sentiment_lexicon(t):
     """Word polarities from the quality labels, then a label for every document."""
-    seen = t.documents.join(t.labels, "doc_id").select(
+    texts = spread(t.documents.select("doc_id", "text"))
+    seen = texts.join(t.labels, "doc_id").select(
         "quality", F.explode(F.array_distinct(tx.words(F.col("text")))).alias("word")
     )
     mean = F.col("good") / F.col("n")
-    lexicon = (
+    lexicon = settle(
         seen.groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("quality").alias("good"))
         .filter((F.col("n") >= 3) & ((mean >= 0.9) | (mean <= 0.6)))
-        .select("word", F.when(mean >= 0.9, 1).otherwise(-1).alias("polarity"))
+        .select("word", F.when(mean >= 0.9, 1).otherwise(-1).alias("polarity")),
+        "lexicon",
     )
-    return docs.lexicon_score(t.documents, "doc_id", "text", lexicon)
+    return docs.lexicon_score(texts, "doc_id", "text", lexicon)
 
 
 @query(
@@ -247,7 +251,7 @@ _KEYWORD_SQL = ", ".join(f"('{c}', '{x}')" for c, ws in KEYWORDS for x in ws.spl
 def classify_keywords(t):
     rows = [(c, x) for c, ws in KEYWORDS for x in ws.split()]
     keywords = t.spark.createDataFrame(rows, "category string, word string")
-    return docs.keyword_class(t.documents, "doc_id", "text", keywords)
+    return docs.keyword_class(spread(t.documents.select("doc_id", "text")), "doc_id", "text", keywords)
 
 
 @query(
@@ -261,7 +265,7 @@ def classify_keywords(t):
     SELECT source, doc_id, CAST(pos AS INTEGER) AS pos, score, sentence FROM best JOIN sent USING (source, doc_id, pos)""",
 )
 def extractive_summary(t):
-    return docs.top_sentences(t.documents, "source", "doc_id", "text")
+    return docs.top_sentences(spread(t.documents.select("source", "doc_id", "text")), "source", "doc_id", "text")
 
 
 PAIRS = """
@@ -294,7 +298,7 @@ _PII_SQL = " UNION ALL ".join(
 
 @query("pii_scan", _PII_SQL)
 def pii_scan(t):
-    found = t.documents.select(
+    found = spread(t.documents.select("lang", "text")).select(
         "lang",
         F.inline(
             F.array(
@@ -406,4 +410,4 @@ def doc_dedup_exact(t):
 @query("doc_dedup_near")
 def doc_dedup_near(t):
     """Documents that nearly repeat an earlier one; checked against brute force in the tests."""
-    return docs.near_copies(t.documents, "doc_id", "text")
+    return docs.near_copies(spread(t.documents.select("doc_id", "text")), "doc_id", "text")

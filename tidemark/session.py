@@ -75,6 +75,16 @@ def folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tidemark/{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when a scan has fewer splits than there are cores.
+
+    For work that costs much per row. A large table has more splits than cores
+    and is left where it is: nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

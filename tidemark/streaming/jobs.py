@@ -57,8 +57,8 @@ class UpsertLog:
 
     A micro-batch writes only its own rows, to the folder of its batch id, and a
     replayed batch overwrites that folder: exactly-once without rewriting the
-    table. Readers take the newest row per key; ``compacted`` is the table to
-    write when the log gets long.
+    table. Readers take the newest row per key; ``compact`` starts a new log
+    with one row per key when the old one gets long.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: Sequence[str]):
@@ -73,6 +73,11 @@ class UpsertLog:
         log = self.spark.read.schema(full).option("basePath", self.root).parquet(self.root)
         return latest_by(log, self.keys, [F.desc("batch_id")]).drop("batch_id")
 
+    def compact(self, root: str) -> "UpsertLog":
+        """The same rows in a new folder, below every batch id still to come."""
+        self.current().write.mode("overwrite").parquet(f"{root}/batch_id=-1")
+        return UpsertLog(self.spark, root, self.schema, self.keys)
+
 
 def windowed(
     df: DataFrame, time: str, length: str, by: Sequence[str], aggs: Sequence[Column], slide: str | None = None
