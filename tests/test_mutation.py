@@ -104,3 +104,13 @@ def test_snapshots(spark, target, source, rows):
     # A commit repeated after a failure replaces its own version only.
     s.commit(s.as_of(0), 2, "2024-01-03 00:00:00", "RESTORE 0")
     assert s.all().count() == 13
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, rows):
+    path = folder(spark, "parts")
+    old = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "b", 3)], "id long, p string, v long")
+    old.write.partitionBy("p").parquet(path)
+    before = {r[0] for r in spark.read.parquet(path).filter("p = 'b'").select("_metadata.file_path").collect()}
+    mu.upsert_partitions(spark, path, spark.createDataFrame([(2, "a", 20), (4, "c", 4)], "id long, p string, v long"), ["id"], "p")
+    assert rows(spark.read.parquet(path), "id", "p", "v") == [(1, "a", 1), (2, "a", 20), (3, "b", 3), (4, "c", 4)]
+    assert {r[0] for r in spark.read.parquet(path).filter("p = 'b'").select("_metadata.file_path").collect()} == before

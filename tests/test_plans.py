@@ -35,6 +35,11 @@ def test_partitions_are_pruned(spark):
     assert "PartitionFilters: [isnotnull(event_type" in plan(QUERIES["sink_partitioned"](spark, SF))
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    p = plan(QUERIES["layout_bucketed_join"](spark, SF))
+    assert "SortMergeJoin" in p and "Exchange" not in p
+
+
 def test_versions_are_pruned(spark):
     p = plan(QUERIES["restore_version"](spark, SF))
     assert "PartitionFilters: [isnotnull(snapshot_version" in p

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators import segmented
 from tidemark.operators.joins import latest_by
+from tidemark.session import settle
 
 
 def merge_upsert(
@@ -37,6 +38,26 @@ def merge_upsert(
     return kept.unionByName(source.select(*target.columns))
 
 
+def upsert_partitions(
+    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition: str
+) -> None:
+    """Upsert into a table partitioned by a column that a key never changes.
+
+    Only the partitions named by the source are read, joined and rewritten; the
+    rest of the table stays as it is. The new
+    partitions are staged first, so a failed overwrite is repeated from there.
+    """
+    touched = [r[0] for r in source.select(partition).distinct().collect()]
+    table = spark.read.parquet(path)
+    staged = settle(merge_upsert(table.filter(F.col(partition).isin(touched)), source, keys), "upsert")
+    (
+        staged.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
+
+
 def update_where(df: DataFrame, pred: Column, changes: dict[str, Column]) -> DataFrame:
     """Set columns where ``pred`` is true; a null predicate leaves the row alone."""
     hit = F.coalesce(pred, F.lit(False))

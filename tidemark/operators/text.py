@@ -231,24 +231,25 @@ def near_copies(
     the first one leaves too, and the next round takes the bucket's next
     one, until no bucket has two documents left. Nothing is capped.
     """
-    sets = df.select(F.col(doc_id).alias("id"), tx.shingles(F.col(text)).alias("s"))
-    sets = sets.withColumn("digest", F.xxhash64(F.array_sort("s")))
-    first = sets.groupBy("digest").agg(F.min("id").alias("first"))
-    same = settle(
-        sets.select("id", "digest").join(first, "digest").select("id", "first"), "near-same"
-    )
+    rows_in = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    digest = F.xxhash64(F.array_sort(tx.shingles(F.col("text"))))
+    digests = settle(rows_in.select("id", digest.alias("digest")), "near-digests")
+    first = digests.groupBy("digest").agg(F.min("id").alias("first"))
+    same = settle(digests.join(first, "digest").select("id", "first"), "near-same")
     leaders = same.filter("id = first").select("id")
-    small = settle(sets.select("id", "s").join(leaders, "id"), "near-sets")
+    small = rows_in.join(leaders, "id").select("id", tx.shingles(F.col("text")).alias("s"))
+    small = settle(small, "near-sets")
     key = F.posexplode(_band_keys(bands, rows, seed)("s")).alias("band", "key")
     buckets = settle(small.select("id", key), "near-buckets")
     found = None
     while True:
         heads = buckets.groupBy("band", "key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
         heads = heads.filter("n > 1").drop("n")
-        pairs = buckets.join(heads, ["band", "key"]).filter("id <> head").select("id", "head").distinct()
-        pairs = settle(pairs, "near-pairs")
-        if pairs.isEmpty():
+        # Buckets of one and the heads, which meet every member now, drop out here.
+        members = settle(buckets.join(heads, ["band", "key"]).filter("id <> head"), "near-members")
+        if members.isEmpty():
             break
+        pairs = members.select("id", "head").distinct()
         other = small.select(F.col("id").alias("head"), F.col("s").alias("t"))
         both = F.size(F.array_intersect("s", "t"))
         rated = pairs.join(small, "id").join(other, "head").select(
@@ -264,10 +265,7 @@ def near_copies(
             "near-hits",
         )
         found = hits if found is None else found.unionByName(hits)
-        rest = buckets.join(hits.select("id"), "id", "left_anti")
-        # A head has met every member of its bucket and leaves it.
-        met = heads.withColumnRenamed("head", "id")
-        buckets = settle(rest.join(met, ["band", "key", "id"], "left_anti"), "near-buckets")
+        buckets = members.drop("head").join(hits.select("id"), "id", "left_anti")
     merged = same.filter("id <> first").select("id", F.col("first").alias("repeats"), F.lit(1.0).alias("similarity"))
     out = merged if found is None else merged.unionByName(found)
     return out.withColumnRenamed("id", doc_id)

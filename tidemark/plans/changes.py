@@ -13,6 +13,7 @@ from tidemark.operators.mutation import (
     reconcile,
     scd2,
     update_where,
+    upsert_partitions,
 )
 from tidemark.operators.snapshots import Snapshots
 from tidemark.plans.inputs import BRONZE, bronze_events
@@ -74,6 +75,18 @@ def merged_latest(t):
     return merge_upsert(base, bronze_events(t).select("event_id", "ts", "value"), ["event_id"], [F.desc("ts")])
 
 
+@query(
+    "merge_upsert_partitions",
+    f"SELECT event_id, user_id, event_type, value, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM ({MERGED})",
+)
+def merged_partitions(t):
+    """Only the days the source touches are joined and rewritten."""
+    path, day = t.folder("by-day"), F.to_date("ts").cast("string")
+    stored(t).withColumn("day", day).drop("ts").write.partitionBy("day").parquet(path)
+    upsert_partitions(t.spark, path, arriving(t).withColumn("day", day).drop("ts"), ["event_id"], "day")
+    return t.spark.read.parquet(path).withColumn("day", F.col("day").cast("string"))
+
+
 def priority_versions(t):
     """One version per customer and day: the priority of the day's last order."""
     rows = t.orders.select(

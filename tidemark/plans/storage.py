@@ -176,11 +176,27 @@ def layout_cluster_by(t):
     return back.filter(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
 
 
-@query("layout_zorder", "SELECT event_id, user_id, value FROM events WHERE user_id < 10 AND value < 20")
+@query(
+    "layout_bucketed_join",
+    "SELECT l_orderkey, count(*) AS lines, CAST(sum(l_quantity) AS DOUBLE) AS quantity, any_value(o_orderstatus) AS status "
+    "FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey",
+)
+def layout_bucketed_join(t):
+    """Both tables bucketed on the order key once: the join and the sum shuffle nothing."""
+    lines, orders = _name("lines"), _name("orders")
+    layout.write_bucketed(t.lineitem.select("l_orderkey", "l_quantity"), lines, t.folder("lines"), ["l_orderkey"], 8)
+    layout.write_bucketed(t.orders.select("o_orderkey", "o_orderstatus"), orders, t.folder("orders"), ["o_orderkey"], 8)
+    joined = t.spark.table(lines).hint("merge").join(t.spark.table(orders), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity"), F.max("o_orderstatus").alias("status")
+    )
+
+
+@query("layout_zorder", "SELECT event_id, user_id, value FROM events")
 def layout_zorder(t):
     path = t.folder("zorder")
     layout.write_zordered(t.events.select("event_id", "user_id", "value"), path, ["user_id", "value"], 8)
-    return t.spark.read.parquet(path).filter("user_id < 10 AND value < 20")
+    return t.spark.read.parquet(path)
 
 
 @query("compact_files")
