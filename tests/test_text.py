@@ -13,7 +13,7 @@ from tidemark.session import folder
 
 def model(text, size=300):
     """Plain account of the chunker: pack sentences, close before the one that is too long."""
-    if not text.strip(" "):
+    if not text.strip(" \t\n\r\f"):
         return []
     packed, used = [], 0
     for s in text.split(". "):
@@ -23,7 +23,7 @@ def model(text, size=300):
             packed.append([s])
             used = 0
         used += len(s) + 2
-    joined = [". ".join(p).strip(" ") for p in packed]
+    joined = [". ".join(p).strip(" \t\n\r\f") for p in packed]
     return [j if j.endswith(".") else j + "." for j in joined]
 
 
@@ -36,6 +36,8 @@ TEXTS = [
     ". ".join("word " * n for n in range(1, 40)),
     "x" * 1000 + ". short. " + "y" * 290 + ". z",
     "Ends with blank. ",
+    "\n \n",
+    "\nLine one. Line\ntwo.\n",
     "é" * 299 + ". ü. ö",
 ]
 

@@ -21,6 +21,11 @@ def clean(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"[ \t\n\r\f]+", " "))
 
 
+def strip(c: Column) -> Column:
+    """Without white space at either end."""
+    return F.regexp_replace(c, r"^[ \t\n\r\f]+|[ \t\n\r\f]+$", "")
+
+
 def words(c: Column) -> Column:
     """Lower-case words: maximal runs of letters."""
     return F.filter(F.split(F.lower(c), r"[^\p{L}]+"), lambda w: w != "")
@@ -63,13 +68,13 @@ def chunks(c: Column, size: int = 300, overlap: int = 0) -> Column:
         def one(begin: Column, i: Column) -> Column:
             end = F.coalesce(F.get(begins, i + 1), F.size(parts))
             first = F.greatest(begin - overlap, F.lit(0))
-            text = F.trim(F.array_join(F.slice(parts, first + 1, end - first), ". "))
+            text = strip(F.array_join(F.slice(parts, first + 1, end - first), ". "))
             closed = F.when(text.endswith("."), text).otherwise(F.concat(text, F.lit(".")))
             return F.struct(i.alias("chunk_index"), closed.alias("chunk_text"))
 
         return one
 
-    return F.when(F.trim(c) != "", bind(sentences(c), cut_all))
+    return F.when(strip(c) != "", bind(sentences(c), cut_all))
 
 
 def shingles(c: Column, n: int = 3) -> Column:

@@ -25,6 +25,7 @@ def chunk_rows(
     )
 
 
+BLANKS = " \t\n\r\f"
 CHUNKS = ArrayType(StructType([StructField("chunk_index", IntegerType()), StructField("chunk_text", StringType())]))
 
 
@@ -32,7 +33,7 @@ def chunk_udf(size: int = 300):
     """The same chunker as an Arrow UDF, for callers that bring their own Python splitter."""
 
     def pack(text: str) -> list[tuple[int, str]]:
-        if text is None or not text.strip(" "):
+        if text is None or not text.strip(BLANKS):
             return []
         groups: list[list[str]] = []
         used = 0
@@ -42,7 +43,7 @@ def chunk_udf(size: int = 300):
                 used = 0
             groups[-1].append(s)
             used += len(s) + 2
-        joined = [". ".join(g).strip(" ") for g in groups]
+        joined = [". ".join(g).strip(BLANKS) for g in groups]
         return [(i, t if t.endswith(".") else t + ".") for i, t in enumerate(joined)]
 
     @F.pandas_udf(CHUNKS)

@@ -257,12 +257,25 @@ def ingest_schema_inferred(t):
 )
 def ingest_schema_evolution(t):
     """The second load brings a new column; rows of the first get null."""
-    landing = t.folder("landing")
+    landing, out, where = t.folder("landing"), t.folder("bronze"), t.folder("schema")
+    checkpoint, columns = t.folder("checkpoint"), ["event_id", "user_id", "value"]
+    first, second = halves(t)
+    for i, part in enumerate((first.select(*columns), second.select(*columns, "props")), 1):
+        part.write.json(f"{landing}/load_{i}")
+        schema = incremental.evolved_schema(t.spark, where, f"{landing}/load_{i}", "json")
+        jobs.run_append(incremental.file_stream(t.spark, f"{landing}/*", "json", schema), out, checkpoint)
+    return t.spark.read.schema(schema).parquet(out).select(*columns, "props")
+
+
+@query(
+    "union_evolving",
+    f"SELECT event_id, user_id, value, CASE WHEN ts >= TIMESTAMP '{SECOND_LOAD}' THEN props END AS props FROM events",
+)
+def union_evolving(t):
+    """Union of unlike schemas by name; a row without a column gets null."""
     first, second = halves(t)
-    first.select("event_id", "user_id", "value").write.parquet(f"{landing}/load_1")
-    second.select("event_id", "user_id", "value", "props").write.parquet(f"{landing}/load_2")
-    one, two = (t.spark.read.parquet(f"{landing}/load_{i}") for i in (1, 2))
-    return incremental.append_evolving(one, two, "add")
+    columns = ["event_id", "user_id", "value"]
+    return incremental.append_evolving(first.select(*columns), second.select("props", *columns), "add")
 
 
 @query(

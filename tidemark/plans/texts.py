@@ -24,8 +24,9 @@ CLEAN = r"trim(regexp_replace(text, '[ \t\n\r\f]+', ' ', 'g'))"
 
 # --- chunks and cleaning ----------------------------------------------------
 
-CHUNK_SQL = """
-WITH RECURSIVE s AS (SELECT doc_id, string_split(text, '. ') AS sents FROM documents WHERE trim(text) <> ''),
+STRIP = r"'^[ \t\n\r\f]+|[ \t\n\r\f]+$', '', 'g'"
+CHUNK_SQL = f"""
+WITH RECURSIVE s AS (SELECT doc_id, string_split(text, '. ') AS sents FROM documents WHERE regexp_replace(text, {STRIP}) <> ''),
 walk(doc_id, i, used, chunk) AS (
   SELECT doc_id, 1, length(sents[1]) + 2, 0 FROM s
   UNION ALL
@@ -33,7 +34,7 @@ walk(doc_id, i, used, chunk) AS (
     CASE WHEN used + length(sents[i + 1]) > 300 THEN 0 ELSE used END + length(sents[i + 1]) + 2,
     CASE WHEN used + length(sents[i + 1]) > 300 THEN chunk + 1 ELSE chunk END
   FROM walk w JOIN s ON w.doc_id = s.doc_id WHERE i < len(sents)),
-packed AS (SELECT w.doc_id, chunk AS chunk_index, trim(string_agg(sents[i], '. ' ORDER BY i)) AS body
+packed AS (SELECT w.doc_id, chunk AS chunk_index, regexp_replace(string_agg(sents[i], '. ' ORDER BY i), {STRIP}) AS body
   FROM walk w JOIN s ON w.doc_id = s.doc_id GROUP BY 1, 2)
 SELECT doc_id, chunk_index, CASE WHEN ends_with(body, '.') THEN body ELSE body || '.' END AS chunk_text,
   doc_id || '_' || chunk_index AS chunk_id FROM packed

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,17 +13,31 @@ from tidemark.sources.files import read_files
 
 def kept_schema(spark: SparkSession, location: str, path: str, fmt: str, **options) -> StructType:
     """The schema stored at ``location``; inferred from ``path`` and stored on first use."""
+    stored = _stored(spark, location)
+    if stored is None:
+        stored = read_files(spark, path, fmt, **options).schema
+        keep_schema(spark, location, stored)
+    return stored
+
+
+def evolved_schema(
+    spark: SparkSession, location: str, path: str, fmt: str, mode: str = "add", **options
+) -> StructType:
+    """The stored schema brought up to date with the files at ``path``, and stored again."""
+    arriving = read_files(spark, path, fmt, **options).schema
+    stored = _stored(spark, location)
+    schema = arriving if stored is None else evolve(stored, arriving, mode)
+    if schema != stored:
+        keep_schema(spark, location, schema)
+    return schema
+
+
+def _stored(spark: SparkSession, location: str) -> StructType | None:
     try:
-        stored = spark.read.text(location).first()
+        line = spark.read.text(location).first()
     except AnalysisException:
-        stored = None
-    if stored is not None:
-        import json
-
-        return StructType.fromJson(json.loads(stored[0]))
-    schema = read_files(spark, path, fmt, **options).schema
-    keep_schema(spark, location, schema)
-    return schema
+        return None
+    return StructType.fromJson(json.loads(line[0])) if line else None
 
 
 def keep_schema(spark: SparkSession, location: str, schema: StructType) -> None:
