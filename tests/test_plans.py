@@ -57,6 +57,28 @@ def test_broadcast_only_when_small(spark, t):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_hot_join_key_is_split(spark):
+    """Half of the rows share one key: the join runs in several tasks for it."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(0, 200_000, 1, 16).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+        dim = spark.range(200_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        joined = fact.join(dim, "k")
+        assert len(joined.collect()) == 200_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
 @pytest.mark.parametrize("name", ["dedup_latest_by_key", "lateral_topk", "latest_per_key"])
 def test_topk_is_limited_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in plan(QUERIES[name](spark, SF))

@@ -90,15 +90,31 @@ def orphans(child: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]])
     return known.alias("c").join(parent.select(*[p for _, p in on]).alias("p"), cond, "left_anti")
 
 
+def orphan_count(child: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
+    """Number of orphans; child rows are counted per key before they meet the parent."""
+    keys = [c for c, _ in on]
+    counted = child.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    lost = orphans(counted, parent, on)
+    return lost.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("violations"))
+
+
 def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
-    """One row per column: counts, null rate, distinct, min, max and, for numbers, mean and median."""
+    """One row per column: counts, null rate, distinct, min, max and, for numbers, mean and median.
+
+    Exact distinct counts are subqueries of one column each: together they read
+    the table once, and the main pass is not multiplied by the columns.
+    """
     aggs, rows = [F.count(F.lit(1)).alias("n")], []
+    distinct = [
+        df.select(F.col(f"`{f.name}`").alias("c")).distinct().agg(F.count("c")).scalar()
+        for f in (df.schema.fields if exact_distinct else [])
+    ]
     for i, f in enumerate(df.schema.fields):
         c, number = F.col(f"`{f.name}`"), isinstance(f.dataType, NumericType)
-        distinct = F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)
+        if not exact_distinct:
+            aggs.append(F.approx_count_distinct(c).alias(f"d{i}"))
         aggs += [
             F.count(c).alias(f"k{i}"),
-            distinct.alias(f"d{i}"),
             F.min(c).cast("string").alias(f"a{i}"),
             F.max(c).cast("string").alias(f"z{i}"),
         ]
@@ -114,7 +130,7 @@ def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
                 F.col("n").alias("rows"),
                 F.col(f"k{i}").alias("non_null"),
                 F.when(F.col("n") > 0, (F.col("n") - F.col(f"k{i}")) / F.col("n")).alias("null_rate"),
-                F.col(f"d{i}").alias("n_distinct"),
+                (distinct[i] if exact_distinct else F.col(f"d{i}")).alias("n_distinct"),
                 F.col(f"a{i}").alias("min_value"),
                 F.col(f"z{i}").alias("max_value"),
                 (F.round(f"m{i}", 4) if number else none).alias("mean"),

@@ -65,16 +65,21 @@ def word_counts(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     )
 
 
+def _tokens(df: DataFrame, key: str, text: str) -> DataFrame:
+    """One row per word. Joined to a broadcast table the words never leave their task."""
+    return df.select(key, F.explode(tx.words(F.col(text))).alias("word"))
+
+
 def lexicon_score(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """Sum of word polarities per document and its label.
 
     ``lexicon(word, polarity)`` is broadcast only when its measured size allows.
     """
     scored = (
-        word_counts(df, [key], text)
+        _tokens(df, key, text)
         .join(broadcast_if_small(lexicon), "word")
         .groupBy(key)
-        .agg(F.sum(F.col("n") * F.col("polarity")).alias("score"))
+        .agg(F.sum(F.col("polarity").cast("long")).alias("score"))
     )
     label = F.when(F.col("score") > 0, "positive").when(F.col("score") < 0, "negative").otherwise("neutral")
     return df.select(key).join(scored, key, "left").fillna(0, ["score"]).withColumn("sentiment", label)
@@ -83,18 +88,13 @@ def lexicon_score(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> Dat
 def keyword_class(df: DataFrame, key: str, text: str, keywords: DataFrame, default: str = "other") -> DataFrame:
     """Class with the most keyword hits per document; a tie goes to the first name."""
     hits = (
-        word_counts(df, [key], text)
+        _tokens(df, key, text)
         .join(broadcast_if_small(keywords), "word")
         .groupBy(key, "category")
-        .agg(F.sum("n").alias("hits"))
-        .groupBy(key)
-        .agg(F.min(F.struct((-F.col("hits")).alias("less"), "category")).alias("best"))
-    )
-    return df.select(key).join(hits, key, "left").select(
-        key,
-        F.coalesce("best.category", F.lit(default)).alias("category"),
-        F.coalesce(-F.col("best.less"), F.lit(0)).alias("hits"),
+        .agg(F.count(F.lit(1)).alias("hits"))
     )
+    best = latest_by(hits, [key], [F.desc("hits"), F.asc("category")])
+    return df.select(key).join(best, key, "left").fillna(default, ["category"]).fillna(0, ["hits"])
 
 
 def top_sentences(df: DataFrame, group: str, doc_id: str, text: str, min_words: int = 5) -> DataFrame:

@@ -266,7 +266,12 @@ def compare_runs(t):
 COLUMNS = ["chars", "n_words", "distinct_share", "digit_share", "mark_share", "lines"]
 
 
-def document_features(documents):
+def document_features(documents, only=None):
+    """Text measures per document; with ``only`` just for the documents listed there."""
+    texts = spread(documents.select("doc_id", "text"))
+    if only is not None:
+        texts = texts.join(only.select("doc_id"), "doc_id", "left_semi")
+
     def features(w):
         distinct = F.size(F.array_distinct(w)) / F.greatest(F.size(w), F.lit(1))
         return F.struct(F.size(w).cast("double").alias("n_words"), distinct.alias("distinct_share"))
@@ -276,7 +281,7 @@ def document_features(documents):
     def share(pattern):
         return F.regexp_count("text", F.lit(pattern)) / chars
 
-    return spread(documents.select("doc_id", "text")).select(
+    return texts.select(
         "doc_id",
         chars.alias("chars"),
         tx.bind(tx.words(F.col("text")), features).alias("w"),
@@ -288,7 +293,8 @@ def document_features(documents):
 
 def labelled(t):
     """Train and test rows, written once because every model reads them."""
-    rows = document_features(t.documents).join(t.labels.select("doc_id", "quality"), "doc_id")
+    labels = t.labels.select("doc_id", "quality")
+    rows = document_features(t.documents, labels).join(labels, "doc_id")
     split = settle(ml.stratified_split(rows, "doc_id", "quality"), "labelled")
     return split.filter("split = 'train'"), split.filter("split = 'test'")
 

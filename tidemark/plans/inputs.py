@@ -84,11 +84,12 @@ def sales(t: Tables, status: str | None = "F") -> DataFrame:
     """Star of order lines, customers, products and regions; ``F`` marks a completed order."""
     orders = t.orders if status is None else t.orders.filter(F.col("o_orderstatus") == status)
     place = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    buyers = t.customer.join(place, F.col("c_nationkey") == F.col("n_nationkey"))
+    # Customers and regions meet the orders first: the lines are shuffled on the order key once.
+    placed = orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
     return (
-        t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(place, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+        t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             "o_orderkey",
             "c_custkey",

@@ -17,6 +17,7 @@ from tidemark.plans.inputs import (
     silver_events,
 )
 from tidemark.plans.registry import query
+from tidemark.session import inline_rows
 
 RULES = [
     dq.Expectation("valid_event_id", "event_id IS NOT NULL", "drop"),
@@ -77,17 +78,16 @@ def check_constraint_report(t):
     UNION ALL SELECT 'documents.doc_id in labels', count(*) FROM documents ANTI JOIN labels USING (doc_id)""",
 )
 def pk_fk_report(t):
+    n = F.count(F.lit(1)).alias("violations")
     checks = {
-        "bronze.event_id unique": dq.duplicate_keys(bronze_events(t), ["event_id"]),
-        "orders.o_orderkey unique": dq.duplicate_keys(t.orders, ["o_orderkey"]),
-        "lineitem.l_orderkey in orders": dq.orphans(
-            t.lineitem.select("l_orderkey"), t.orders, [("l_orderkey", "o_orderkey")]
-        ),
-        "documents.doc_id in labels": dq.orphans(t.documents.select("doc_id"), t.labels, [("doc_id", "doc_id")]),
+        "bronze.event_id unique": dq.duplicate_keys(bronze_events(t), ["event_id"]).agg(n),
+        "orders.o_orderkey unique": dq.duplicate_keys(t.orders, ["o_orderkey"]).agg(n),
+        "lineitem.l_orderkey in orders": dq.orphan_count(t.lineitem, t.orders, [("l_orderkey", "o_orderkey")]),
+        "documents.doc_id in labels": dq.orphan_count(t.documents, t.labels, [("doc_id", "doc_id")]),
     }
     out = None
     for rule, bad in checks.items():
-        row = bad.agg(F.lit(rule).alias("rule"), F.count(F.lit(1)).alias("violations"))
+        row = bad.withColumn("rule", F.lit(rule))
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -231,7 +231,7 @@ def alerts(t):
         money_sum("value").alias("total_value"),
     )
     metrics = wide.unpivot([], wide.columns, "metric", "value")
-    rules = t.spark.createDataFrame(ALERTS, "alert string, metric string, op string, threshold double, muted boolean")
+    rules = inline_rows(t.spark, ALERTS, "alert string, metric string, op string, threshold double, muted boolean")
     return dq.evaluate_alerts(metrics, rules).select("alert", "metric", "value", "state")
 
 

@@ -27,7 +27,7 @@ from tidemark.plans.inputs import (
     silver_events,
 )
 from tidemark.plans.registry import query
-from tidemark.session import spread
+from tidemark.session import inline_rows, spread
 
 # --- layered flagship -------------------------------------------------------
 
@@ -305,7 +305,7 @@ prices(sku, list_price, price_start, price_end) AS (VALUES
 
 
 def price_list(spark):
-    rows = spark.createDataFrame(PRICES, "sku string, list_price double, price_start string, price_end string")
+    rows = inline_rows(spark, PRICES, "sku string, list_price double, price_start string, price_end string")
     return rows.select(
         "sku",
         F.col("list_price").cast("decimal(18,2)").alias("list_price"),

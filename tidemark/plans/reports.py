@@ -11,6 +11,7 @@ from tidemark.plans.inputs import AS_OF_EVENTS, AS_OF_ORDERS, SALES, mavg, msum,
 from tidemark.plans.registry import query
 from tidemark.plans.relational import PRICES_SQL, USAGE_SQL, price_list, usage
 from tidemark.plans.spec import run_spec
+from tidemark.session import inline_rows
 
 # --- views ------------------------------------------------------------------
 
@@ -213,6 +214,14 @@ def priced_usage(t) -> DataFrame:
     return rows.withColumn("cost", F.col("units") * F.col("list_price"))
 
 
+def priced_days(t) -> DataFrame:
+    """Usage summed per product code and day before it meets the prices, which change by day."""
+    day = F.to_date("used_at").cast("timestamp_ntz").alias("used_at")
+    daily = usage(t).groupBy("sku", day).agg(F.sum("units").alias("units"))
+    rows = validity_join(daily, price_list(t.spark), ["sku"], "used_at", "price_start", "price_end")
+    return rows.withColumn("cost", F.col("units") * F.col("list_price"))
+
+
 def _cost():
     return [F.sum("units").cast("double").alias("units"), F.sum("cost").cast("double").alias("cost")]
 
@@ -222,7 +231,7 @@ _COST = "CAST(sum(units) AS DOUBLE) AS units, CAST(sum(cost) AS DOUBLE) AS cost"
 
 @query("daily_cost", f"WITH {PRICED} SELECT CAST(CAST(used_at AS DATE) AS VARCHAR) AS day, sku, {_COST} FROM priced GROUP BY 1, 2")
 def daily_cost(t):
-    return priced_usage(t).groupBy(F.to_date("used_at").cast("string").alias("day"), "sku").agg(*_cost())
+    return priced_days(t).groupBy(F.to_date("used_at").cast("string").alias("day"), "sku").agg(*_cost())
 
 
 @query(
@@ -232,7 +241,7 @@ def daily_cost(t):
 def cost_by_sku(t):
     since = F.date_sub(F.lit(AS_OF_ORDERS).cast("date"), 365).cast("timestamp_ntz")
     return (
-        priced_usage(t).filter(F.col("used_at") >= since).groupBy("sku").agg(*_cost()).orderBy(F.desc("cost"), "sku").limit(10)
+        priced_days(t).filter(F.col("used_at") >= since).groupBy("sku").agg(*_cost()).orderBy(F.desc("cost"), "sku").limit(10)
     )
 
 
@@ -265,11 +274,11 @@ BUDGETS = [("A", 300.0), ("N", 900.0), ("R", 120.0)]
 def budget_status(t):
     """Spend so far in the month against the budget; at most 31 daily sums per window."""
     daily = (
-        priced_usage(t)
+        priced_days(t)
         .groupBy("sku", F.date_format("used_at", "yyyy-MM").alias("month"), F.to_date("used_at").cast("string").alias("day"))
         .agg(F.sum("cost").alias("cost"))
     )
-    budgets = t.spark.createDataFrame(BUDGETS, "sku string, budget double")
+    budgets = inline_rows(t.spark, BUDGETS, "sku string, budget double")
     so_far = F.sum("cost").over(W.partitionBy("sku", "month").orderBy("day")).cast("double")
     state = F.when(F.col("spent") > F.col("budget"), "over").when(F.col("spent") > F.col("budget") * 0.8, "near").otherwise("ok")
     return daily.withColumn("spent", so_far).join(budgets, "sku").withColumn("state", state).drop("cost")
@@ -369,7 +378,7 @@ def column_catalog(t):
     for table in CATALOG:
         df = getattr(t, table)
         fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-        schema = t.spark.createDataFrame(fields, "position int, column_name string, data_type string")
+        schema = inline_rows(t.spark, fields, "position int, column_name string, data_type string")
         found = dq.profile(df, exact_distinct=True).select("column_name", "rows", "null_rate", "n_distinct")
         part = schema.join(found, "column_name").withColumn("table_name", F.lit(table))
         out = part if out is None else out.unionByName(part)

@@ -12,7 +12,7 @@ from tidemark.functions.measures import count_where, money_sum
 from tidemark.operators import governance as gov, text as docs, vectors as vec
 from tidemark.plans.inputs import msum
 from tidemark.plans.registry import query
-from tidemark.session import settle, spread
+from tidemark.session import inline_rows, settle, spread
 
 
 def w(c: str) -> str:
@@ -251,7 +251,7 @@ _KEYWORD_SQL = ", ".join(f"('{c}', '{x}')" for c, ws in KEYWORDS for x in ws.spl
 )
 def classify_keywords(t):
     rows = [(c, x) for c, ws in KEYWORDS for x in ws.split()]
-    keywords = t.spark.createDataFrame(rows, "category string, word string")
+    keywords = inline_rows(t.spark, rows, "category string, word string")
     return docs.keyword_class(spread(t.documents.select("doc_id", "text")), "doc_id", "text", keywords)
 
 

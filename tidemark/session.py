@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -75,6 +77,15 @@ def folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tidemark/{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def inline_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A small settings table as literals of the plan, without a trip through Python workers."""
+    fields = StructType.fromDDL(ddl).fields
+    packed = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, row)]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*packed)))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores when a scan has fewer splits than there are cores.
 
