@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import Tables
+from tidemark.session import Tables, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +20,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name!r} is registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
             return fn(Tables(spark, sf_dir))
 
         run.__doc__ = fn.__doc__

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -31,6 +33,25 @@ def local_session(cores: int | str = 8, app: str = "tidemark") -> SparkSession:
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions that run in workers import it there; nothing has to be installed
+    on the executors or lie in their working folder.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark")
+    shutil.make_archive(name, "zip", os.path.dirname(package), os.path.basename(package))
+    context.addPyFile(f"{name}.zip")
+    _SHIPPED.add(context.applicationId)
+
+
 class Tables:
     """The parquet tables of one data folder, opened on first use."""
 
