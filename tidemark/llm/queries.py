@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import divergence, exact, mixing
+from tidemark.llm import bytebpe, divergence, exact, mixing
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import ship
 
+#: Where every machine has the public vocabulary files.
+VOCABULARIES = public_tokenizers.path
+PATTERN = public_tokenizers.PATTERN
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -46,4 +51,10 @@ def op5_exact_dedup(docs: DataFrame) -> DataFrame:
     return exact.exact_report(docs, keep="largest")
 
 
+@on("documents")
+def op6_byte_bpe(docs: DataFrame) -> DataFrame:
+    """Digests of the byte-level BPE ids and of what they decode to."""
+    return bytebpe.bpe_report(docs, VOCABULARIES("byte_bpe_50k.tiktoken"), PATTERN)
+
+
 __all__ = ["QUERIES", "ORACLES"]
