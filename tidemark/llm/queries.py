@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bytebpe, divergence, exact, mixing
+from tidemark.llm import bytebpe, divergence, exact, mixing, wavelet
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import ship
 
@@ -57,4 +57,10 @@ def op6_byte_bpe(docs: DataFrame) -> DataFrame:
     return bytebpe.bpe_report(docs, VOCABULARIES("byte_bpe_50k.tiktoken"), PATTERN)
 
 
+@on("documents")
+def op8_wavelet(docs: DataFrame) -> DataFrame:
+    """Token ids written as wavelet matrices and read back."""
+    return wavelet.wavelet_report(docs, VOCABULARIES("word_bpe_49k.json"))
+
+
 __all__ = ["QUERIES", "ORACLES"]
