@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bytebpe, divergence, exact, mixing, wavelet
+from tidemark.llm import bytebpe, divergence, exact, inverted, mixing, wavelet
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import ship
 
@@ -63,4 +63,10 @@ def op8_wavelet(docs: DataFrame) -> DataFrame:
     return wavelet.wavelet_report(docs, VOCABULARIES("word_bpe_49k.json"))
 
 
+@on("documents")
+def op9_minhash(docs: DataFrame) -> DataFrame:
+    """Components of documents with 85 % of their three-word shingles in common."""
+    return inverted.near_groups(docs, width=3, percent=85)
+
+
 __all__ = ["QUERIES", "ORACLES"]
