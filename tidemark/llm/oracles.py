@@ -120,3 +120,60 @@ WITH {_quality("documents")}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, class_distance, word_distance,
        base_failed, kept FROM verdicts
 """
+
+ORACLES["op7_url_filter"] = r"""
+WITH rules(host, path, verdict) AS (VALUES
+  ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+parts AS (
+  SELECT row_number() OVER () AS rid, page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+fits AS (
+  SELECT p.rid, r.host || r.path AS rule, r.verdict,
+         row_number() OVER (PARTITION BY p.rid ORDER BY length(r.host) + length(r.path) DESC, length(r.host) DESC) AS n
+  FROM parts p JOIN rules r
+    ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN (SELECT * FROM fits WHERE n = 1) USING (rid)
+"""
+
+ORACLES["op4_sharding"] = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, [0::BIGINT FOR x IN range(8)]),
+           lambda c, z: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t),
+rows AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, strlen(coalesce(text, ''))::BIGINT + 1 AS size
+  FROM documents),
+sums AS (
+  SELECT rid, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+           list_transform(regexp_extract_all(h, '..'), lambda i: ('0x' || i)::BIGINT)),
+           lambda c, b: xor(c // 256, t[(xor(c, b) & 255) + 1]))) AS text_crc32
+  FROM (SELECT rid, text, hex(encode(text)) AS h FROM rows), crc),
+ranked AS (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first FROM rows),
+groups AS (
+  SELECT text, sum(size)::BIGINT AS size, sum(sum(size)) OVER (ORDER BY first, sha256(text))::BIGINT AS e
+  FROM ranked GROUP BY text, first),
+totals AS (SELECT sum(size)::BIGINT AS total, max(size)::BIGINT AS largest FROM groups),
+ends AS (SELECT list(e ORDER BY e) AS l FROM groups),
+tries AS (
+  SELECT unnest(range(greatest(largest, (total + 15) // 16), greatest(largest, (total + 15) // 16) + largest + 1)) AS c
+  FROM totals),
+walk(c, j, p) AS (
+  SELECT c, 0, 0::BIGINT FROM tries
+  UNION ALL
+  SELECT w.c, w.j + 1, coalesce(g.e, 0)
+  FROM walk w ASOF LEFT JOIN groups g ON w.p + w.c >= g.e WHERE w.j < 16),
+best AS MATERIALIZED (SELECT min(c) AS c FROM walk, totals WHERE j = 16 AND p = total),
+cuts AS MATERIALIZED (SELECT j, p FROM walk WHERE c = (SELECT c FROM best) AND j BETWEEN 1 AND 15),
+sharded AS (
+  SELECT r.rid, r.doc_id, r.size, r.first, r.text,
+         (SELECT count(*) FROM cuts WHERE cuts.p <= g.e - g.size)::INT AS shard
+  FROM ranked r JOIN groups g USING (text))
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY first, sha256(text), doc_id) - 1 AS slot,
+       NULL::INT AS grown_shard
+FROM sharded JOIN sums USING (rid)
+"""

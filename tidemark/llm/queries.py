@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bytebpe, divergence, exact, inverted, mixing, wavelet
+from tidemark.llm import bytebpe, divergence, exact, inverted, mixing, sharding, urlrules, wavelet
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import ship
 
@@ -45,6 +45,14 @@ def op3_mixing(docs: DataFrame) -> DataFrame:
     return mixing.mixture(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@on("documents")
+def op4_sharding(docs: DataFrame) -> DataFrame:
+    """Sixteen shards of nearly equal bytes; equal texts stay together."""
+    return sharding.shards(docs, 16).withColumns(
+        {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}
+    )
+
+
 @on("documents")
 def op5_exact_dedup(docs: DataFrame) -> DataFrame:
     """Copies after lower-casing A-Z; the largest id stays."""
@@ -69,4 +77,20 @@ def op9_minhash(docs: DataFrame) -> DataFrame:
     return inverted.near_groups(docs, width=3, percent=85)
 
 
+# Fixed values of the URL filter: host, path, verdict.
+RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@on("pages")
+def op7_url_filter(pages: DataFrame) -> DataFrame:
+    """The rule that decides on each page's URL, and its verdict."""
+    return urlrules.judged(pages, urlrules.rule_table(pages.sparkSession, RULES))
+
+
 __all__ = ["QUERIES", "ORACLES"]
