@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bytebpe, divergence, exact, inverted, mixing, sharding, urlrules, wavelet
+from tidemark.llm import bytebpe, divergence, exact, inverted, mixing, secretscan, sharding, urlrules, wavelet
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import ship
 
@@ -93,4 +93,10 @@ def op7_url_filter(pages: DataFrame) -> DataFrame:
     return urlrules.judged(pages, urlrules.rule_table(pages.sparkSession, RULES))
 
 
+@on("documents")
+def op10_secrets(docs: DataFrame) -> DataFrame:
+    """Base matches and spans of a learned credential format."""
+    return secretscan.secrets(docs)
+
+
 __all__ = ["QUERIES", "ORACLES"]
