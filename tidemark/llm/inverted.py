@@ -56,8 +56,8 @@ class Shingler:
         self.a = rng.integers(1, 2**63, size=(COORDINATES, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.b = rng.integers(0, 2**63, size=(COORDINATES, 1), dtype=np.uint64)
 
-    def shingles(self, text: bytes | None) -> np.ndarray:
-        """Sorted distinct hashes. ``bytes`` methods split and lower-case by ASCII only, as the word rule does."""
+    def words(self, text: bytes | None) -> np.ndarray:
+        """Hashes of the words in order. ``bytes`` methods split and lower-case by ASCII only, as the word rule does."""
         found = (text or b"").lower().split()
         known = self.known
         new = {*found}.difference(known)
@@ -66,14 +66,19 @@ class Shingler:
                 known.clear()
                 new = {*found}
             known.update(zip(new, map(self.hash, new)))
-        h = np.fromiter(map(known.__getitem__, found), dtype=np.uint64, count=len(found))
-        if not len(h):
-            return h
+        return np.fromiter(map(known.__getitem__, found), dtype=np.uint64, count=len(found))
+
+    def windows(self, h: np.ndarray) -> np.ndarray:
+        """Hash of each run of ``width`` words; a shorter text is one run."""
         width = min(self.width, len(h))
-        total = np.full(len(h) - width + 1, width, dtype=np.uint64)
+        total = np.full(len(h) - width + 1 if width else 0, width, dtype=np.uint64)
         for k in range(width):
             total += h[k : k + len(total)] * self.weights[k]
-        return np.unique(_mixed(total))
+        return _mixed(total)
+
+    def shingles(self, text: bytes | None) -> np.ndarray:
+        """Sorted distinct hashes of the word shingles."""
+        return np.unique(self.windows(self.words(text)))
 
     def coordinates(self, s: np.ndarray) -> np.ndarray:
         """The least hash under each of the permutations, mixed with the coordinate's number."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bytebpe, divergence, exact, inverted, mixing, secretscan, sharding, urlrules, wavelet
+from tidemark.llm import bytebpe, chains, divergence, exact, inverted, mixing, secretscan, sharding, urlrules, wavelet
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import ship
 
@@ -33,6 +33,12 @@ def on(table: str):
     return register
 
 
+@on("documents")
+def op1_repeated_passages(docs: DataFrame) -> DataFrame:
+    """Fuzzy passages of 50 words and more that repeat in a document with a smaller id."""
+    return chains.passages(docs)
+
+
 @on("documents")
 def op2_quality_rules(docs: DataFrame) -> DataFrame:
     """Base counts and the verdict by divergence from the document's language."""
