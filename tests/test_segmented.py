@@ -44,7 +44,7 @@ def test_plan_measures_the_largest_key(hot):
 
 
 def test_segments_are_small_and_ordered(hot, cut):
-    seg = hot.withColumn("s", cut)
+    seg = sg.with_segments(hot, ORDER, cut).withColumnRenamed(sg.SEG, "s")
     assert seg.groupBy("k", "s").count().agg(F.max("count")).first()[0] <= 250
     w = W.partitionBy("k").orderBy(*ORDER)
     assert seg.withColumn("p", F.lag("s").over(w)).filter("p > s").count() == 0
@@ -70,8 +70,42 @@ def test_last_seen(hot, cut):
     check(sg.last_seen(hot, KEYS, ORDER, "v", "out", cut), sg.last_seen(hot, KEYS, ORDER, "v", "out", None))
 
 
+def test_ranges_take_any_order(hot):
+    """Text, and three columns of which the first two are the same in most rows."""
+    rows = hot.select("k", F.lit(1).alias("one"), F.when(F.col("day") == 500, "x").otherwise("y").alias("text"), "id", "v")
+    for order in (["text", "id"], ["one", "text", "id"]):
+        want = sg.running_sum(rows, ["k"], order, "v", "out", None)
+        check(sg.running_sum(rows, ["k"], order, "v", "out", sg.Ranges(7)), want)
+        assert sg.with_segments(rows, order, sg.Ranges(7)).groupBy(sg.SEG).count().agg(F.max("count")).first()[0] < 1000
+
+
+def test_many_ranges_are_not_capped(hot):
+    assert sg.plan(hot, KEYS, ORDER, max_rows=1).parts == 3000
+    assert sg.plan(hot, [], ORDER, max_rows=100).parts == 30
+
+
+def test_exact_quantiles(spark):
+    import math
+
+    from tidemark.operators.quantiles import exact_quantiles
+
+    rows = [(None if i % 4 == 3 else i % 2, float((i * 7919) % 501) if i % 11 else None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k long, v double")
+    shares = ["0.1", "0.5", "0.95", "1"]
+    for keys, seg in ((["k"], None), (["k"], sg.Ranges(5)), ([], sg.Ranges(6)), ([], sg.AUTO)):
+        found = exact_quantiles(df, keys, "v", shares, segment=seg).collect()
+        assert len(found) == (3 if keys else 1)
+        for r in found:
+            values = sorted(v for k, v in rows if v is not None and (not keys or k == r["k"]))
+            want = [values[max(1, math.ceil(round(float(s) * len(values), 9))) - 1] for s in shares]
+            assert r["quantiles"] == want
+    none = df.filter("false")
+    assert exact_quantiles(none, ["k"], "v", shares).collect() == []
+    assert exact_quantiles(none, [], "v", shares).first()[0] == [None] * 4
+
+
 def test_without_keys(hot):
-    cut = sg.plan(hot, [], ORDER, max_rows=100)
+    cut = sg.Ranges(9)
     check(sg.running_sum(hot, [], ORDER, "v", "out", cut), sg.running_sum(hot, [], ORDER, "v", "out", None))
 
 
@@ -117,5 +151,5 @@ def test_scd2_segmented(hot):
 )
 def test_registered_queries_when_keys_are_too_large(spark, monkeypatch, name):
     """The same queries with a limit so low that every key is cut."""
-    monkeypatch.setattr(sg, "MAX_ROWS", 5)
+    monkeypatch.setattr(sg, "MAX_ROWS", 60)
     assert compare(spark, connect(SF), SF, QUERIES[name], ORACLES[name]) is None

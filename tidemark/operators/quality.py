@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
+from tidemark.operators.quantiles import exact_quantiles
+
 
 @dataclass(frozen=True)
 class Expectation:
@@ -109,6 +112,11 @@ def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
         df.select(F.col(f"`{f.name}`").alias("c")).distinct().agg(F.count("c")).scalar()
         for f in (df.schema.fields if exact_distinct else [])
     ]
+    medians = {
+        i: exact_quantiles(df.select(F.col(f"`{f.name}`").alias("c")), [], "c", ["0.5"]).select(F.col("quantiles")[0].cast("double")).scalar()
+        for i, f in enumerate(df.schema.fields)
+        if isinstance(f.dataType, NumericType)
+    }
     for i, f in enumerate(df.schema.fields):
         c, number = F.col(f"`{f.name}`"), isinstance(f.dataType, NumericType)
         if not exact_distinct:
@@ -121,7 +129,6 @@ def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
         if number:
             aggs += [
                 F.avg(c).alias(f"m{i}"),
-                F.percentile_approx(c, 0.5, 100_000).cast("double").alias(f"h{i}"),
             ]
         none = F.lit(None).cast("double")
         rows.append(
@@ -134,7 +141,7 @@ def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
                 F.col(f"a{i}").alias("min_value"),
                 F.col(f"z{i}").alias("max_value"),
                 (F.round(f"m{i}", 4) if number else none).alias("mean"),
-                (F.col(f"h{i}") if number else none).alias("median"),
+                (medians[i] if number else none).alias("median"),
             )
         )
     return as_rows(df.agg(*aggs), rows)
@@ -154,10 +161,11 @@ def zscores(df: DataFrame, column: str, threshold: float = 3.0) -> DataFrame:
 def drift(baseline: DataFrame, current: DataFrame, column: str, buckets: int = 10) -> DataFrame:
     """Mean shift in baseline deviations and the population stability index.
 
-    Buckets are the baseline's quantiles; both sides are counted per bucket.
+    Buckets are the baseline's exact quantiles; both sides are counted per bucket.
+    A side without values has no psi, a baseline without spread no shift and no ratio.
     """
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = baseline.agg(F.percentile_approx(column, shares, 100_000)).scalar()
+    shares = [str(Decimal(i) / buckets) for i in range(1, buckets)]
+    cuts = exact_quantiles(baseline, [], column, shares).scalar()
 
     def counted(df: DataFrame, side: str) -> DataFrame:
         below = F.lit(0)
@@ -172,14 +180,16 @@ def drift(baseline: DataFrame, current: DataFrame, column: str, buckets: int = 1
 
     b, c = stats(baseline), stats(current)
     per_bucket = counted(baseline, "b").join(counted(current, "c"), "bucket", "full_outer").fillna(0)
-    p = F.greatest(F.col("b") / b["n"], F.lit(1e-6))
-    q = F.greatest(F.col("c") / c["n"], F.lit(1e-6))
-    psi = per_bucket.select(((q - p) * F.ln(q / p)).alias("part")).agg(F.sum("part").alias("psi"))
+    p = F.greatest(F.col("b") / F.nullif(b["n"], F.lit(0)), F.lit(1e-6))
+    q = F.greatest(F.col("c") / F.nullif(c["n"], F.lit(0)), F.lit(1e-6))
+    both = (b["n"] > 0) & (c["n"] > 0)
+    psi = per_bucket.select(F.when(both, (q - p) * F.ln(q / p)).alias("part")).agg(F.sum("part").alias("psi"))
+    spread = F.nullif(b["sd"], F.lit(0.0))
     return psi.select(
         F.round(b["mean"], 4).alias("baseline_mean"),
         F.round(c["mean"], 4).alias("current_mean"),
-        F.round((c["mean"] - b["mean"]) / b["sd"], 6).alias("mean_shift"),
-        F.round(c["sd"] / b["sd"], 6).alias("sd_ratio"),
+        F.round((c["mean"] - b["mean"]) / spread, 6).alias("mean_shift"),
+        F.round(c["sd"] / spread, 6).alias("sd_ratio"),
         F.round("psi", 6).alias("psi"),
     )
 

@@ -3,58 +3,54 @@
 A plain ``Window.partitionBy(key)`` sends all rows of a key to one task. That
 is the best plan while the largest key fits a task, and a failure when one key
 holds a third of the table. ``plan`` measures the largest key; above
-``MAX_ROWS`` the rows of a key are cut into *segments* along the order: windows
-run inside (key, segment), one small summary row per segment is carried forward
-along the key, and the two are added. The large side is shuffled once, on
-(key, segment), and that partitioning serves both the join with the carried
-summary and the window.
+``MAX_ROWS`` the rows are dealt into *segments*, ranges of the whole order:
+windows run inside (key, segment), one small summary row per segment is carried
+forward along the key, and the two are added. The large side is shuffled once,
+on (key, segment), and that partitioning serves both the join with the carried
+summary and the window. Without keys all rows are one key, so there the limit
+is ``KEYLESS_ROWS``.
 
 Every function takes ``segment``: ``AUTO`` measures, ``None`` is the plain
-window, a column is used as it is and must not decrease along ``order``. Keys
-must not be null.
+window, ``Ranges(n)`` deals into n ranges, a column is used as it is and must
+not decrease along ``order``. Keys must not be null.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+
+from tidemark.session import settle
 
 SEG = "__segment"
 AUTO = object()
-# Rows of one key that a single task may sort.
+# Rows of one key that a single task may sort, and rows of a frame without keys.
 MAX_ROWS = 5_000_000
-# Literal cut points of one order column.
-MAX_PARTS = 512
+KEYLESS_ROWS = 100_000
 
 
-def plan(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None = None) -> Column | None:
-    """None when every key fits a task, else a segment column of about even size.
+@dataclass(frozen=True)
+class Ranges:
+    """Segments by Spark's range partitioning: any orderable type, all order columns, any number."""
 
-    Segments are quantile ranges of the first order column over all rows, so a
-    segment is small whatever the share of one key. A value that fills whole
-    ranges by itself is cut again along the second order column.
-    """
-    limit = MAX_ROWS if max_rows is None else max_rows
+    parts: int
+
+
+def plan(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None = None) -> Ranges | None:
+    """None when every key fits a task, else ranges of about even size over all rows."""
+    limit = max_rows or (MAX_ROWS if keys else min(MAX_ROWS, KEYLESS_ROWS))
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     largest, total = sizes.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    if largest <= limit:
-        return None
-    parts = min(MAX_PARTS, max(2, -(-total // limit)))
-    ranked = (NumericType, DateType, TimestampType, TimestampNTZType)
-    usable = [c for c in order[:2] if isinstance(df.schema[c].dataType, ranked)]
-    if not usable or usable[0] != order[0]:
-        raise TypeError(f"order column {order[0]!r} must be a number or a time")
-    shares = [i / parts for i in range(1, parts)]
-    found = df.agg(*[F.percentile_approx(c, shares, 10_000).alias(c) for c in usable]).first()
-    cuts = found[order[0]]
-    segment = search(F.col(order[0]), cuts)
-    heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-    if heavy and len(usable) == 2:
-        inner = F.when(F.col(order[0]).isin(heavy), search(F.col(order[1]), found[order[1]])).otherwise(F.lit(0))
-        return F.struct(segment.alias("a"), inner.alias("b"))
-    return segment
+    return None if largest <= limit else Ranges(max(2, -(-total // limit)))
+
+
+def with_segments(df: DataFrame, order: Sequence[str], segment) -> DataFrame:
+    """``df`` with its segment, stored when it is the number of a range: a number must not change on a re-run."""
+    if not isinstance(segment, Ranges):
+        return df.withColumn(SEG, segment)
+    return settle(df.repartitionByRange(segment.parts, *order).withColumn(SEG, F.spark_partition_id()), "segments")
 
 
 def search(c: Column, cuts: Sequence) -> Column:
@@ -70,7 +66,7 @@ def search(c: Column, cuts: Sequence) -> Column:
     return half(0, len(cuts))
 
 
-def _resolve(df, keys, order, segment) -> Column | None:
+def _resolve(df, keys, order, segment):
     return plan(df, keys, order) if segment is AUTO else segment
 
 
@@ -98,7 +94,7 @@ def running_sum(
     if segment is None:
         upto = _over(keys).orderBy(*order).rowsBetween(W.unboundedPreceding, last)
         return df.withColumn(out, F.coalesce(F.sum(value).over(upto), zero))
-    seg = df.withColumn(SEG, segment)
+    seg = with_segments(df, order, segment)
     parts = seg.groupBy(*keys, SEG).agg(F.sum(value).alias("__part"))
     earlier = _over(keys).orderBy(SEG).rowsBetween(W.unboundedPreceding, -1)
     carry = parts.withColumn("__carry", F.sum("__part").over(earlier)).drop("__part")
@@ -115,7 +111,7 @@ def row_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], out:
     segment = _resolve(df, keys, order, segment)
     if segment is None:
         return df.withColumn(out, F.row_number().over(_over(keys).orderBy(*order)))
-    seg = df.withColumn(SEG, segment)
+    seg = with_segments(df, order, segment)
     parts = seg.groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("__part"))
     earlier = _over(keys).orderBy(SEG).rowsBetween(W.unboundedPreceding, -1)
     carry = parts.withColumn("__carry", F.sum("__part").over(earlier)).drop("__part")
@@ -144,7 +140,7 @@ def neighbour(
     at_edge, step = (F.min_by, F.lead) if following else (F.max_by, F.lag)
     if segment is None:
         return df.withColumn(out, step(value).over(_over(keys).orderBy(*order)))
-    seg = df.withColumn(SEG, segment)
+    seg = with_segments(df, order, segment)
     ends = seg.groupBy(*keys, SEG).agg(at_edge(F.col(value), _point(order)).alias("__end"))
     carry = ends.withColumn("__carry", step("__end").over(_over(keys).orderBy(SEG))).drop("__end")
     inside = W.partitionBy(*keys, SEG).orderBy(*order)
@@ -164,7 +160,7 @@ def last_seen(
     if segment is None:
         upto = _over(keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
         return df.withColumn(out, F.last(value, ignorenulls=True).over(upto))
-    seg = df.withColumn(SEG, segment)
+    seg = with_segments(df, order, segment)
     # Rows without a value have no point, so they never win.
     known = F.when(F.col(value).isNotNull(), _point(order))
     ends = seg.groupBy(*keys, SEG).agg(F.max_by(F.col(value), known).alias("__end"))
@@ -198,7 +194,7 @@ def ranks(
         above = F.coalesce(F.sum("__n").over(down.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
         placed = levels.select(*keys, measure, (above + 1).alias(rank), F.row_number().over(down).alias(dense))
         return df.join(placed, [*keys, measure], "left")
-    levels = levels.withColumn(SEG, segment)
+    levels = with_segments(levels, [measure], segment)
     parts = levels.groupBy(*keys, SEG).agg(
         F.sum("__n").alias("__rows"), F.count(F.lit(1)).alias("__values")
     )

@@ -13,6 +13,7 @@ from tidemark.operators.joins import (
     latest_by,
     validity_join,
 )
+from tidemark.operators.quantiles import exact_quantiles
 from tidemark.operators.vectors import lateral_topk
 from tidemark.plans.inputs import (
     AS_OF_EVENTS,
@@ -487,10 +488,9 @@ def distinct_counts(t):
     FROM events GROUP BY 1, 2""",
 )
 def daily_p95(t):
-    # A bounded sketch per group; exact while a group has fewer rows than the accuracy.
-    return t.events.groupBy(F.to_date("ts").cast("string").alias("event_date"), "event_type").agg(
-        F.percentile_approx("value", 0.95, 100_000).alias("p95_value")
-    )
+    rows = t.events.select(F.to_date("ts").cast("string").alias("event_date"), "event_type", "value")
+    found = exact_quantiles(rows, ["event_date", "event_type"], "value", ["0.95"])
+    return found.select("event_date", "event_type", F.col("quantiles")[0].alias("p95_value"))
 
 
 @query(
@@ -551,13 +551,17 @@ def success_rate(t):
     FROM silver GROUP BY event_date, event_type, is_weekend""",
 )
 def gold_daily_metrics(t):
-    return silver_events(t).groupBy("event_date", "event_type", "is_weekend").agg(
+    keys = ["event_date", "event_type", "is_weekend"]
+    rows = silver_events(t)
+    daily = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("event_count"),
         F.count_distinct("user_id").alias("unique_users"),
         money_sum("value").alias("total_value"),
         money_avg("value").alias("avg_value"),
-        F.percentile_approx("value", 0.95, 100_000).alias("p95_value"),
     )
+    # One row per day, type and weekend mark: a group without any value keeps its row.
+    high = exact_quantiles(rows, keys, "value", ["0.95"]).withColumn("p95_value", F.col("quantiles")[0])
+    return daily.join(high.drop("quantiles"), keys, "left")
 
 
 @query(
