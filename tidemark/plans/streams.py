@@ -11,8 +11,12 @@ from tidemark.plans.registry import query
 from tidemark.streaming import jobs
 
 
-def event_stream(t, delay="1 hour"):
-    return jobs.timed(jobs.table_stream(t.spark, t.path("events")), "ts", delay)
+def event_stream(t, delay="1 hour", closed=False):
+    """Events with a watermark; ``closed`` adds a late beat, so that every window of theirs is written."""
+    raw = jobs.table_stream(t.spark, t.path("events"))
+    if closed:
+        raw = raw.unionByName(jobs.closing_beat(t.events, "ts", t.folder("beat")))
+    return jobs.timed(raw, "ts", delay)
 
 
 def _aggs():
@@ -51,24 +55,24 @@ def stream_append_finalised(t):
 
 @query(
     "stream_sliding",
-    f"""SELECT * FROM (SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n, {msum('value')} AS total
+    f"""SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n, {msum('value')} AS total
       FROM (SELECT *, unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS s
-            FROM events) GROUP BY 1, 2, 3) WHERE {CLOSED}""",
+            FROM events) GROUP BY 1, 2, 3""",
 )
 def stream_sliding(t):
-    agg = jobs.windowed(event_stream(t), "ts", "1 hour", ["event_type"], _aggs(), slide="30 minutes")
+    agg = jobs.windowed(event_stream(t, closed=True), "ts", "1 hour", ["event_type"], _aggs(), slide="30 minutes")
     return _finished(t, agg, "sliding")
 
 
 @query(
     "stream_session",
-    f"""SELECT * FROM (SELECT min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, user_id, count(*) AS n, {msum('value')} AS total
+    f"""SELECT min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, user_id, count(*) AS n, {msum('value')} AS total
       FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS sid FROM (
         SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh
-        FROM events)) GROUP BY user_id, sid) WHERE {CLOSED}""",
+        FROM events)) GROUP BY user_id, sid""",
 )
 def stream_session(t):
-    return _finished(t, jobs.sessions(event_stream(t), "ts", "30 minutes", ["user_id"], _aggs()), "sessions")
+    return _finished(t, jobs.sessions(event_stream(t, closed=True), "ts", "30 minutes", ["user_id"], _aggs()), "sessions")
 
 
 @query("stream_dedup", "SELECT event_id, event_type, user_id FROM events")
@@ -124,21 +128,30 @@ def stream_foreachbatch_merge(t):
     return log.current()
 
 
-@query("stream_approx_users")
+@query(
+    "stream_approx_users",
+    """SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+      count(*) AS n, count(DISTINCT user_id) AS exact_users, TRUE AS within_bound FROM events GROUP BY 1, 2""",
+)
 def stream_approx_users(t):
-    """Distinct users per day; exact distinct is not allowed on a stream."""
+    """Distinct users per day from a stream, where exact distinct is not allowed, beside the exact number of a batch."""
     users = [F.approx_count_distinct("user_id", 0.01).alias("users"), F.count(F.lit(1)).alias("n")]
-    return _finished(t, jobs.windowed(event_stream(t), "ts", "1 day", [], users), "users")
+    found = _finished(t, jobs.windowed(event_stream(t, closed=True), "ts", "1 day", [], users), "users")
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    exact = t.events.groupBy(day.alias("window_start")).agg(F.count_distinct("user_id").alias("exact_users"))
+    off = F.abs(F.col("users") - F.col("exact_users"))
+    return found.join(exact, "window_start").select(
+        "window_start", "window_end", "n", "exact_users", (off <= F.ceil(0.05 * F.col("exact_users"))).alias("within_bound")
+    )
 
 
 @query(
     "stream_medallion",
-    f"""SELECT * FROM (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
-      event_type, count(*) AS n, {msum('value')} AS total FROM events WHERE value >= 5 GROUP BY 1, 2, 3) WHERE
-      window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE value >= 5)""",
+    f"""SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+      event_type, count(*) AS n, {msum('value')} AS total FROM events WHERE value >= 5 GROUP BY 1, 2, 3""",
 )
 def stream_medallion(t):
-    """Three chained streams: raw copy, valid rows, finished daily metrics."""
+    """Three chained streams: raw copy, valid rows, daily metrics of every day."""
     bronze, silver = t.folder("bronze"), t.folder("silver")
     raw = jobs.table_stream(t.spark, t.path("events"))
     jobs.run_append(raw, bronze, t.folder("checkpoint"))
@@ -146,5 +159,6 @@ def stream_medallion(t):
         t.spark.readStream.schema(raw.schema).parquet(bronze), [Expectation("large_enough", "value >= 5", "drop")]
     )
     jobs.run_append(valid, silver, t.folder("checkpoint"))
-    clean = jobs.timed(t.spark.readStream.schema(valid.schema).parquet(silver), "ts", "1 hour")
+    beat = jobs.closing_beat(t.spark.read.schema(valid.schema).parquet(silver), "ts", t.folder("beat"))
+    clean = jobs.timed(t.spark.readStream.schema(valid.schema).parquet(silver).unionByName(beat), "ts", "1 hour")
     return _finished(t, jobs.windowed(clean, "ts", "1 day", ["event_type"], _aggs()), "gold")

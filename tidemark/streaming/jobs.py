@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -37,6 +37,18 @@ def run_append(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence
     return q
 
 
+def closing_beat(rows: DataFrame, time: str, path: str, after: str = "400 days") -> DataFrame:
+    """A stream of one row, null but for a time ``after`` the newest of ``rows``.
+
+    Put together with the stream of ``rows`` it moves the watermark past every
+    window they opened, so append mode writes them all; its own window stays open.
+    """
+    newest = rows.agg((F.max(time) + F.expr(f"INTERVAL {after}")).alias(time))
+    beat = newest.select(*[F.col(f.name) if f.name == time else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+    beat.write.parquet(path)
+    return rows.sparkSession.readStream.schema(rows.schema).parquet(path)
+
+
 def run_batches(
     df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
 ) -> StreamingQuery:
@@ -65,7 +77,14 @@ class UpsertLog:
         self.spark, self.root, self.schema, self.keys = spark, root, schema, list(keys)
 
     def upsert(self, batch: DataFrame, batch_id: int, newest: Sequence[Column] | None = None) -> None:
-        rows = batch if newest is None else latest_by(batch, self.keys, newest)
+        """Write the batch. Without ``newest`` a key that comes twice in it fails the batch, as in a merge."""
+        if newest is None:
+            again = F.count(F.lit(1)).over(W.partitionBy(*self.keys))
+            twice = F.concat(F.lit("key twice in one batch: "), F.to_json(F.struct(*self.keys)))
+            rows = batch.withColumn("__n", again)
+            rows = rows.filter(F.when(F.col("__n") > 1, F.raise_error(twice).cast("boolean")).otherwise(True))
+        else:
+            rows = latest_by(batch, self.keys, newest)
         rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.root}/batch_id={batch_id}")
 
     def current(self) -> DataFrame:
