@@ -95,7 +95,7 @@ def test_pii_tags(spark):
 
 def test_lineage_diamond(spark, rows):
     edges = spark.createDataFrame([("d", "b"), ("d", "c"), ("b", "a"), ("c", "a"), ("a", "r")], "node string, upstream string")
-    got = rows(gov.upstream(edges, 3))
+    got = rows(gov.upstream(edges))
     assert ("d", "a", 2) in got and ("d", "r", 3) in got and len(got) == 9
 
 

@@ -7,6 +7,8 @@ from collections.abc import Collection, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
+from tidemark.session import settle
+
 # What counts as personal data.
 PII_PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
@@ -35,8 +37,10 @@ def row_policy(
 
 
 def mask_email(c: Column) -> Column:
-    masked = F.concat(F.substring(c, 1, 2), F.lit("***@"), F.split(c, "@")[1])
-    return F.when(c.isNotNull(), masked)
+    """First two characters and the domain; a value without ``@`` is hidden whole."""
+    domain = F.get(F.split(c, "@"), F.lit(1))
+    masked = F.concat(F.substring(c, 1, 2), F.lit("***@"), domain)
+    return F.when(c.isNotNull(), F.when(domain.isNull(), F.lit("***")).otherwise(masked))
 
 
 def mask_phone(c: Column) -> Column:
@@ -91,26 +95,24 @@ def classify_columns(df: DataFrame, table: str, threshold: float = 0.01) -> Data
     return tagged.withColumn("pii", F.coalesce(F.col("hit_rate") >= threshold, F.lit(False)))
 
 
-def upstream(edges: DataFrame, max_depth: int) -> DataFrame:
-    """Every ``(node, upstream, depth)`` within ``max_depth`` steps of ``edges(node, upstream)``.
+def upstream(edges: DataFrame) -> DataFrame:
+    """Every ``(node, upstream, depth)`` along ``edges(node, upstream)``, chains of any length.
 
-    A pair met on several paths keeps its shortest depth. The depth is fixed, so
-    the steps are one plan; each step is an equi-join with the edge list.
+    A pair met on several paths keeps its shortest depth, so cycles end too. Each
+    step joins the newest pairs with the edge list and drops the known ones; it is
+    stored, so no step is worked out twice. It ends when a step finds nothing new.
     """
-    step = edges.select("node", "upstream").distinct()
+    step = settle(edges.select("node", "upstream").distinct(), "lineage-edges")
     hop = step.select(F.col("node").alias("upstream"), F.col("upstream").alias("__next"))
-    reached = step.withColumn("depth", F.lit(1).cast("long"))
-    frontier = reached
-    for depth in range(2, max_depth + 1):
-        frontier = (
-            frontier.select("node", "upstream")
-            .join(hop, "upstream")
-            .select("node", F.col("__next").alias("upstream"))
-            .distinct()
-            .withColumn("depth", F.lit(depth).cast("long"))
-        )
-        reached = reached.unionByName(frontier)
-    return reached.groupBy("node", "upstream").agg(F.min("depth").alias("depth"))
+    known, depth = step.withColumn("depth", F.lit(1).cast("long")), 1
+    frontier = step
+    while True:
+        depth += 1
+        further = frontier.join(hop, "upstream").select("node", F.col("__next").alias("upstream")).distinct()
+        frontier = settle(further.join(known, ["node", "upstream"], "left_anti"), "lineage-step")
+        if frontier.isEmpty():
+            return known
+        known = known.unionByName(frontier.withColumn("depth", F.lit(depth).cast("long")))
 
 
 def paged_sets(

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from tidemark.operators import segmented
 
@@ -14,12 +14,17 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows: text by its bytes, every other column as 16 bytes."""
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    fixed = 16 * (len(df.columns) - len(text))
-    width = F.lit(fixed)
-    for c in text:
-        width = width + F.coalesce(F.octet_length(c), F.lit(0))
+    """Size of the rows: text and bytes by their length, numbers and times as 16 bytes, all else by its JSON text."""
+    width = F.lit(0)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            size = F.octet_length(c)
+        elif isinstance(f.dataType, (ArrayType, StructType, MapType)):
+            size = F.length(F.to_json(F.struct(c)))
+        else:
+            size = F.lit(16)
+        width = width + F.coalesce(size, F.lit(0))
     return int(df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0])
 
 

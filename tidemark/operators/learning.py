@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
@@ -122,9 +122,11 @@ def classifiers(label: str) -> dict:
 
 
 def stages(columns: Sequence[str], estimator) -> Pipeline:
+    """Null features take the training mean, so no row is left out, neither in training nor in scoring."""
     return Pipeline(
         stages=[
-            VectorAssembler(inputCols=list(columns), outputCol="raw", handleInvalid="skip"),
+            Imputer(inputCols=list(columns), outputCols=[f"__{c}" for c in columns], strategy="mean"),
+            VectorAssembler(inputCols=[f"__{c}" for c in columns], outputCol="raw"),
             StandardScaler(inputCol="raw", outputCol="features", withMean=True),
             estimator,
         ]

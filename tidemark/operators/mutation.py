@@ -141,10 +141,14 @@ def apply_changes(target: DataFrame, feed: DataFrame, keys: Sequence[str]) -> Da
 
 
 def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Counts of a copy against its original: rows, missing, extra, different."""
+    """Counts of a copy against its original: rows, missing, extra, different.
+
+    The hash takes a mark for each null besides the values, since it would skip a null.
+    """
 
     def digest(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, F.xxhash64(*[F.col(c) for c in a.columns]).alias(name))
+        values = [x for c in a.columns for x in (F.col(c).isNull(), F.col(c))]
+        return df.select(*keys, F.xxhash64(*values).alias(name))
 
     both = digest(a, "__a").join(digest(b, "__b"), list(keys), "full_outer")
     return both.agg(

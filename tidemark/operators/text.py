@@ -98,7 +98,11 @@ def keyword_class(df: DataFrame, key: str, text: str, keywords: DataFrame, defau
 
 
 def top_sentences(df: DataFrame, group: str, doc_id: str, text: str, min_words: int = 5) -> DataFrame:
-    """The sentence of each group whose words occur in the most documents on average."""
+    """The sentence of each group whose words occur in the most documents on average.
+
+    Sentences of ``min_words`` different words come first; a group that has none
+    is summed up by a shorter one.
+    """
     spread = settle(
         df.select(doc_id, F.explode(F.array_distinct(tx.words(F.col(text)))).alias("word"))
         .groupBy("word")
@@ -111,10 +115,10 @@ def top_sentences(df: DataFrame, group: str, doc_id: str, text: str, min_words:
         terms.join(broadcast_if_small(spread), "word")
         .groupBy(group, doc_id, "pos")
         .agg(F.sum("docs").alias("weight"), F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= min_words)
-        .withColumn("score", F.col("weight") / F.col("n"))
+        .withColumns({"full": F.col("n") >= min_words, "score": F.col("weight") / F.col("n")})
     )
-    best = settle(latest_by(scored, [group], [F.desc("score"), F.asc(doc_id), F.asc("pos")]), "best-sentences")
+    order = [F.desc("full"), F.desc("score"), F.asc(doc_id), F.asc("pos")]
+    best = settle(latest_by(scored, [group], order), "best-sentences")
     # Only the winners fetch their text; stored, they are small enough for Spark to broadcast.
     return best.join(df.select(doc_id, text), doc_id).select(
         group, doc_id, "pos", "score", F.get(tx.sentences(F.col(text)), F.col("pos")).alias("sentence")

@@ -153,7 +153,7 @@ def audit_failures(t):
       UNION ALL SELECT 'nation:' || n_nationkey, 'region:' || n_regionkey FROM nation),
     walk(node, upstream, depth) AS (
       SELECT node, upstream, CAST(1 AS BIGINT) FROM edges
-      UNION SELECT w.node, e.upstream, w.depth + 1 FROM walk w JOIN edges e ON w.upstream = e.node WHERE w.depth < 3)
+      UNION SELECT w.node, e.upstream, w.depth + 1 FROM walk w JOIN edges e ON w.upstream = e.node)
     SELECT node, upstream, min(depth) AS depth FROM walk GROUP BY 1, 2""",
 )
 def lineage_upstream(t):
@@ -168,4 +168,4 @@ def lineage_upstream(t):
         .unionByName(edge(t.customer, "customer", "c_custkey", "nation", "c_nationkey"))
         .unionByName(edge(t.nation, "nation", "n_nationkey", "region", "n_regionkey"))
     )
-    return gov.upstream(edges, 3)
+    return gov.upstream(edges)

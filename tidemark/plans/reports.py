@@ -316,11 +316,11 @@ def query_count_by_user(t):
 
 @query(
     "flow_events",
-    """SELECT event_type, count(*) AS n, max(ts) AS latest, arg_max(event_id, ts) AS latest_id FROM events GROUP BY 1""",
+    """SELECT event_type, count(*) AS n, max(ts) AS latest, arg_max(event_id, (ts, event_id)) AS latest_id FROM events GROUP BY 1""",
 )
 def flow_events(t):
     return t.events.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.max("ts").alias("latest"), F.max_by("event_id", "ts").alias("latest_id")
+        F.count(F.lit(1)).alias("n"), F.max("ts").alias("latest"), F.max_by("event_id", F.struct("ts", "event_id")).alias("latest_id")
     )
 
 

@@ -11,7 +11,7 @@ from tidemark.operators import layout
 from tidemark.operators.mutation import merge_upsert
 from tidemark.plans.inputs import SECOND_LOAD
 from tidemark.plans.registry import query
-from tidemark.session import Tables
+from tidemark.session import Tables, settle
 from tidemark.sources import files, incremental
 from tidemark.streaming import jobs
 
@@ -84,16 +84,22 @@ def fmt_xml_nested(t):
     )
 
 
-@query("codec_sizes")
+@query(
+    "codec_sizes",
+    """SELECT unnest(['snappy', 'gzip', 'zstd']) AS codec, (SELECT count(*) FROM events) AS rows, TRUE AS at_most_snappy""",
+)
 def codec_sizes(t):
-    """Bytes of the event table under each codec."""
+    """Rows of the event table under each codec, and whether it takes no more bytes than the fastest one."""
     out = None
     for codec in ("snappy", "gzip", "zstd"):
         path = t.folder(f"codec-{codec}")
         t.events.write.option("compression", codec).parquet(path)
-        row = files.stored_bytes(t.spark.read.parquet(path)).withColumn("codec", F.lit(codec))
+        back = t.spark.read.parquet(path)
+        row = files.stored_bytes(back).withColumns({"codec": F.lit(codec), "rows": back.agg(F.count(F.lit(1))).scalar()})
         out = row if out is None else out.unionByName(row)
-    return out
+    out = settle(out, "codecs")
+    snappy = out.filter("codec = 'snappy'").agg(F.max("bytes")).scalar()
+    return out.select("codec", "rows", (F.col("bytes") <= snappy).alias("at_most_snappy"))
 
 
 @query("format_size_report")
@@ -199,7 +205,11 @@ def layout_zorder(t):
     return t.spark.read.parquet(path)
 
 
-@query("compact_files")
+@query(
+    "compact_files",
+    """SELECT 'before' AS state, count(*) AS rows, FALSE AS fewer_files FROM events
+    UNION ALL SELECT 'after', count(*), TRUE FROM events""",
+)
 def compact_files(t):
     """Files and rows before and after compaction of a table in many small files."""
     small, large = t.folder("small"), t.folder("large")
@@ -213,7 +223,9 @@ def compact_files(t):
         rows = df.agg(F.count(F.lit(1))).scalar()
         part = files.stored_bytes(df).withColumns({"rows": rows, "state": F.lit(state)})
         out = part if out is None else out.unionByName(part)
-    return out
+    out = settle(out, "compacted")
+    at_first = out.filter("state = 'before'").agg(F.max("files")).scalar()
+    return out.select("state", "rows", (F.col("files") < at_first).alias("fewer_files"))
 
 
 # --- incremental loads ------------------------------------------------------

@@ -259,10 +259,10 @@ def classify_keywords(t):
     "extractive_summary",
     f"""WITH spread AS (SELECT word, count(*) AS docs FROM (SELECT DISTINCT doc_id, unnest({w('text')}) AS word FROM documents) GROUP BY 1),
     sent AS (SELECT source, doc_id, unnest(string_split(text, '. ')) AS sentence, generate_subscripts(string_split(text, '. '), 1) - 1 AS pos FROM documents),
-    scored AS (SELECT source, doc_id, pos, CAST(sum(docs) AS DOUBLE) / count(*) AS score FROM (
+    scored AS (SELECT source, doc_id, pos, CAST(sum(docs) AS DOUBLE) / count(*) AS score, count(*) >= 5 AS whole FROM (
         SELECT DISTINCT source, doc_id, pos, unnest({w('sentence')}) AS word FROM sent) JOIN spread USING (word)
-      GROUP BY 1, 2, 3 HAVING count(*) >= 5),
-    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id, pos) = 1)
+      GROUP BY 1, 2, 3),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY source ORDER BY whole DESC, score DESC, doc_id, pos) = 1)
     SELECT source, doc_id, CAST(pos AS INTEGER) AS pos, score, sentence FROM best JOIN sent USING (source, doc_id, pos)""",
 )
 def extractive_summary(t):

@@ -6,7 +6,18 @@ import json
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    NullType,
+    ShortType,
+    StructField,
+    StructType,
+)
 
 from tidemark.sources.files import read_files
 
@@ -45,18 +56,45 @@ def keep_schema(spark: SparkSession, location: str, schema: StructType) -> None:
 
 
 class SchemaChanged(ValueError):
-    """Arriving data has columns the stored schema lacks."""
+    """Arriving data has columns the stored schema lacks, or other types than it has."""
+
+
+def wider(stored: DataType, arriving: DataType) -> DataType | None:
+    """The type that holds values of both without loss of digits or range, if there is one."""
+    if stored == arriving or isinstance(arriving, NullType):
+        return stored
+    if isinstance(stored, NullType):
+        return arriving
+    ranked = [ByteType, ShortType, IntegerType, LongType]
+    at = [[i for i, k in enumerate(ranked) if isinstance(x, k)] for x in (stored, arriving)]
+    if all(at):
+        return max((stored, arriving), key=lambda x: ranked.index(type(x)))
+    floats = [isinstance(x, (FloatType, DoubleType)) for x in (stored, arriving)]
+    return DoubleType() if all(f or a for f, a in zip(floats, at)) else None
 
 
 def evolve(stored: StructType, arriving: StructType, mode: str = "add") -> StructType:
-    """Schema after new columns arrive: ``add`` appends them, ``ignore`` leaves them out, ``fail`` raises."""
+    """Schema after new columns arrive: ``add`` appends them, ``ignore`` leaves them out, ``fail`` raises.
+
+    A known column whose type changed is widened among numbers in mode ``add``;
+    any other change of type raises in every mode, for the values would be lost.
+    """
     if mode not in ("add", "fail", "ignore"):
         raise ValueError(f"unknown mode {mode!r}")
     known = {f.name for f in stored.fields}
     new = [f for f in arriving.fields if f.name not in known]
+    kinds = {f.name: f.dataType for f in arriving.fields}
+    kept, changed = [], []
+    for f in stored.fields:
+        kind = wider(f.dataType, kinds.get(f.name, f.dataType))
+        if kind is None or (kind != f.dataType and mode != "add"):
+            changed.append(f"{f.name} from {f.dataType.simpleString()} to {kinds[f.name].simpleString()}")
+        kept.append(StructField(f.name, kind or f.dataType, f.nullable, f.metadata))
+    if changed:
+        raise SchemaChanged(f"changed types: {', '.join(changed)}")
     if new and mode == "fail":
         raise SchemaChanged(f"new columns: {', '.join(f.name for f in new)}")
-    return StructType([*stored.fields, *new]) if mode == "add" else stored
+    return StructType([*kept, *new]) if mode == "add" else stored
 
 
 def append_evolving(table: DataFrame, arriving: DataFrame, mode: str = "add") -> DataFrame:
