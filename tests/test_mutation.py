@@ -114,3 +114,9 @@ def test_upsert_rewrites_only_touched_partitions(spark, rows):
     mu.upsert_partitions(spark, path, spark.createDataFrame([(2, "a", 20), (4, "c", 4)], "id long, p string, v long"), ["id"], "p")
     assert rows(spark.read.parquet(path), "id", "p", "v") == [(1, "a", 1), (2, "a", 20), (3, "b", 3), (4, "c", 4)]
     assert {r[0] for r in spark.read.parquet(path).filter("p = 'b'").select("_metadata.file_path").collect()} == before
+
+
+def test_reconcile_tells_nulls_apart(spark):
+    a = spark.createDataFrame([(1, None, "x"), (2, "y", None)], "k long, a string, b string")
+    b = spark.createDataFrame([(1, "x", None), (2, "y", None)], "k long, a string, b string")
+    assert mu.reconcile(a, b, ["k"]).first()["different"] == 1

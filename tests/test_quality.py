@@ -104,3 +104,23 @@ def test_paged_sets_are_bounded(spark):
     got = gov.paged_sets(df.union(df), ["k"], "u").collect()
     assert len(got) == 3 and max(len(r["members"]) for r in got) == 1000
     assert sum(len(r["members"]) for r in got) == 2500
+
+
+def test_lineage_follows_chains_and_cycles_to_their_end(spark, rows):
+    chain = [(f"n{i}", f"n{i + 1}") for i in range(6)]
+    got = rows(gov.upstream(spark.createDataFrame(chain + [("x", "y"), ("y", "x")], "node string, upstream string")))
+    assert ("n0", "n6", 6) in got and {("x", "x", 2), ("x", "y", 1)} <= set(got)
+    assert len(got) == 21 + 4
+
+
+def test_mask_email_without_a_domain(spark, rows):
+    df = spark.createDataFrame([("plain",), ("ab@c.de",), (None,)], "m string")
+    assert rows(df.select(gov.mask_email(F.col("m")).alias("m"))) == [("***",), ("ab***@c.de",), (None,)]
+
+
+def test_drift_without_spread_or_rows(spark):
+    same = spark.createDataFrame([(5.0,)] * 4, "v double")
+    r = dq.drift(same, same, "v").first()
+    assert (r["mean_shift"], r["sd_ratio"], r["psi"]) == (None, None, 0.0)
+    assert dq.drift(same.filter("false"), same, "v").first()["psi"] is None
+    assert dq.drift(same, same.filter("false"), "v").first()["psi"] is None

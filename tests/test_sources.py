@@ -114,3 +114,12 @@ def test_settle_cuts_the_plan(spark):
 def test_shared_view_applies_the_grant(spark, t):
     df = files.shared_view(spark, {"path": t.path("orders"), "columns": ["o_orderkey"], "filter": "o_orderstatus = 'F'"})
     assert df.columns == ["o_orderkey"] and 0 < df.count() < t.orders.count()
+
+
+def test_changed_types_are_widened_or_refused():
+    ddl = StructType.fromDDL
+    assert inc.evolve(ddl("a int, b string"), ddl("a bigint")) == ddl("a bigint, b string")
+    assert inc.evolve(ddl("a double"), ddl("a int")) == ddl("a double")
+    for mode in ("add", "ignore", "fail"):
+        with pytest.raises(inc.SchemaChanged, match="a from bigint to string"):
+            inc.evolve(ddl("a bigint"), ddl("a string"), mode)

@@ -163,3 +163,12 @@ def test_progress_reaches_a_listener(spark, land):
     finally:
         spark.streams.removeListener(listener)
     assert sum(seen) >= 2
+
+
+def test_upsert_log_rejects_a_key_twice_in_a_batch(spark):
+    rows = spark.createDataFrame([(1, 5), (1, 6)], "k long, v long")
+    log = jobs.UpsertLog(spark, folder(spark, "log"), rows.schema, ["k"])
+    with pytest.raises(Exception, match="key twice in one batch"):
+        log.upsert(rows, 0)
+    log.upsert(rows, 1, [F.desc("v")])
+    assert [tuple(r) for r in log.current().collect()] == [(1, 6)]
