@@ -28,7 +28,7 @@ SEG = "__segment"
 AUTO = object()
 # Rows of one key that a single task may sort, and rows of a frame without keys.
 MAX_ROWS = 5_000_000
-KEYLESS_ROWS = 100_000
+KEYLESS_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
