@@ -5,7 +5,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
-import brute
+from llm import brute
 import pytest
 from pyspark.sql import functions as F
 
