@@ -21,6 +21,8 @@ COORDINATES, MISS = 24, 1e-7
 CACHE = 500_000
 #: Members of a posting list compared in one block.
 BLOCK = 256
+#: Documents that a shingle may occur in to count as rare.
+RARE = 16
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -199,27 +201,45 @@ def star_pairs(lists: DataFrame, classes: DataFrame, floor: int, percent: int) -
     return settle(close.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct(), "near-candidates")
 
 
-def unshared(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """``node, own``: shingles that no other document of ``nodes`` has."""
+def rare_shingles(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """``node, shingle, n`` for the shingles that at most ``RARE`` documents of ``nodes`` have."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("shingles")]
-            for node, s in zip(batch.column("node").to_pylist(), sets):
-                yield pa.RecordBatch.from_pydict({"node": pa.array([node] * len(s), pa.int64()), "shingle": pa.array(s, pa.int64())})
+            owner = np.repeat(batch.column("node").to_numpy(), [len(s) for s in sets])
+            yield pa.RecordBatch.from_pydict({"node": owner, "shingle": np.concatenate([*sets, np.empty(0, np.int64)])})
+
+    each = settle(full_sets(docs, nodes, width).mapInArrow(run, "node bigint, shingle bigint").distinct(), "near-shingles")
+    few = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= RARE)
+    return settle(each.join(settle(few, "near-few"), "shingle").select("node", "shingle", "n"), "near-rare")
+
 
-    each = full_sets(docs, nodes, width).mapInArrow(run, "node bigint, shingle bigint").distinct()
-    alone = each.groupBy("shingle").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n")).filter("n = 1")
-    return alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+def rare_pairs(rare: DataFrame, facts: DataFrame) -> DataFrame:
+    """``x, y, r``: documents of different components with rare shingles in common, and how many.
+
+    A list holds ``RARE`` documents at most. Component, size and rare shingles
+    come along, so only pairs that can matter leave it.
+    """
+    member = F.struct("node", "label", F.col("size").alias("n"), "own").alias("m")
+    known = facts.select("node", "label", F.col("n").alias("size"), "own")
+    lists = rare.filter("n > 1").join(known, "node").groupBy("shingle").agg(F.sort_array(F.collect_list(member)).alias("l"))
+    first = lists.select("l", F.posexplode("l").alias("i", "x"))
+    others = F.filter(F.slice("l", F.col("i") + 2, RARE), lambda y: y["label"] != F.col("x")["label"])
+    pairs = first.select("x", F.explode(others).alias("y"))
+    return pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("r"))
 
 
 def rest_pairs(docs: DataFrame, lists: DataFrame, classes: DataFrame, labels: DataFrame, floor: int, width: int, percent: int) -> DataFrame:
     """Pairs of one posting list that the stars left in different components and that may still be similar.
 
-    Shingles that no other candidate has cannot be shared, so with ``own`` of
-    them a document shares at most ``n - own``. That bound, exact, drops most
-    documents at the rim of a group at once and leaves the others a narrow range
-    of sizes to look at. Lists are compared in blocks of bounded size; only
-    pairs that pass the bound and have enough matching coordinates are handed on.
+    Pairs with a rare shingle in common are found from the short lists of such
+    shingles. A document with ``own`` rare ones shares at most ``n - own`` with
+    any other, and with a pair's number of common rare ones added that holds for
+    the pair. This bound, exact, drops most documents at the rim of a group at
+    once and leaves the others a narrow range of sizes to look at. Lists are
+    compared in blocks of bounded size; only pairs that pass the bound and have
+    enough matching coordinates are handed on.
     """
     marked = lists.join(labels.withColumnRenamed("label", "l"), "node", "left")
     marked = settle(marked.select("token", "node", "weight", F.coalesce("l", "node").alias("label")), "near-marked")
@@ -236,40 +256,59 @@ def rest_pairs(docs: DataFrame, lists: DataFrame, classes: DataFrame, labels: Da
     )
     within = settle(marked.join(settle(open_lists, "near-open"), "token").drop("weight"), "near-within")
     nodes = settle(within.select("node").distinct(), "near-rest-nodes")
-    own = settle(unshared(docs, nodes, width), "near-own")
-    facts = classes.join(nodes, "node").join(own, "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own"), "coordinates")
+    rare = rare_shingles(docs, nodes, width)
+    own = rare.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    posted = within.groupBy("node").agg(F.collect_list("token").alias("posted"))  # a prefix at most
+    facts = classes.join(posted, "node").join(own, "node", "left").join(labels.withColumnRenamed("label", "l"), "node", "left")
+    facts = facts.select(
+        "node", "n", F.coalesce("own", F.lit(0)).alias("own"), "coordinates", F.coalesce("l", "node").alias("label"), "posted"
+    )
     facts = settle(facts, "near-facts")
+    n_x, n_y = F.col("x.n"), F.col("y.n")
+    most = F.least(n_x - F.col("x.own"), n_y - F.col("y.own")) + F.col("r")
+    possible = rare_pairs(rare, facts).filter(100 * most >= percent * (n_x + n_y - most))
+    possible = possible.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    one = facts.select(F.col("node").alias("a"), F.col("coordinates").alias("ca"))
+    two = facts.select(F.col("node").alias("b"), F.col("coordinates").alias("cb"))
+    met = possible.join(one, "a").join(two, "b").filter(F.size(F.array_intersect("ca", "cb")) >= floor)
+    sharing = met.select("a", "b")
     shared = F.col("n") - F.col("own")
     # Largest size of a partner for which the bound still allows the threshold.
     reach = F.floor(100 * shared / percent) - F.col("own")
-    rows = within.join(facts, "node").filter(100 * shared >= percent * F.col("n")).withColumn("reach", reach)
-    member = F.struct("node", "label", "n", "own", "coordinates")
+    rows = within.drop("label").join(facts, "node").filter(100 * shared >= percent * F.col("n")).withColumn("reach", reach)
+    member = F.struct("node", "label", "n", "own", "coordinates", "posted")
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK).cast("long"))
     blocks = rows.groupBy("token", "main", F.floor(F.col("n") / 16).alias("size"), salt.alias("salt"), (F.col("label") != F.col("main")).alias("rim"))
     blocks = settle(blocks.agg(F.collect_list(member).alias("members"), F.max("reach").alias("reach"), F.min("n").alias("n")), "near-blocks")
-    left = blocks.filter("rim").select("token", F.col("members").alias("x"), F.col("reach").alias("reach_x"), F.col("n").alias("n_x"))
+    left = blocks.filter("rim").select("token", "main", F.col("members").alias("x"), F.col("reach").alias("reach_x"), F.col("n").alias("n_x"))
     right = blocks.select("token", F.col("members").alias("y"), F.col("reach").alias("reach_y"), F.col("n").alias("n_y"))
-    met = left.join(right, "token").filter("n_y <= reach_x AND n_x <= reach_y").select("x", "y")
+    met = left.join(right, "token").filter("n_y <= reach_x AND n_x <= reach_y").select("token", "main", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def columns(members: pa.StructArray) -> list[np.ndarray]:
+        def columns(members: pa.StructArray) -> list:
             ints = [members.field(k).to_numpy() for k in ("node", "label", "n", "own")]
-            return [*ints, members.field("coordinates").flatten().to_numpy().reshape(-1, COORDINATES)]
+            posted = [frozenset(p) for p in members.field("posted").to_pylist()]
+            return [*ints, members.field("coordinates").flatten().to_numpy().reshape(-1, COORDINATES), posted]
 
         for batch in batches:
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                (v, lv, nv, ov, cv), (w, lw, nw, ow, cw) = columns(x.values), columns(y.values)
+            for token, main, x, y in zip(*(batch.column(c) for c in ("token", "main", "x", "y"))):
+                (v, lv, nv, ov, cv, pv), (w, lw, nw, ow, cw, pw) = columns(x.values), columns(y.values)
+                token, main = token.as_py(), main.as_py()
                 most = np.minimum((nv - ov)[:, None], (nw - ow)[None, :])
                 may = (lv[:, None] != lw[None, :]) & (100 * most >= percent * (nv[:, None] + nw[None, :] - most))
+                # Two documents of the rim meet twice, once from either side.
+                may &= (lw == main)[None, :] | (v[:, None] < w[None, :])
                 i, j = np.nonzero(may)
                 for at in range(0, len(i), 65_536):
                     p, q = i[at : at + 65_536], j[at : at + 65_536]
                     enough = (cv[p] == cw[q]).sum(axis=1) >= floor
-                    a, b = v[p[enough]], w[q[enough]]
+                    # A pair of several lists counts in the first.
+                    once = [k for k in np.flatnonzero(enough).tolist() if min(pv[p[k]] & pw[q[k]]) == token]
+                    a, b = v[p[once]], w[q[once]]
                     if len(a):
                         yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return settle(met.mapInArrow(run, "a bigint, b bigint").distinct(), "near-rest")
+    return settle(met.mapInArrow(run, "a bigint, b bigint").unionByName(sharing).distinct(), "near-rest")
 
 
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
