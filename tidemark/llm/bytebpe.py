@@ -12,6 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.llm.common import row_of, text_of
 
@@ -168,8 +169,7 @@ def encoded(
                 yield pa.RecordBatch.from_pydict(columns)
 
     source = docs.select(row_of(docs.select(*keep) if keep else docs), text_of().alias("text"))
-    kind = source.schema["row"].dataType.simpleString()
-    return source.mapInArrow(run, f"row {kind}, {ENCODED}{spans}")
+    return source.mapInArrow(run, StructType([source.schema["row"], *StructType.fromDDL(ENCODED + spans)]))
 
 
 def decoded(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -183,8 +183,7 @@ def decoded(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"row": batch.column("row"), "text": text})
 
     source = tokens.select(row_of(tokens), F.col("ids"))
-    kind = source.schema["row"].dataType.simpleString()
-    return source.mapInArrow(run, f"row {kind}, text string")
+    return source.mapInArrow(run, StructType([source.schema["row"], *StructType.fromDDL("text string")]))
 
 
 def bpe_report(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
