@@ -7,11 +7,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.text import bind
-from tidemark.llm.common import BLANKS, GAP, broadcast_checked, row_of, text_of, words
+from tidemark.llm.common import GAP, broadcast_checked, count_words, row_of, text_of, words
 from tidemark.session import settle
 
 # Fixed values of the base rules.
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 
@@ -86,16 +86,19 @@ def js_distance(counts: Column, share: Column) -> Column:
     def total(x: Column) -> Column:
         return F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
 
-    def from_sum(n: Column) -> Column:
-        terms = F.zip_with(counts, share, lambda c, q: bind(c / n, lambda p: half(p, q) + half(q, p)))
-        return F.when(n > 0, F.sqrt(F.greatest(total(terms), F.lit(0.0)))).otherwise(0.0)
+    def from_counts(c: Column) -> Column:
+        def from_sum(n: Column) -> Column:
+            terms = F.zip_with(c, share, lambda x, q: bind(x / n, lambda p: half(p, q) + half(q, p)))
+            return F.when(n > 0, F.sqrt(F.greatest(total(terms), F.lit(0.0)))).otherwise(0.0)
 
-    return F.round(bind(total(F.transform(counts, lambda c: c.cast("double"))), from_sum), 9)
+        return bind(total(F.transform(c, lambda x: x.cast("double"))), from_sum)
+
+    return F.round(bind(counts, from_counts), 9)
 
 
 def allowed(limit: float, bins: int, n: Column) -> Column:
-    """``limit`` widened by the expected divergence of ``n`` draws over ``bins`` bins from their own source."""
-    return F.sqrt(limit * limit + (bins - 1) / (8 * math.log(2)) / F.greatest(n, F.lit(1)).cast("double"))
+    """``limit`` widened by twice the expected divergence of ``n`` draws over ``bins`` bins from their own source."""
+    return F.sqrt(limit * limit + 2 * (bins - 1) / (8 * math.log(2)) / F.greatest(n, F.lit(1)).cast("double"))
 
 
 def references(docs: DataFrame, common: int = COMMON) -> DataFrame:
@@ -105,11 +108,11 @@ def references(docs: DataFrame, common: int = COMMON) -> DataFrame:
     ``word_share`` their shares and, last, that of all other words.
     """
     lang = F.coalesce(F.col("lang"), F.lit("")).alias("lang")
-    classes = docs.select(lang, class_counts(text_of()).alias("c"))
+    classes = docs.select(lang, class_counts(text_of()).alias("c"), count_words(text_of()).alias("n"))
     sums = [F.coalesce(F.sum(F.col("c")[k]), F.lit(0)).cast("double") for k in range(len(CLASSES) + 1)]
-    by_class = classes.groupBy("lang").agg(F.array(*sums).alias("sums"))
+    by_class = classes.groupBy("lang").agg(F.array(*sums).alias("sums"), F.sum("n").alias("n"))
     total = F.aggregate("sums", F.lit(0.0), lambda a, v: a + v)
-    by_class = by_class.select("lang", bind(total, lambda n: F.transform("sums", lambda v: v / F.greatest(n, F.lit(1.0)))).alias("class_share"))
+    by_class = by_class.select("lang", "n", bind(total, lambda n: F.transform("sums", lambda v: v / F.greatest(n, F.lit(1.0)))).alias("class_share"))
     counts = (
         docs.select(lang, F.explode(words(F.lower(text_of()))).alias("word"))
         .groupBy("lang", "word")
@@ -127,11 +130,12 @@ def references(docs: DataFrame, common: int = COMMON) -> DataFrame:
         .filter(F.col("r") <= common)
     )
     listed = best.groupBy("lang").agg(F.sort_array(F.collect_list("x")).alias("x"))
-    every = docs.select(lang, F.size(words(text_of())).cast("long").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
     share = F.transform("x", lambda v: -v["less"] / F.greatest(F.col("n"), F.lit(1)).cast("double"))
     rest = bind(share, lambda s: F.concat(s, F.array(1.0 - F.aggregate(s, F.lit(0.0), lambda a, v: a + v))))
-    by_word = listed.join(every, "lang").select("lang", F.transform("x", lambda v: v["word"]).alias("common"), rest.alias("word_share"))
-    return settle(by_class.join(by_word, "lang", "left"), "quality-references")
+    joined = by_class.join(listed, "lang", "left").select(
+        "lang", "class_share", F.transform("x", lambda v: v["word"]).alias("common"), rest.alias("word_share")
+    )
+    return settle(joined, "quality-references")
 
 
 def rated(docs: DataFrame, common: int = COMMON) -> DataFrame:
@@ -153,8 +157,7 @@ def rated(docs: DataFrame, common: int = COMMON) -> DataFrame:
     known = split.join(
         broadcast_checked(refs.withColumnRenamed("lang", "l")), "l", "left"
     )
-    low = F.transform("w", lambda x: F.lower(x))
-    found = F.filter(low, lambda x: F.array_contains(F.col("common"), x))
+    found = F.filter(words(F.lower("t")), lambda x: F.array_contains(F.col("common"), x))
     word_counts = bind(
         found,
         lambda f: F.concat(
@@ -167,8 +170,8 @@ def rated(docs: DataFrame, common: int = COMMON) -> DataFrame:
         "row",
         F.col("id").alias("doc_id"),
         n_words.alias("n_words"),
-        F.length(F.translate("t", BLANKS, "")).cast("long").alias("word_chars"),
-        (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        (F.length("t") - F.length(F.regexp_replace("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("w")).alias("n_repeat_words"),
         F.length("t").alias("chars"),

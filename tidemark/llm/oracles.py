@@ -54,7 +54,7 @@ SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM cu
 CLASS_PATTERNS = [r"\p{Ll}+", r"[\x20\x09-\x0D]+", r"\p{Lu}+", r"\p{N}+", r"[.,;:!?''\"()-]+"]
 
 
-def _quality(docs: str) -> str:
+def quality_ctes(docs: str) -> str:
     """CTEs up to ``verdicts``: one row per document of ``docs`` (a table or CTE name)."""
     steps, left = [], "t"
     for k, pattern in enumerate(CLASS_PATTERNS):
@@ -109,14 +109,14 @@ distances AS (
          n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed
   FROM counted),
 verdicts AS (
-  SELECT *, NOT base_failed AND class_distance <= sqrt(0.09 + 5 / (8 * ln(2)) / greatest(chars, 1))
-         AND word_distance <= sqrt(0.0625 + 24 / (8 * ln(2)) / greatest(n_words, 1)) AS kept
+  SELECT *, NOT base_failed AND class_distance <= sqrt(0.09 + 10 / (8 * ln(2)) / greatest(chars, 1))
+         AND word_distance <= sqrt(0.0625 + 48 / (8 * ln(2)) / greatest(n_words, 1)) AS kept
   FROM distances)
 """
 
 
 ORACLES["op2_quality_rules"] = f"""
-WITH {_quality("documents")}
+WITH {quality_ctes("documents")}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, class_distance, word_distance,
        base_failed, kept FROM verdicts
 """
