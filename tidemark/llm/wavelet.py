@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tidemark.llm.bytebpe import byte_chars
 from tidemark.llm.common import broadcast_checked, text_of
 from tidemark.session import folder
 
@@ -21,7 +22,9 @@ STRIDE = 4096
 #: Ids after which a shard ends with its document.
 SHARD_TOKENS = 2_000_000
 #: Words whose ids a Python worker remembers.
-CACHE = 600_000
+CACHE = 1_000_000
+#: Letters before this one are composed and change case one by one; only the dotted capital I does not.
+LETTERS = "\u0180"
 
 
 def _packer():
@@ -69,10 +72,13 @@ class WaveletShard:
             pack(starts.tobytes()),
         ]
         for k in range(bits):
-            ones = (current >> (bits - 1 - k)) & 1 != 0
-            before = np.add.reduceat(ones, np.arange(0, len(ones), STRIDE), dtype=np.int64) if len(ones) else np.empty(0, np.int64)
+            ones = (current & current.dtype.type(1 << (bits - 1 - k))).astype(bool)
+            packed = np.packbits(ones)
+            # Ones per stride, counted byte by byte; the last stride may be short.
+            counted = np.bitwise_count(packed)
+            before = np.add.reduceat(counted, np.arange(0, len(packed), STRIDE // 8), dtype=np.int64) if len(packed) else []
             directory = np.concatenate([[0], np.cumsum(before)]).astype("<u8")
-            parts += [pack(np.packbits(ones).tobytes()), pack(directory.tobytes())]
+            parts += [pack(packed.tobytes()), pack(directory.tobytes())]
             current = np.concatenate([current[~ones], current[ones]])
         head = struct.pack("<4sIQQ", MAGIC, bits, int(starts[-1]), len(doc_ids))
         return head + struct.pack(f"<{len(parts)}Q", *map(len, parts)) + b"".join(parts)
@@ -175,29 +181,35 @@ class WordBpe:
         self.tool.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tool.model
         self.dtype = np.dtype(dtype)
+        self.shown = {b: ord(c) for b, c in enumerate(byte_chars())}
         self.known: dict[str, bytes] = {"": b""}
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
+        return struct.pack(f"<{len(ids)}{self.dtype.char}", *ids)
 
     def _learn(self, words: Iterable[str]) -> None:
-        """Ids of new words: letters of ASCII straight by the model, others through the whole tool.
+        """Ids of new words: letters up to ``LETTERS`` straight by the model, others through the whole tool.
 
-        One mark after a letter is a piece of its own in any case.
+        For such letters the tool's steps come to lower case and the bytes'
+        characters. One mark after a letter is a piece of its own in any case.
         """
-        known, others = self.known, []
+        known, tokenize, shown, others = self.known, self.model.tokenize, self.shown, []
         for w in words:
             core, mark = (w[:-1], w[-1]) if w[-1] in ".,;:!?" and w[-2:-1].isalpha() else (w, "")
-            if core.isascii() and core.isalpha():
-                known[w] = self._pack([t.id for t in self.model.tokenize(core.lower())] + self._mark(mark))
+            if core.isalpha() and max(core) < LETTERS and "\u0130" not in core:
+                low = core.lower()
+                if low not in known:
+                    mapped = low if low.isascii() else low.encode().decode("latin-1").translate(shown)
+                    known[low] = self._pack([t.id for t in tokenize(mapped)])
+                known[w] = known[low] + self._mark(mark)
             else:
                 others.append(w)
         for w, e in zip(others, self.tool.encode_batch_fast(others, add_special_tokens=False)):
             known[w] = self._pack(e.ids)
 
     @lru_cache(maxsize=16)  # noqa: B019  one object per worker
-    def _mark(self, mark: str) -> list[int]:
-        return self.tool.encode(mark, add_special_tokens=False).ids if mark else []
+    def _mark(self, mark: str) -> bytes:
+        return self._pack(self.tool.encode(mark, add_special_tokens=False).ids) if mark else b""
 
     def encode_batch(self, texts: Sequence[str], end: bytes = b"") -> Iterator[np.ndarray]:
         """Ids of each text, with the bytes of ``end`` after them."""
