@@ -35,8 +35,8 @@ def on(table: str):
 
 @on("documents")
 def op1_repeated_passages(docs: DataFrame) -> DataFrame:
-    """Fuzzy passages of 50 words and more that repeat in a document with a smaller id."""
-    return chains.passages(docs)
+    """Fuzzy passages of 50 words and more that repeat in a document with a smaller id, or earlier in their own."""
+    return chains.passages(docs, within=True)
 
 
 @on("documents")
