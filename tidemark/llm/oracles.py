@@ -177,3 +177,35 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
        NULL::INT AS grown_shard
 FROM sharded JOIN sums USING (rid)
 """
+
+ORACLES["op13_source_audit"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+words AS (SELECT rid, lang, source, unnest(words) AS term FROM docs),
+kept AS (SELECT lang, term FROM (SELECT DISTINCT rid, lang, term FROM words) GROUP BY ALL HAVING count(*) >= 3),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+grps AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM grps g LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+shares AS MATERIALIZED (
+  SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n,
+         (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (t.total + v))::HUGEINT AS p
+  FROM totals t JOIN sizes USING (lang) JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+langs AS (
+  SELECT lang, term, (1 + (1000000000::HUGEINT * (sum(n) + 1)) // (sum(sum(n)) OVER (PARTITION BY lang) + any_value(v)))::HUGEINT AS q
+  FROM shares JOIN sizes USING (lang) GROUP BY lang, term),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+  UNION ALL
+  SELECT a.lang, a.source, 'pair', b.source, 0 FROM grps a JOIN grps b ON a.lang = b.lang AND a.source <> b.source
+  WHERE a.lang NOT IN (SELECT lang FROM sizes)),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value
+  FROM shares JOIN langs USING (lang, term) WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM (FROM pairs UNION ALL FROM terms) QUALIFY part = 'pair' OR rank <= 200
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bytebpe, chains, divergence, exact, inverted, mixing, secretscan, sharding, urlrules, wavelet
+from tidemark.llm import bytebpe, chains, divergence, exact, iceberg, inverted, mixing, secretscan, sharding, urlrules, wavelet
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import ship
 
@@ -105,4 +105,10 @@ def op10_secrets(docs: DataFrame) -> DataFrame:
     return secretscan.secrets(docs)
 
 
+@on("documents")
+def op13_source_audit(docs: DataFrame) -> DataFrame:
+    """How sources of a language differ from each other, and their terms in excess of the language."""
+    return iceberg.source_divergence(docs)
+
+
 __all__ = ["QUERIES", "ORACLES"]
