@@ -209,3 +209,22 @@ terms AS (
 SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
 FROM (FROM pairs UNION ALL FROM terms) QUALIFY part = 'pair' OR rank <= 200
 """
+
+ORACLES["op12_hard_negatives"] = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id, list_inner_product(a.v, r.v)::BIGINT AS s
+  FROM rows a JOIN rows r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, s AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, s AS negative_score,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s DESC, vec_id))::INT AS rank
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * s AND 100 * s <= 90 * positive_score
+QUALIFY rank <= 10
+"""

@@ -7,7 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bytebpe, chains, divergence, exact, iceberg, inverted, mixing, secretscan, sharding, urlrules, wavelet
+from tidemark.llm import (
+    bytebpe,
+    chains,
+    divergence,
+    exact,
+    iceberg,
+    inverted,
+    mixing,
+    multiindex,
+    secretscan,
+    sharding,
+    urlrules,
+    wavelet,
+)
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import ship
 
@@ -105,6 +118,13 @@ def op10_secrets(docs: DataFrame) -> DataFrame:
     return secretscan.secrets(docs)
 
 
+@on("embeddings")
+def op12_hard_negatives(embeddings: DataFrame) -> DataFrame:
+    """Rows of other labels that score 30 to 90 % of an anchor's positives."""
+    relabel = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return multiindex.hard_negatives(embeddings, F.col("id") % 100 == 0, relabel)
+
+
 @on("documents")
 def op13_source_audit(docs: DataFrame) -> DataFrame:
     """How sources of a language differ from each other, and their terms in excess of the language."""
