@@ -1,5 +1,7 @@
 """DuckDB SQL for the corpus queries that SQL can express."""
 
+from tidemark.llm.licences import AGREE, PHRASES, RARE, notice_rows
+
 ORACLES: dict[str, str] = {}
 
 LOWER = "translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -228,3 +230,55 @@ FROM positives JOIN scores USING (anchor_id)
 WHERE NOT same AND 30 * positive_score <= 100 * s AND 100 * s <= 90 * positive_score
 QUALIFY rank <= 10
 """
+
+
+def licence_sql() -> str:
+    """Relational form: words of notices and files as rows, offsets grouped."""
+    rows, keys = [], []
+    for t, n in enumerate(notice_rows()):
+        rows += [f"({t}, '{n['label']}', {p}, '{x}')" for p, x in enumerate(n["words"])]
+        keys += [f"({t}, {k['at'] + i})" for k in n["keys"] for i in range(len(k["words"]))]
+    phrases = []
+    for phrase, label in PHRASES:
+        x = phrase.split()
+        test = " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(x))
+        phrases.append(f"SELECT rid, '{label}' AS label, i - 1 AS place FROM spots WHERE {test}")
+    return rf"""
+WITH notices(t, label, p, x) AS (VALUES {", ".join(rows)}),
+keyed(t, p) AS (SELECT DISTINCT * FROM (VALUES {", ".join(keys)})),
+docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all({LOWER.format(t="coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+spots AS (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM docs WHERE list_contains(w, 'license')),
+base AS ({" UNION ALL ".join(phrases)}),
+found AS (SELECT rid, unnest(w) AS x, unnest(range(len(w))) AS i FROM docs),
+marks AS (FROM found WHERE x IN (SELECT x FROM notices)),
+counts AS (SELECT x, count(DISTINCT rid) AS n FROM marks GROUP BY x),
+rare AS (
+  SELECT rid, t, x FROM (SELECT DISTINCT rid, t, x FROM marks JOIN notices USING (x)) JOIN counts USING (x)
+  QUALIFY row_number() OVER (PARTITION BY rid, t ORDER BY n, x) <= {RARE}),
+offs AS (
+  SELECT rid, t, m.i - n.p AS o FROM marks m JOIN rare USING (rid, x) JOIN notices n USING (t, x)
+  GROUP BY ALL HAVING count(*) >= {AGREE}),
+compared AS (
+  SELECT o.rid, o.t, o.o, any_value(n.label) AS label, count(*) AS length, count(m.i) AS matched,
+         count(k.p) AS needed, count(CASE WHEN m.i IS NOT NULL THEN k.p END) AS standing
+  FROM offs o JOIN notices n USING (t) LEFT JOIN marks m ON m.rid = o.rid AND m.x = n.x AND m.i = o.o + n.p
+  LEFT JOIN keyed k ON k.t = n.t AND k.p = n.p GROUP BY ALL),
+noticed AS (FROM compared WHERE needed = standing),
+by_base AS (
+  SELECT rid, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY rid),
+by_all AS (
+  SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT rid, label FROM base UNION ALL SELECT rid, label FROM noticed) GROUP BY rid),
+scores AS (SELECT rid, round(max(matched / length), 9) AS score FROM noticed GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0)::DOUBLE AS score
+FROM docs LEFT JOIN by_base USING (rid) LEFT JOIN by_all USING (rid) LEFT JOIN scores USING (rid)
+"""
+
+
+ORACLES["op11_licence_scan"] = licence_sql()

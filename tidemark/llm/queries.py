@@ -14,6 +14,7 @@ from tidemark.llm import (
     exact,
     iceberg,
     inverted,
+    licences,
     mixing,
     multiindex,
     secretscan,
@@ -118,6 +119,12 @@ def op10_secrets(docs: DataFrame) -> DataFrame:
     return secretscan.secrets(docs)
 
 
+@on("documents")
+def op11_licence_scan(docs: DataFrame) -> DataFrame:
+    """Phrases that name a licence, and licence notices found by their rare words."""
+    return licences.licence_report(docs)
+
+
 @on("embeddings")
 def op12_hard_negatives(embeddings: DataFrame) -> DataFrame:
     """Rows of other labels that score 30 to 90 % of an anchor's positives."""
