@@ -21,7 +21,7 @@ def test_equals_sql(spark, con, name):
 
 def test_one_query_for_each_operator():
     numbers = [int(n[2:].split("_")[0]) for n in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
 
 
 def test_entry_holds_them():
