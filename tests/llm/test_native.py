@@ -157,7 +157,8 @@ def check_shards(rows, got, count):
     first = {t: min((d for d in ids if d is not None), default=-1) for t, ids in groups.items()}
     order = sorted(groups, key=lambda t: (first[t], hashlib.sha256(t.encode()).digest()))
     sizes = [len(groups[t]) * (len(t.encode()) + 1) for t in order]
-    capacity, _ = brute.best_capacity(sizes, count)
+    capacity, cuts = brute.best_capacity(sizes, count)
+    shard_of = {t: sum(c <= i for c in cuts) for i, t in enumerate(order)}
     load, slots, whole = Counter(), defaultdict(list), defaultdict(set)
     by_text = defaultdict(list)
     for r in rows:
@@ -167,6 +168,7 @@ def check_shards(rows, got, count):
         key = (r.doc_id, r["size"], r.text_crc32)
         assert key in by_text
         whole[by_text[key][0]].add(r.shard)
+        assert r.shard in {shard_of[t] for t in by_text[key]}
         load[r.shard] += r["size"]
         slots[r.shard].append(r.slot)
     assert len(got) == len(rows)
@@ -186,9 +188,10 @@ def test_shards(make, count):
     check_shards(docs.collect(), sharding.shards(docs, count).collect(), count)
 
 
-def test_search_refines_small_grids(make, monkeypatch):
+@pytest.mark.parametrize("grid", [3, 50, 4096])
+def test_search_refines_small_grids(make, monkeypatch, grid):
     rng = random.Random(4)
-    monkeypatch.setattr(sharding, "GRID", 3)
+    monkeypatch.setattr(sharding, "GRID", grid)
     monkeypatch.setattr(sharding, "SPLIT", 2)
     docs = make([(i, f"{i} " + "x" * rng.randint(0, 900)) for i in range(500)])
     check_shards(docs.collect(), sharding.shards(docs, 7).collect(), 7)

@@ -115,9 +115,12 @@ class Cuts:
                 mid = (a + b) // 2
                 a, b = (mid, b) if not self.walk(mid)[2] else (a, mid)
             low = a
-            cuts, enough, _, _ = self.walk(high)
+            cuts, enough, _, vague = self.walk(high)
             if enough and high - low <= 1:
-                return high, cuts
+                if not vague:
+                    return high, cuts
+                self._refine(vague)  # the capacity is known, a cut inside a cell is not yet
+                continue
             tried = {low + 1 + (high - low - 1) * k // TRIALS for k in range(TRIALS + 1)}
             self._refine(set().union(*(self.walk(c)[3] for c in tried)))
 
