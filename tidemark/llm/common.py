@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import bind
 from tidemark.operators.joins import BROADCAST_BYTES
 from tidemark.session import settle
 
+#: Bytes of text, or members of lists, worked on together in a task.
+SLICE = 4 << 20
+
 #: The white space of the word rule: blank and the five controls from tab to carriage return.
 BLANKS = " \t\n\x0b\f\r"
 GAP = r"[\x20\x09-\x0D]+"
@@ -73,3 +81,16 @@ def ordered_blocks(df: DataFrame, order: list, label: str, rows_per_block: int =
     blocks = max(1, min(most, 1 + df.count() // 1000), df.count() // rows_per_block)
     ranged = df.repartitionByRange(blocks, *order)
     return settle(ranged.withColumn("block", F.spark_partition_id()), label)
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts or lists together are about ``most`` long; a longer row is a part of its own."""
+    values = batch.column(column)
+    length = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+    ends = np.cumsum(length.to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(at, end - at)
+        at = end

@@ -17,14 +17,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import broadcast_checked, packed_bytes, text_of
+from tidemark.llm.common import SLICE, broadcast_checked, packed_bytes, slices, text_of
 from tidemark.operators.joins import BROADCAST_BYTES
 from tidemark.session import settle, spread
 
 #: Bytes of the shortest prefix counted; each level doubles it.
 FIRST = 4
-#: Bytes of text, or terms of documents, worked on together in a task.
-SLICE = 4 << 20
 #: Sources on each side of a block of source pairs, and counted terms in one of its parts.
 SOURCES, PART = 256, 200_000
 #: Shares are counted in parts of this.
@@ -37,19 +35,6 @@ LOWER = np.where(_upper, _byte + 32, _byte).astype(np.uint8)
 INSIDE = _upper | ((_byte >= 0x61) & (_byte <= 0x7A)) | (_byte >= 0x80)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch whose texts or lists together are about ``most`` long; a longer row is a part of its own."""
-    values = batch.column(column)
-    length = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
-    ends = np.cumsum(length.to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < batch.num_rows:
-        before = ends[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
-        yield batch.slice(at, end - at)
-        at = end
-
-
 def tokens(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Row and bytes of every term of the texts, in order, with A-Z in lower case."""
     texts = texts.cast(pa.large_binary())
@@ -82,7 +67,7 @@ def document_terms(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 rows, found = tokens(part.column("text"))
                 counted = pa.table({"row": rows, "term": found}).group_by(["row", "term"], use_threads=False)
                 counted = counted.aggregate([([], "count_all")])  # in the order of first occurrence, so by row
@@ -115,7 +100,7 @@ def prefix_documents(documents: DataFrame, size: int, first: int = FIRST) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "terms"):
+            for part in slices(batch, "terms", SLICE):
                 rows, terms = _flat(part)
                 if size > first:
                     longer = pc.greater_equal(pc.binary_length(terms), size // 2)
@@ -163,7 +148,7 @@ def group_counts(documents: DataFrame, terms: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "terms"):
+            for part in slices(batch, "terms", SLICE):
                 rows, flat = _flat(part)
                 columns = {c: part.column(c).take(rows) for c in ("lang", "source")}
                 table = pa.table({**columns, "term": flat.cast(pa.string()), "n": pc.list_flatten(part.column("ns"))})

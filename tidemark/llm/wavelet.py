@@ -5,15 +5,16 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.bytebpe import byte_chars
-from tidemark.llm.common import broadcast_checked, text_of
+from tidemark.llm.common import broadcast_checked, slices, text_of
 from tidemark.session import folder
 
 MAGIC = b"WVM1"
@@ -23,6 +24,10 @@ STRIDE = 4096
 SHARD_TOKENS = 2_000_000
 #: Words whose ids a Python worker remembers.
 CACHE = 1_000_000
+#: Characters of the longest word that is kept.
+KEPT = 64
+#: Bytes of text encoded together.
+TEXTS = 16 << 20
 #: Letters before this one are composed and change case one by one; only the dotted capital I does not.
 LETTERS = "\u0180"
 
@@ -183,9 +188,14 @@ class WordBpe:
         self.dtype = np.dtype(dtype)
         self.shown = {b: ord(c) for b, c in enumerate(byte_chars())}
         self.known: dict[str, bytes] = {"": b""}
+        self.packers: dict[int, Callable[..., bytes]] = {}
+        self.marks = {m: self._pack(self.tool.encode(m, add_special_tokens=False).ids) for m in ("", *".,;:!?")}
 
     def _pack(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.dtype.char}", *ids)
+        n = len(ids)
+        if n not in self.packers:
+            self.packers[n] = struct.Struct(f"<{n}{self.dtype.char}").pack
+        return self.packers[n](*ids)
 
     def _learn(self, words: Iterable[str]) -> None:
         """Ids of new words: letters up to ``LETTERS`` straight by the model, others through the whole tool.
@@ -193,36 +203,55 @@ class WordBpe:
         For such letters the tool's steps come to lower case and the bytes'
         characters. One mark after a letter is a piece of its own in any case.
         """
-        known, tokenize, shown, others = self.known, self.model.tokenize, self.shown, []
+        known, tokenize, shown, marks, others = self.known, self.model.tokenize, self.shown, self.marks, []
         for w in words:
-            core, mark = (w[:-1], w[-1]) if w[-1] in ".,;:!?" and w[-2:-1].isalpha() else (w, "")
-            if core.isalpha() and max(core) < LETTERS and "\u0130" not in core:
-                low = core.lower()
-                if low not in known:
-                    mapped = low if low.isascii() else low.encode().decode("latin-1").translate(shown)
-                    known[low] = self._pack([t.id for t in tokenize(mapped)])
-                known[w] = known[low] + self._mark(mark)
-            else:
+            core, mark = (w, "") if w.isalpha() else (w[:-1], w[-1])
+            plain = core.isascii() or (max(core) < LETTERS and "\u0130" not in core)
+            if not plain or len(w) > KEPT or mark not in marks or not core.isalpha():
                 others.append(w)
+                continue
+            low = core.lower()
+            ids = known.get(low)
+            if ids is None:
+                mapped = low if low.isascii() else low.encode().decode("latin-1").translate(shown)
+                ids = known[low] = self._pack([t.id for t in tokenize(mapped)])
+            known[w] = ids + marks[mark]
         for w, e in zip(others, self.tool.encode_batch_fast(others, add_special_tokens=False)):
             known[w] = self._pack(e.ids)
 
-    @lru_cache(maxsize=16)  # noqa: B019  one object per worker
-    def _mark(self, mark: str) -> bytes:
-        return self._pack(self.tool.encode(mark, add_special_tokens=False).ids) if mark else b""
-
-    def encode_batch(self, texts: Sequence[str], end: bytes = b"") -> Iterator[np.ndarray]:
-        """Ids of each text, with the bytes of ``end`` after them."""
+    def _pieces(self, words: list[str]) -> list[bytes]:
+        """Ids of different words. Long ones are not kept, so the cache stays bounded in bytes too."""
         known = self.known
-        for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            if new := {*words}.difference(known):
-                if len(known) > CACHE:
-                    known.clear()
-                    known[""] = b""
-                    new = {*words}.difference(known)
-                self._learn(new)
-            yield np.frombuffer(b"".join(map(known.__getitem__, words)) + end, dtype=self.dtype)
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > CACHE:
+            known.clear()
+            known[""] = b""
+            new = [w for w in words if w]
+        self._learn(new)
+        pieces = [known[w] for w in words]
+        for w in new:
+            if len(w) > KEPT:
+                del known[w]
+        return pieces
+
+    def encode_batch(self, texts: pa.Array | Sequence[str], end: bytes = b"") -> Iterator[np.ndarray]:
+        """Ids of each text, with the bytes of ``end`` after them. Each different word of the batch is looked up once."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        different = pa.ListArray.from_arrays(pa.array([0, len(words.dictionary)], pa.int32()), words.dictionary)
+        pieces = self._pieces(pc.binary_join(different, " ")[0].as_py().split(" "))  # far faster than one by one
+        sizes = np.array([len(p) for p in pieces], dtype=np.int64) // self.dtype.itemsize
+        ids = np.frombuffer(b"".join(pieces), dtype=self.dtype)
+        begins = np.cumsum(sizes) - sizes
+        codes = words.indices.to_numpy()
+        counts = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        out = ids[np.repeat(begins[codes] - ends[:-1], counts) + np.arange(ends[-1])]
+        places = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
+        last = np.frombuffer(end, dtype=self.dtype)
+        for a, b in zip(places[:-1].tolist(), places[1:].tolist()):
+            yield np.concatenate([out[a:b], last])
 
 
 @lru_cache(maxsize=2)
@@ -265,14 +294,14 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int, path: str, shard
 
         total = 0
         for batch in batches:
-            texts = (x.as_py() for x in batch.column("text"))
-            for doc, x in zip(batch.column("doc_id").to_pylist(), tool.encode_batch(texts, end)):
-                doc_ids.append(doc)
-                ids.append(x)
-                total += len(x)
-                if total >= shard_tokens:
-                    yield shard()
-                    doc_ids, ids, total, seq = [], [], 0, seq + 1
+            for part_ in slices(batch, "text", TEXTS):
+                for doc, x in zip(part_.column("doc_id").to_pylist(), tool.encode_batch(part_.column("text"), end)):
+                    doc_ids.append(doc)
+                    ids.append(x)
+                    total += len(x)
+                    if total >= shard_tokens:
+                        yield shard()
+                        doc_ids, ids, total, seq = [], [], 0, seq + 1
         if ids:
             yield shard()
 
