@@ -226,7 +226,7 @@ def test_audit(make, monkeypatch, small):
     docs += [(1000 + i, "long" * 3000 + "!" + "Long" * 3000, "en", "s1") for i in range(3)]
     docs += [(2000, "only here", "xx", "a"), (2001, "nowhere else", "xx", "b"), (2002, None, "yy", None)]  # no kept terms
     if small:
-        for name, value in (("SOURCES", 2), ("PART", 50), ("SLICE", 200), ("BROADCAST_BYTES", 0)):
+        for name, value in (("SOURCES", 2), ("PART", 50), ("TEXTS", 200), ("BROADCAST_BYTES", 0)):
             monkeypatch.setattr(iceberg, name, value)
     got = iceberg.source_divergence(make(docs), top=30)
     assert sorted(map(tuple, got.collect())) == audit_by_hand([d[1:] for d in docs], top=30)

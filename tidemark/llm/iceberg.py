@@ -9,7 +9,9 @@ term. The levels end when no incomplete prefix is left.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -17,12 +19,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import SLICE, broadcast_checked, packed_bytes, slices, text_of
+from tidemark.llm.common import broadcast_checked, packed_bytes, slices, text_of
 from tidemark.operators.joins import BROADCAST_BYTES
-from tidemark.session import settle, spread
+from tidemark.session import folder, settle, spread
 
 #: Bytes of the shortest prefix counted; each level doubles it.
 FIRST = 4
+#: Bytes of text in a block of documents; bytes of stored blocks that are read at once.
+TEXTS, ROW_GROUP = 8 << 20, 16 << 20
 #: Sources on each side of a block of source pairs, and counted terms in one of its parts.
 SOURCES, PART = 256, 200_000
 #: Shares are counted in parts of this.
@@ -56,69 +60,112 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.searchsorted(begins, starts, side="right") - 1, found
 
 
-def _lists(rows: np.ndarray, count: int, values: pa.Array) -> pa.ListArray:
-    """``values`` as one list per row; ``rows`` rises."""
-    offsets = np.searchsorted(rows, np.arange(count + 1)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), values)
+@dataclass
+class Block:
+    """Some documents: their different terms, and for each document which of them it holds how often."""
+
+    terms: pa.Array
+    codes: np.ndarray  # of the terms, document after document
+    ns: np.ndarray
+    docs: np.ndarray  # document of each code
+    doc_groups: np.ndarray
+    groups: list[tuple[str, str]]
+
+    @classmethod
+    def of(cls, part: pa.RecordBatch) -> Block:
+        rows, found = tokens(part.column("text"))
+        found = found.dictionary_encode()
+        size = max(1, len(found.dictionary))
+        keys, ns = np.unique(rows * size + found.indices.to_numpy(), return_counts=True)
+        pairs = list(zip(part.column("lang").to_pylist(), part.column("source").to_pylist()))
+        groups = {g: k for k, g in enumerate(dict.fromkeys(pairs))}
+        doc_groups = np.array([groups[g] for g in pairs], dtype=np.int32)
+        return cls(found.dictionary.cast(pa.binary()), keys % size, ns, keys // size, doc_groups, list(groups))
+
+    def pack(self) -> pa.RecordBatch:
+        """One row; numbers as bytes, which Spark only passes on."""
+        ends = np.cumsum(pc.binary_length(self.terms).to_numpy(zero_copy_only=False), dtype=np.int32)
+        sizes = np.bincount(self.docs, minlength=len(self.doc_groups))
+        whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(self.terms)], pa.int32()), self.terms), b"")
+        numbers = {"ends": ends, "codes": self.codes, "ns": self.ns, "sizes": sizes, "doc_groups": self.doc_groups}
+        columns = {k: pa.array([v.astype(np.int32).tobytes()], pa.binary()) for k, v in numbers.items()}
+        groups = [[{"lang": g, "source": s} for g, s in self.groups]]
+        kind = pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string())]))
+        return pa.RecordBatch.from_pydict({"terms": whole, **columns, "groups": pa.array(groups, kind)})
+
+    @classmethod
+    def unpack(cls, batch: pa.RecordBatch, i: int) -> Block:
+        read = lambda c: np.frombuffer(batch.column(c)[i].as_py(), dtype=np.int32)
+        ends, sizes = read("ends"), read("sizes")
+        offsets = pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32))
+        terms = pa.Array.from_buffers(pa.binary(), len(ends), [None, offsets, batch.column("terms")[i].as_buffer()])
+        docs = np.repeat(np.arange(len(sizes)), sizes)
+        groups = [(g["lang"], g["source"]) for g in batch.column("groups")[i].as_py()]
+        return cls(terms, read("codes"), read("ns"), docs, read("doc_groups"), groups)
+
+    def prefix_documents(self, size: int, first: int) -> pa.RecordBatch:
+        """``lang, prefix, n``: documents of each language that hold a term with this prefix of ``size`` bytes."""
+        lengths = pc.binary_length(self.terms).to_numpy(zero_copy_only=False)
+        taken = np.flatnonzero(lengths >= (size // 2 if size > first else 0))
+        closed = pc.binary_join_element_wise(self.terms.take(pa.array(taken)), pa.scalar(b"\0"), pa.scalar(b""))
+        cut = pc.binary_slice(closed, 0, size).dictionary_encode()
+        prefix_of = np.full(len(self.terms), -1, dtype=np.int64)
+        prefix_of[taken] = cut.indices.to_numpy()
+        width = max(1, len(cut.dictionary))
+        prefix = prefix_of[self.codes]
+        once = np.unique((self.docs * width + prefix)[prefix >= 0])
+        langs = {g: k for k, g in enumerate(dict.fromkeys(g for g, _ in self.groups))}
+        lang_of = np.array([langs[g] for g, _ in self.groups], dtype=np.int64)[self.doc_groups]
+        keys, n = np.unique(lang_of[once // width] * width + once % width, return_counts=True)
+        names = pa.array(list(langs), pa.string())
+        return pa.RecordBatch.from_pydict(
+            {"lang": names.take(pa.array(keys // width)), "prefix": cut.dictionary.take(pa.array(keys % width)), "n": pa.array(n, pa.int64())}
+        )
+
+    def group_counts(self) -> pa.RecordBatch:
+        """``lang, source, term, n``: occurrences."""
+        width = max(1, len(self.terms))
+        keys, at = np.unique(self.doc_groups[self.docs].astype(np.int64) * width + self.codes, return_inverse=True)
+        n = np.bincount(at, weights=self.ns, minlength=len(keys)).astype(np.int64)
+        lang, source = (pa.array([g[k] for g in self.groups], pa.string()) for k in (0, 1))
+        group, term = pa.array(keys // width), pa.array(keys % width)
+        return pa.RecordBatch.from_pydict(
+            {"lang": lang.take(group), "source": source.take(group), "term": self.terms.take(term).cast(pa.string()), "n": pa.array(n)}
+        )
+
 
+BLOCK = (
+    "terms binary, ends binary, codes binary, ns binary, sizes binary, doc_groups binary, "
+    "groups array<struct<lang: string, source: string>>"
+)
 
-def document_terms(docs: DataFrame) -> DataFrame:
-    """One row per document: ``lang, source, terms`` (different ones) and how often each occurs, ``ns``."""
+
+def term_blocks(docs: DataFrame) -> DataFrame:
+    """Blocks of documents with their terms, stored; every level and the last count read them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", SLICE):
-                rows, found = tokens(part.column("text"))
-                counted = pa.table({"row": rows, "term": found}).group_by(["row", "term"], use_threads=False)
-                counted = counted.aggregate([([], "count_all")])  # in the order of first occurrence, so by row
-                at = counted["row"].to_numpy()
-                terms = counted["term"].combine_chunks().cast(pa.binary())
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "lang": part.column("lang"),
-                        "source": part.column("source"),
-                        "terms": _lists(at, part.num_rows, terms),
-                        "ns": _lists(at, part.num_rows, counted["count_all"].combine_chunks()),
-                    }
-                )
+            for part in slices(batch, "text", TEXTS):
+                yield Block.of(part).pack()
 
     named = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source")]
     texts = spread(docs.select(*named, text_of().alias("text")))
-    return texts.mapInArrow(run, "lang string, source string, terms array<binary>, ns array<bigint>")
-
-
-def _flat(part: pa.RecordBatch) -> tuple[pa.Array, pa.Array]:
-    lists = part.column("terms")
-    return pc.list_parent_indices(lists), pc.list_flatten(lists)
-
+    path = folder(docs.sparkSession, "audit-blocks")
+    blocks = texts.mapInArrow(run, BLOCK)
+    blocks.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    return docs.sparkSession.read.schema(BLOCK).parquet(path)
 
-def prefix_documents(documents: DataFrame, size: int, first: int = FIRST) -> DataFrame:
-    """``lang, prefix, n``: documents of a batch that hold a term with this prefix of ``size`` bytes.
-
-    Terms that the level before saw whole are left out.
-    """
 
+def from_blocks(blocks: DataFrame, make: Callable[[Block], pa.RecordBatch], schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "terms", SLICE):
-                rows, terms = _flat(part)
-                if size > first:
-                    longer = pc.greater_equal(pc.binary_length(terms), size // 2)
-                    rows, terms = rows.filter(longer), terms.filter(longer)
-                cut = pc.binary_slice(pc.binary_join_element_wise(terms, pa.scalar(b"\0", terms.type), pa.scalar(b"", terms.type)), 0, size)
-                once = pa.table({"row": rows, "prefix": cut}).group_by(["row", "prefix"], use_threads=False).aggregate([])
-                once = pa.table({"lang": part.column("lang").take(once["row"].combine_chunks()), "prefix": once["prefix"]})
-                yield from _counted(once.group_by(["lang", "prefix"], use_threads=False).aggregate([([], "count_all")]))
-
-    return documents.select("lang", "terms").mapInArrow(run, "lang string, prefix binary, n bigint")
-
+            for i in range(batch.num_rows):
+                yield make(Block.unpack(batch, i))
 
-def _counted(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    names = {"count_all": "n", "n_sum": "n"}
-    yield from table.rename_columns([names.get(c, c) for c in table.column_names]).combine_chunks().to_batches()
+    return blocks.mapInArrow(run, schema)
 
 
-def frequent_terms(documents: DataFrame, threshold: int, first: int = FIRST) -> DataFrame:
+def frequent_terms(blocks: DataFrame, threshold: int, first: int = FIRST) -> DataFrame:
     """``lang, term`` of the terms that at least ``threshold`` documents of the language hold.
 
     Up to the broadcast bound, the prefixes kept by the level before prune a
@@ -127,7 +174,7 @@ def frequent_terms(documents: DataFrame, threshold: int, first: int = FIRST) ->
     """
     size, kept, found = first, None, None
     while True:
-        rows = prefix_documents(documents, size, first)
+        rows = from_blocks(blocks, partial(Block.prefix_documents, size=size, first=first), "lang string, prefix binary, n bigint")
         if kept is not None and packed_bytes(kept) <= BROADCAST_BYTES // 8:
             head = F.substring("prefix", 1, size // 2)
             rows = rows.withColumn("head", head).join(F.broadcast(kept), ["lang", "head"], "left_semi")
@@ -143,18 +190,9 @@ def frequent_terms(documents: DataFrame, threshold: int, first: int = FIRST) ->
         size *= 2
 
 
-def group_counts(documents: DataFrame, terms: DataFrame) -> DataFrame:
+def group_counts(blocks: DataFrame, terms: DataFrame) -> DataFrame:
     """``lang, source, term, n``: occurrences of each kept term in a source of its language."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "terms", SLICE):
-                rows, flat = _flat(part)
-                columns = {c: part.column(c).take(rows) for c in ("lang", "source")}
-                table = pa.table({**columns, "term": flat.cast(pa.string()), "n": pc.list_flatten(part.column("ns"))})
-                yield from _counted(table.group_by(["lang", "source", "term"], use_threads=False).aggregate([("n", "sum")]))
-
-    rows = documents.mapInArrow(run, "lang string, source string, term string, n bigint")
+    rows = from_blocks(blocks, Block.group_counts, "lang string, source string, term string, n bigint")
     small = packed_bytes(terms) <= BROADCAST_BYTES // 8
     if small:  # rare terms go before the shuffle
         rows = rows.join(F.broadcast(terms), ["lang", "term"], "left_semi")
@@ -252,13 +290,14 @@ def source_divergence(docs: DataFrame, threshold: int = 3, top: int = 200) -> Da
     source than in the language. Ties go by the item's bytes; an empty table
     gives no rows.
     """
-    documents = settle(document_terms(docs), "audit-documents")
-    terms = frequent_terms(documents, threshold)
-    counts = settle(group_counts(documents, terms), "audit-counts")
+    blocks = term_blocks(docs)
+    terms = frequent_terms(blocks, threshold)
+    counts = settle(group_counts(blocks, terms), "audit-counts")
     by_lang = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     zero = F.lit(0).cast("long")
-    groups = documents.select("lang", "source").distinct().join(totals, ["lang", "source"], "left")
+    groups = blocks.select(F.explode("groups").alias("g")).select("g.*").distinct()
+    groups = groups.join(totals, ["lang", "source"], "left")
     groups = groups.join(by_lang, "lang", "left").select(
         "lang", "source",
         F.coalesce("total", zero).alias("total"), F.coalesce("v", zero).alias("v"),

@@ -261,11 +261,14 @@ def searched(index: Index, anchors: DataFrame) -> DataFrame:
         new = scored(round_, index, n)
         new = new if hits is None else new.unionByName(hits.select("anchor_id", "key", "k", "id", "score"))
         hits = settle(new.withColumn("rank", F.row_number().over(best)).filter("rank <= k"), "search-hits")
-        open_ = round_.filter("bound is not null")
+        open_ = round_.filter("bound is not null").drop("cells")
         last = hits.filter("rank = k").select(F.col("anchor_id").alias("id"), "key", F.col("score").alias("last"))
-        each = open_.select("id", "bound", F.explode("wants").alias("w")).select("id", "bound", "w.key", "w.low")
+        each = open_.select("id", "bound", F.explode("wants").alias("w")).select("id", "bound", "w.*")
         unsure = each.join(last, ["id", "key"], "left").filter("bound >= low and (last is null or last <= bound)")
-        active = settle(open_.join(unsure.select("id").distinct(), "id", "left_semi").drop("cells", "bound"), "search-active")
+        # What is not certified goes on, and takes only rows that can still enter its result.
+        again = F.struct("key", "same", F.greatest("low", "last").alias("low"), "high", "k")
+        left = unsure.groupBy("id").agg(F.collect_list(again).alias("wants"))
+        active = settle(open_.drop("bound", "wants").join(left, "id"), "search-active")
         goal *= GROWTH
     return hits if hits is not None else anchors.sparkSession.createDataFrame([], HIT + ", rank int")
 
