@@ -1,4 +1,5 @@
 import itertools
+from collections import Counter
 import re
 
 import numpy as np
@@ -7,7 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as tx
-from tidemark.operators import text as docs, vectors as vec
+from tidemark.operators import nearcopies, text as docs, vectors as vec
 from tidemark.session import folder
 
 
@@ -99,41 +100,70 @@ def _shingles(text, n=3):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} or {tuple(w)}
 
 
-def test_near_copies_against_all_pairs(spark):
+def groups_by_hand(texts, percent=70):
+    """(id, smallest id reachable, size) of every text linked with another."""
+    sets = {i: _shingles(x or "") for i, x in texts}
+    top = {i: i for i in sets}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for i, j in itertools.combinations(sorted(sets), 2):
+        common = len(sets[i] & sets[j])
+        if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+            a, b = sorted((find(i), find(j)))
+            top[b] = a
+    sizes = Counter(map(find, sets))
+    return sorted((i, find(i), sizes[find(i)]) for i in sets if sizes[find(i)] > 1)
+
+
+@pytest.mark.parametrize("path", ["pairs", "blocks"])
+def test_near_groups_against_all_pairs(spark, monkeypatch, path):
+    if path == "blocks":
+        monkeypatch.setattr(nearcopies, "LIST", 1)
+        monkeypatch.setattr(nearcopies, "BLOCK_DOCS", 4)
     rng = np.random.default_rng(3)
     vocab = [a + b + c for a, b, c in itertools.product("bdkm", "aeio", "nrst")]
-    texts, truth = [], set()
+    texts = []
     for _ in range(25):
         base = list(rng.choice(vocab, 80))
         texts.append(" ".join(base))
-        for _ in range(int(rng.integers(0, 4))):
-            copy = list(base)
-            copy[int(rng.integers(0, 80))] = "changed"
-            texts.append(" ".join(copy))
-    texts += ["one and the same text again and again"] * 60
-    sets = [_shingles(x) for x in texts]
-    for i, j in itertools.combinations(range(len(texts)), 2):
-        if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.7:
-            truth.add(j)
+        for _ in range(int(rng.integers(0, 6))):  # each copy drifts from the one before: A ~ C ~ D, A unlike D
+            base = list(base)
+            for at in rng.integers(0, 80, 3):
+                base[at] = "changed" + str(rng.integers(9))
+            texts.append(" ".join(base))
+    texts += ["one and the same text again and again"] * 60 + [None, "", " ", "a", "a b", "A B"]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(int(i), x) for i, x in rows], "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, nearcopies.near_groups(df, "doc_id", "text").collect()))
+    assert got == groups_by_hand(rows)
+
+
+def test_near_groups_of_a_long_list_of_unlike_texts(spark):
+    """2,000 texts share one rare passage and little else; three of them are a chain of copies."""
+    word = lambda *x: "".join("abcdefghij"[int(c)] for c in "".join(map(str, x)))
+    texts = [" ".join(["shared rare words"] + [word(i, 7, k) for k in range(20)]) for i in range(2000)]
+    chain = texts[5].split()
+    for k in (8, 12):
+        chain[k] = chain[k] + "x"
+        texts.append(" ".join(chain))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = docs.near_copies(df, "doc_id", "text").collect()
-    assert {r["doc_id"] for r in got} == truth and len(got) == len(truth)
-    for r in got:
-        a, b = sets[r["doc_id"]], sets[r["repeats"]]
-        assert r["repeats"] < r["doc_id"] and abs(r["similarity"] - len(a & b) / len(a | b)) < 1e-9
-
-
-def test_near_copies_on_the_documents(t):
-    """Every listed pair is similar, and every text equal to an earlier one is listed."""
-    texts = {r["doc_id"]: r["text"] for r in t.documents.select("doc_id", "text").collect()}
-    got = {r["doc_id"]: r for r in docs.near_copies(t.documents, "doc_id", "text").collect()}
-    for i, r in got.items():
-        a, b = _shingles(texts[i]), _shingles(texts[r["repeats"]])
-        assert len(a & b) / len(a | b) >= 0.65
-    first = {}
-    for i in sorted(texts):
-        if first.setdefault(texts[i], i) != i:
-            assert i in got
+    got = sorted(map(tuple, nearcopies.near_groups(df, "doc_id", "text").collect()))
+    assert got == [(5, 5, 3), (2000, 5, 3), (2001, 5, 3)]
+
+
+def test_components(spark):
+    """A path, a star, a ring and a doubled edge."""
+    edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(8, 60)] + [(200, 201), (201, 202), (202, 200)]
+    edges += [(1, 2), (2, 1), (3, 3)]
+    got = {r.node: r.label for r in nearcopies.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {i: 100 for i in range(100, 141)} | {i: 7 for i in range(7, 60)} | {200: 200, 201: 200, 202: 200, 1: 1, 2: 1}
+    assert got == want
+    assert nearcopies.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
 @pytest.fixture(scope="module")

@@ -190,87 +190,3 @@ def exact_copies(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     return df.groupBy(F.md5(F.lower(tx.clean(F.col(text)))).alias("digest")).agg(
         F.min(doc_id).alias(doc_id), F.count(F.lit(1)).alias("copies")
     )
-
-
-def _band_keys(bands: int, rows: int, seed: int):
-    rng = np.random.default_rng(seed)
-    a = rng.integers(1, 2**63, size=bands * rows, dtype=np.uint64) | np.uint64(1)
-    b = rng.integers(0, 2**63, size=bands * rows, dtype=np.uint64)
-
-    @F.pandas_udf("array<long>")
-    def keys(sets: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        weights = np.arange(1, rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-
-        def one(hashes) -> np.ndarray:
-            x = np.asarray(hashes, dtype=np.int64).view(np.uint64)
-            low = np.empty(bands * rows, dtype=np.uint64)
-            for i in range(bands * rows):
-                h = x * a[i] + b[i]
-                low[i] = (h ^ (h >> np.uint64(31))).min()
-            return (low.reshape(bands, rows) * weights).sum(axis=1, dtype=np.uint64).view(np.int64)
-
-        for s in sets:
-            yield s.map(one)
-
-    return keys
-
-
-def near_copies(
-    df: DataFrame,
-    doc_id: str,
-    text: str,
-    threshold: float = 0.7,
-    bands: int = 16,
-    rows: int = 4,
-    seed: int = 7,
-) -> DataFrame:
-    """``(doc_id, repeats, similarity)`` for documents that nearly repeat one with a smaller id.
-
-    That one may itself repeat an earlier one; following ``repeats`` always ends
-    at a document that is not listed, which is the one to keep.
-
-    Documents with equal shingle sets are merged first, so a text copied a
-    million times is one candidate. MinHash bands then group the rest; within a
-    bucket every document is compared with the bucket's first one only, never
-    pair by pair. Those found similar (exact Jaccard of their shingles) leave,
-    the first one leaves too, and the next round takes the bucket's next
-    one, until no bucket has two documents left. Nothing is capped.
-    """
-    rows_in = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    digest = F.xxhash64(F.array_sort(tx.shingles(F.col("text"))))
-    digests = settle(rows_in.select("id", digest.alias("digest")), "near-digests")
-    first = digests.groupBy("digest").agg(F.min("id").alias("first"))
-    same = settle(digests.join(first, "digest").select("id", "first"), "near-same")
-    leaders = same.filter("id = first").select("id")
-    small = rows_in.join(leaders, "id").select("id", tx.shingles(F.col("text")).alias("s"))
-    small = settle(small, "near-sets")
-    key = F.posexplode(_band_keys(bands, rows, seed)("s")).alias("band", "key")
-    buckets = settle(small.select("id", key), "near-buckets")
-    found = None
-    while True:
-        heads = buckets.groupBy("band", "key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
-        heads = heads.filter("n > 1").drop("n")
-        # Buckets of one and the heads, which meet every member now, drop out here.
-        members = settle(buckets.join(heads, ["band", "key"]).filter("id <> head"), "near-members")
-        if members.isEmpty():
-            break
-        pairs = members.select("id", "head").distinct()
-        other = small.select(F.col("id").alias("head"), F.col("s").alias("t"))
-        both = F.size(F.array_intersect("s", "t"))
-        rated = pairs.join(small, "id").join(other, "head").select(
-            "id", "head", (both / (F.size("s") + F.size("t") - both)).alias("similarity")
-        )
-        close = rated.filter(F.col("similarity") >= threshold)
-        # The most similar head wins, the smaller id on a tie.
-        best = close.groupBy("id").agg(
-            F.max(F.struct("similarity", (-F.col("head")).alias("neg"))).alias("b")
-        )
-        hits = settle(
-            best.select("id", (-F.col("b.neg")).alias("repeats"), F.col("b.similarity").alias("similarity")),
-            "near-hits",
-        )
-        found = hits if found is None else found.unionByName(hits)
-        buckets = members.drop("head").join(hits.select("id"), "id", "left_anti")
-    merged = same.filter("id <> first").select("id", F.col("first").alias("repeats"), F.lit(1.0).alias("similarity"))
-    out = merged if found is None else merged.unionByName(found)
-    return out.withColumnRenamed("id", doc_id)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as tx
 from tidemark.functions.measures import count_where, money_sum
-from tidemark.operators import governance as gov, text as docs, vectors as vec
+from tidemark.operators import governance as gov, nearcopies, text as docs, vectors as vec
 from tidemark.plans.inputs import msum
 from tidemark.plans.registry import query
 from tidemark.session import inline_rows, settle, spread
@@ -408,7 +408,25 @@ def doc_dedup_exact(t):
     return docs.exact_copies(t.documents, "doc_id", "text")
 
 
-@query("doc_dedup_near")
+@query(
+    "doc_dedup_near",
+    r"""
+    WITH RECURSIVE words AS (
+      SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\p{L}+') AS w FROM documents),
+    sets AS (
+      SELECT doc_id, list_distinct(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+               ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)] END) AS s FROM words),
+    each AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+    links AS (
+      SELECT a.doc_id AS a, b.doc_id AS b FROM each a JOIN each b ON a.x = b.x AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 70 * (a.n + b.n - count(*))),
+    steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach(id, other) AS (
+      SELECT a, a FROM steps UNION SELECT r.id, s.b FROM reach r JOIN steps s ON r.other = s.a),
+    tops AS (SELECT id AS doc_id, min(other) AS keep_id, count(*) AS group_size FROM reach GROUP BY id)
+    FROM tops
+    """,
+)
 def doc_dedup_near(t):
-    """Documents that nearly repeat an earlier one; checked against brute force in the tests."""
-    return docs.near_copies(spread(t.documents.select("doc_id", "text")), "doc_id", "text")
+    """Groups of documents linked by 70 % common shingles of three words."""
+    return nearcopies.near_groups(spread(t.documents.select("doc_id", "text")), "doc_id", "text")
