@@ -217,6 +217,27 @@ def test_index_recall_grows_to_exact(spark, cloud):
     assert full == 1.0 and 0.4 < near <= full
 
 
+@pytest.mark.parametrize("limit", ["small", "blocks"])
+def test_inverted_file(spark, cloud, monkeypatch, limit):
+    """All cells: the codes alone cost little recall. Few cells: less is read. Scores are exact, zero vectors never found."""
+    m, corpus, queries = cloud
+    if limit == "blocks":  # query sets beyond one task
+        monkeypatch.setattr(vec.nearest, "__defaults__", (None, 0, vec._unit))
+    index = vec.InvertedFile(folder(spark, "ivf"), parts=8, words=64, cells=10)
+    index.write(corpus, "id", "v")
+    want = brute(m, range(0, 60, 3), 5)
+    unit = np.nan_to_num(m / np.linalg.norm(m, axis=1, keepdims=True))
+
+    def searched(probes):
+        rows_ = index.search(queries, "v", 5, probes, 40).collect()
+        assert all(abs(r["score"] - unit[r["query_id"]] @ unit[r["id"]]) < 1e-9 and r["id"] != 11 for r in rows_)
+        got = found(index.search(queries, "v", 5, probes, 40))
+        return sum(len(set(got.get(q, [])) & set(w)) for q, w in want.items()) / (5 * len(want))
+
+    full, few = searched(10), searched(3)
+    assert full >= 0.95 and 0.3 < few <= full
+
+
 def test_lateral_topk_keeps_ties_in_order(spark, rows):
     outer = spark.createDataFrame([(1,), (2,), (3,)], "k long")
     inner = spark.createDataFrame([(1, 5, 1), (1, 5, 0), (1, 4, 2), (2, 1, 3)], "k long, v long, id long")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tidemark.operators.joins import broadcast_if_small
 from tidemark.session import settle
 
 # Query vectors a task may hold; above it both sides are cut into blocks.
@@ -88,6 +89,7 @@ def nearest(
     k: int,
     cell: str | None = None,
     limit: int = QUERY_BYTES,
+    decode: Callable[[pd.Series], np.ndarray] = _unit,
 ) -> DataFrame:
     """The ``k`` most similar corpus vectors of each query, exact.
 
@@ -95,11 +97,12 @@ def nearest(
     every task scores its part of the corpus in one matrix product per batch and
     hands on only its own ``k`` best per query; otherwise ``nearest_blocks`` is
     used. Score pairs are never rows. With ``cell`` a query row meets only
-    corpus rows of the same cell.
+    corpus rows of the same cell. ``decode`` makes the matrix of a batch from
+    what is stored, by default unit vectors.
     """
     n, width = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vector)), F.lit(0))).first()
     if n * width * 8 > limit:
-        return nearest_blocks(corpus, id, vector, queries, k, cell)
+        return nearest_blocks(corpus, id, vector, queries, k, cell, decode=decode)
     at = (F.col(cell) if cell else F.lit(0)).alias("cell")
     found = queries.select("query_id", vector, at).collect()
     if not found:
@@ -111,7 +114,7 @@ def nearest(
         best = None
         for pdf in batches:
             if len(pdf):
-                s = _unit(pdf["v"]) @ q.T
+                s = decode(pdf["v"]) @ q.T
                 s[pdf["cell"].to_numpy()[:, None] != qcells[None, :]] = np.nan
                 s, ids = _best(s, pdf["id"].to_numpy(), k)
                 if best is not None:
@@ -134,6 +137,7 @@ def nearest_blocks(
     cell: str | None = None,
     corpus_rows: int = 20_000,
     query_rows: int = 2_000,
+    decode: Callable[[pd.Series], np.ndarray] = _unit,
 ) -> DataFrame:
     """``nearest`` for query sets of any size: blocks of both sides meet in tasks.
 
@@ -168,7 +172,7 @@ def nearest_blocks(
             return pd.DataFrame({"query_id": [], "id": [], "score": []}).astype(
                 {"query_id": "int64", "id": "int64"}
             )
-        s, ids = _best(_unit(c["v"]) @ _unit(q["v"]).T, c["id"].to_numpy(), k)
+        s, ids = _best(decode(c["v"]) @ _unit(q["v"]).T, c["id"].to_numpy(), k)
         return _rows(q["query_id"].to_numpy(), s, ids)
 
     keys = ["cell", "cb", "qb"]
@@ -214,3 +218,89 @@ class HyperplaneIndex:
         cells = [r[0] for r in probes.select("cell").distinct().collect()]
         stored = queries.sparkSession.read.parquet(self.path).filter(F.col("cell").isin(cells))
         return nearest(stored, "id", "v", probes, k, cell="cell")
+
+
+def _means(x: np.ndarray, n: int, rounds: int, seed: int) -> np.ndarray:
+    """``n`` means of the rows of ``x``; a mean without rows stays where it was."""
+    rng = np.random.default_rng(seed)
+    means = x[rng.permutation(len(x))[:n]].copy()
+    for _ in range(rounds):
+        own = _closest(x, means)
+        counts = np.bincount(own, minlength=len(means))
+        sums = np.zeros_like(means)
+        np.add.at(sums, own, x)
+        means[counts > 0] = sums[counts > 0] / counts[counts > 0, None]
+    return means
+
+
+def _closest(x: np.ndarray, means: np.ndarray) -> np.ndarray:
+    return ((means * means).sum(axis=1)[None, :] - 2 * x @ means.T).argmin(axis=1)
+
+
+class InvertedFile:
+    """Approximate search: an inverted file of trained cells, with product-quantised codes.
+
+    Vectors are scaled to length one. A cell holds the vectors nearest to its
+    mean; a code has one byte for each of ``parts`` slices of the vector, the
+    number of the nearest of ``words`` trained slices. A search reads the codes
+    of the cells nearest to a query, ranks them by the codes, reads the vectors
+    of the ``short`` best only and ranks those exactly.
+
+    Means are fitted on a sample of at most ``sample`` vectors, those of least
+    hash; every vector is indexed. A zero vector has no direction: it is stored
+    and never found. Ids are unique.
+    """
+
+    def __init__(self, path: str, parts: int = 16, words: int = 256, cells: int | None = None, sample: int = 20_000):
+        self.path, self.parts, self.words, self.cells, self.sample = path, parts, words, cells, sample
+
+    def fit(self, corpus: DataFrame, id: str, vector: str) -> None:
+        total = corpus.count()
+        taken = corpus.select(F.col(vector).alias("v"), F.xxhash64(id).alias("h")).orderBy("h").limit(self.sample)
+        x = np.nan_to_num(_unit([r.v for r in taken.select("v").collect()]))  # at most ``sample`` rows
+        n = self.cells or max(1, round(total**0.5))
+        self.means = _means(x, min(n, len(x)), 10, 1)
+        self.slices = np.array_split(np.arange(x.shape[1]), self.parts)
+        self.books = [_means(x[:, s], min(self.words, len(x)), 10, 2) for s in self.slices]
+
+    def write(self, corpus: DataFrame, id: str, vector: str) -> None:
+        """Fit, then store ``id, code, v`` by cell."""
+        self.fit(corpus, id, vector)
+        means, slices, books = self.means, self.slices, self.books
+
+        @F.pandas_udf("cell int, code binary")
+        def placed(vectors: pd.Series) -> pd.DataFrame:
+            x = np.nan_to_num(_unit(vectors)) if len(vectors) else np.zeros((0, means.shape[1]))
+            codes = np.column_stack([_closest(x[:, s], b) for s, b in zip(slices, books)]).astype(np.uint8)
+            return pd.DataFrame({"cell": _closest(x, means).astype(np.int32), "code": [c.tobytes() for c in codes]})
+
+        rows = corpus.select(F.col(id).alias("id"), F.col(vector).alias("v"), placed(vector).alias("p"))
+        rows = rows.select("id", "p.code", "v", "p.cell").repartition("cell", F.pmod(F.xxhash64("id"), F.lit(8)))
+        rows.write.mode("overwrite").partitionBy("cell").parquet(self.path)
+
+    def search(self, queries: DataFrame, vector: str, k: int, probes: int, short: int) -> DataFrame:
+        """``query_id, id, score, rank``; scores are exact cosines of the short list."""
+        means, slices, books = self.means, self.slices, self.books
+        near = min(probes, len(means))
+
+        @F.pandas_udf("array<int>")
+        def visited(vectors: pd.Series) -> pd.Series:
+            if not len(vectors):
+                return pd.Series([], dtype=object)
+            x = np.nan_to_num(_unit(vectors))
+            far = (means * means).sum(axis=1)[None, :] - 2 * x @ means.T
+            return pd.Series(list(np.argsort(far, axis=1, kind="stable")[:, :near].astype(np.int32)))
+
+        def decode(codes: pd.Series) -> np.ndarray:
+            c = np.frombuffer(b"".join(codes), dtype=np.uint8).reshape(len(codes), -1)
+            return np.hstack([b[c[:, i]] for i, b in enumerate(books)]) if len(codes) else np.zeros((0, len(slices)))
+
+        asked = queries.select("query_id", F.col(vector).alias("q"))
+        visits = settle(asked.select("query_id", F.col("q").alias("code"), F.explode(visited("q")).alias("cell")), "probes")
+        # At most as many cells as there are means; folders of other cells are not read.
+        cells = [r[0] for r in visits.select("cell").distinct().collect()]
+        stored = queries.sparkSession.read.parquet(self.path).filter(F.col("cell").isin(cells))
+        listed = settle(nearest(stored, "id", "code", visits, short, cell="cell", decode=decode).select("query_id", "id"), "short-list")
+        held = stored.select("id", "v").join(broadcast_if_small(listed), "id").join(asked, "query_id")
+        exact = held.select("query_id", "id", cosine(F.col("v"), F.col("q")).alias("score"))
+        return topk(exact, ["query_id"], [F.desc(F.round("score", 9)), F.asc("id")], k, rank="rank")
