@@ -9,7 +9,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
-from tidemark.operators.quantiles import exact_quantiles
+from tidemark.operators.quantiles import column_quantiles, exact_quantiles
 
 
 @dataclass(frozen=True)
@@ -105,18 +105,16 @@ def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
     """One row per column: counts, null rate, distinct, min, max and, for numbers, mean and median.
 
     Exact distinct counts are subqueries of one column each: together they read
-    the table once, and the main pass is not multiplied by the columns.
+    the table once, and the main pass is not multiplied by the columns. The
+    medians of all columns come from one more read.
     """
     aggs, rows = [F.count(F.lit(1)).alias("n")], []
     distinct = [
         df.select(F.col(f"`{f.name}`").alias("c")).distinct().agg(F.count("c")).scalar()
         for f in (df.schema.fields if exact_distinct else [])
     ]
-    medians = {
-        i: exact_quantiles(df.select(F.col(f"`{f.name}`").alias("c")), [], "c", ["0.5"]).select(F.col("quantiles")[0].cast("double")).scalar()
-        for i, f in enumerate(df.schema.fields)
-        if isinstance(f.dataType, NumericType)
-    }
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+    medians = column_quantiles(df, numbers, ["0.5"]).select("column_name", F.col("quantiles")[0].alias("median"))
     for i, f in enumerate(df.schema.fields):
         c, number = F.col(f"`{f.name}`"), isinstance(f.dataType, NumericType)
         if not exact_distinct:
@@ -141,10 +139,10 @@ def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
                 F.col(f"a{i}").alias("min_value"),
                 F.col(f"z{i}").alias("max_value"),
                 (F.round(f"m{i}", 4) if number else none).alias("mean"),
-                (medians[i] if number else none).alias("median"),
             )
         )
-    return as_rows(df.agg(*aggs), rows)
+    # One row per column on both sides.
+    return as_rows(df.agg(*aggs), rows).join(F.broadcast(medians), "column_name", "left")
 
 
 def zscores(df: DataFrame, column: str, threshold: float = 3.0) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemark.functions.measures import count_where
 from tidemark.operators import governance as gov
-from tidemark.plans.inputs import AS_OF_EVENTS
+from tidemark.plans.inputs import AS_OF_EVENTS, columns_of
 from tidemark.plans.registry import query
-from tidemark.session import spread
+from tidemark.session import TABLES, spread
 
 
 @query(
@@ -55,26 +56,25 @@ def mask_customer(t):
     )
 
 
-TEXT_COLUMNS = {
-    "documents": ["text", "lang", "source"],
-    "conversations": ["role", "text"],
-    "customer": ["c_name", "c_mktsegment"],
-    "pages": ["url", "html"],
-}
 _TAGS = " UNION ALL ".join(
     f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{k}' AS kind, "
     f"count(*) FILTER (regexp_matches({c}, '{rx}')) / count(*) AS hit_rate FROM {table}"
-    for table, columns in TEXT_COLUMNS.items()
-    for c in columns
+    for table in TABLES
+    for c, kind in columns_of(table)
+    if kind == "string"
     for k, rx in gov.PII_PATTERNS.items()
 )
 
 
 def _tags(t):
+    """Every text column of every table, by the schemas; one pass per table."""
     out = None
-    for table, columns in TEXT_COLUMNS.items():
-        part = gov.classify_columns(spread(getattr(t, table).select(*columns)), table)
-        out = part if out is None else out.unionByName(part)
+    for table in TABLES:
+        df = getattr(t, table)
+        text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+        if text:
+            part = gov.classify_columns(spread(df.select(*text)), table)
+            out = part if out is None else out.unionByName(part)
     return out
 
 

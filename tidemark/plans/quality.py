@@ -120,13 +120,18 @@ def _profile_sql(column: str, number: bool, shown: str | None = None) -> str:
       {shown.format('min')} AS min_value, {shown.format('max')} AS max_value, {extra} FROM bronze"""
 
 
+#: Columns of the table that the SQL spells out, and whether they are numbers.
+PROFILED = [("event_id", True), ("ts", False), ("user_id", True), ("event_type", False), ("value", True), ("props", False)]
+
+
 @query(
     "profile_full",
     f"WITH {BRONZE} "
-    + " UNION ALL ".join(_profile_sql(c, n) for c, n in [("event_id", True), ("user_id", True), ("event_type", False), ("value", True)]),
+    + " UNION ALL ".join(_profile_sql(c, n) for c, n in PROFILED),
 )
 def profile_full(t):
-    return dq.profile(bronze_events(t).select("event_id", "user_id", "event_type", "value"), exact_distinct=True)
+    """Every column of the table, taken from its schema."""
+    return dq.profile(bronze_events(t), exact_distinct=True)
 
 
 @query(

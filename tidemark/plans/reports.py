@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from tidemark.functions.measures import money_avg, money_sum, pct
 from tidemark.operators import quality as dq
 from tidemark.operators.joins import validity_join
-from tidemark.plans.inputs import AS_OF_EVENTS, AS_OF_ORDERS, SALES, mavg, msum, sales
+from tidemark.plans.inputs import AS_OF_EVENTS, AS_OF_ORDERS, SALES, columns_of, mavg, msum, sales
 from tidemark.plans.registry import query
 from tidemark.plans.relational import PRICES_SQL, USAGE_SQL, price_list, usage
 from tidemark.plans.spec import run_spec
-from tidemark.session import inline_rows
+from tidemark.session import TABLES, inline_rows
 
 # --- views ------------------------------------------------------------------
 
@@ -356,26 +356,19 @@ def recent_runs(t):
     )
 
 
-CATALOG = {
-    "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"), ("c_mktsegment", "string")],
-    "part": [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"), ("p_size", "int"), ("p_retailprice", "double")],
-    "events": [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"), ("value", "double"), ("props", "string")],
-}
-
-
 @query(
     "column_catalog",
     " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, CAST({i} AS INTEGER) AS position, '{c}' AS column_name, '{kind}' AS data_type, count(*) AS rows, "
         f"(count(*) - count({c})) / count(*) AS null_rate, count(DISTINCT {c}) AS n_distinct FROM {table}"
-        for table, columns in CATALOG.items()
-        for i, (c, kind) in enumerate(columns)
+        for table in TABLES
+        for i, (c, kind) in enumerate(columns_of(table))
     ),
 )
 def column_catalog(t):
-    """Schema of the tables beside what their columns hold; one pass per table."""
+    """Schema of every table beside what its columns hold."""
     out = None
-    for table in CATALOG:
+    for table in TABLES:
         df = getattr(t, table)
         fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
         schema = inline_rows(t.spark, fields, "position int, column_name string, data_type string")
