@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +126,45 @@ def test_drift_without_spread_or_rows(spark):
     assert (r["mean_shift"], r["sd_ratio"], r["psi"]) == (None, None, 0.0)
     assert dq.drift(same.filter("false"), same, "v").first()["psi"] is None
     assert dq.drift(same, same.filter("false"), "v").first()["psi"] is None
+
+
+def test_label_index(spark, rows, monkeypatch):
+    """More labels than one task numbers; null and unseen ones come after the last."""
+    from tidemark.operators import learning, segmented
+
+    monkeypatch.setattr(segmented, "KEYLESS_ROWS", 300)
+    names = [f"label {i * 7919 % 2000:04d}" for i in range(2000)] * 2 + [None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(names)], "id long, c string").repartition(5)
+    want = {x: i for i, x in enumerate(sorted(set(names) - {None}))}
+    got = learning.encode_labels(df, "c", "n")
+    assert got.columns == ["id", "c", "n"]
+    assert rows(got) == sorted(((i, x, want.get(x, 2000)) for i, x in enumerate(names)), key=repr)
+    new = spark.createDataFrame([(1, "label 0003"), (2, "other"), (3, None)], "id long, c string")
+    placed = rows(learning.encode_labels(new, "c", "n", learning.label_dictionary(df, "c")))
+    assert placed == [(1, "label 0003", 3), (2, "other", 2000), (3, None, 2000)]
+
+
+def test_millions_of_labels(spark):
+    """Numbered in ranges; nothing is collected."""
+    from tidemark.operators import learning
+
+    n = 3_000_000
+    df = spark.range(n).selectExpr("lpad(cast(id as string), 9, '0') AS c")
+    found = learning.label_dictionary(df, "c")
+    assert found.filter("cast(label as long) <> label_index").count() == 0 and found.count() == n
+
+
+def test_column_quantiles(spark, rows):
+    """All columns at once, plain and in ranges, against a sort."""
+    from tidemark.operators import quantiles, segmented
+
+    data = [(i * 37 % 101, float(i % 13) if i % 5 else None, None) for i in range(500)]
+    df = spark.createDataFrame(data, "a long, b double, c int").repartition(3)
+    shares = ["0.01", "0.5", "0.95", "1"]
+    want = []
+    for k, name in enumerate(["a", "b"]):
+        x = sorted(float(r[k]) for r in data if r[k] is not None)
+        want.append((name, [x[max(1, math.ceil(round(float(s) * len(x), 9))) - 1] for s in shares]))
+    for segment in (segmented.AUTO, None, segmented.Ranges(4)):
+        got = quantiles.column_quantiles(df, ["a", "b", "c"], shares, segment=segment)
+        assert sorted((r[0], r[1]) for r in got.collect()) == want

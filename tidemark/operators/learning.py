@@ -7,19 +7,38 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import hash_share
 from tidemark.operators import segmented
+from tidemark.operators.joins import broadcast_if_small
+from tidemark.session import settle
 
 
-def encode_labels(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Alphabetical index of a category, fitted once."""
-    indexer = StringIndexer(inputCol=column, outputCol=out, stringOrderType="alphabetAsc", handleInvalid="keep")
-    return indexer.fit(df).transform(df).withColumn(out, F.col(out).cast("long"))
+def label_dictionary(df: DataFrame, column: str) -> DataFrame:
+    """``label, label_index``: every different label and its place in alphabetical order, from 0; stored.
+
+    Labels are dealt into ranges when there are many, and numbered by their
+    place in the range and the sizes of the ranges before, so no task and no
+    driver holds them all. Null is no label.
+    """
+    labels = settle(df.select(F.col(column).alias("label")).filter("label is not null").distinct(), "labels")
+    placed = segmented.row_position(labels, [], ["label"], "__place")
+    return settle(placed.select("label", (F.col("__place") - 1).cast("long").alias("label_index")), "label-index")
+
+
+def encode_labels(df: DataFrame, column: str, out: str, dictionary: DataFrame | None = None) -> DataFrame:
+    """``df`` with the index of its label, by the ``dictionary`` of a training set or its own.
+
+    Null and labels that the dictionary lacks get the first index after it.
+    """
+    known = label_dictionary(df, column) if dictionary is None else dictionary
+    known = known.select(F.col("label").alias(column), F.col("label_index").alias(out))
+    unseen = known.agg(F.count(F.lit(1))).scalar()
+    return df.join(broadcast_if_small(known), column, "left").withColumn(out, F.coalesce(F.col(out), unseen)).select(*df.columns, out)
 
 
 def standardise(train: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
