@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -62,6 +64,24 @@ def test_copy_after_a_crash_loads_once(spark, rows):
     assert rows(spark.read.parquet(target), "id") == [(i,) for i in range(5)]
 
 
+def test_copy_into_after_a_crash(spark, rows):
+    """The entry of the last load is lost, as when a call dies between the write and it."""
+    src, target, ledger = (folder(spark, x) for x in ("src", "target", "ledger"))
+    spark.range(6).write.json(f"{src}/a/b")
+    schema = StructType.fromDDL("id long")
+    assert inc.copy_into(spark, src, target, ledger, "json", schema) == 6
+    spark.range(6, 9).write.json(f"{src}/c")
+    assert inc.copy_into(spark, src, target, ledger, "json", schema) == 3
+    commits = sorted(f for f in os.listdir(f"{ledger}/commits") if f.isdigit())
+    for name in (commits[-1], f".{commits[-1]}.crc"):
+        if os.path.exists(f"{ledger}/commits/{name}"):
+            os.remove(f"{ledger}/commits/{name}")
+    spark.range(9, 10).write.json(f"{src}/d")
+    assert inc.copy_into(spark, src, target, ledger, "json", schema) == 4  # the load is repeated, then the new file
+    assert rows(spark.read.parquet(target), "id") == [(i,) for i in range(10)]
+    assert inc.copy_into(spark, src, target, ledger, "json", schema) == 0
+
+
 def test_bookmark(spark, rows):
     df = spark.range(10)
     assert inc.since(df, "id", None).count() == 10

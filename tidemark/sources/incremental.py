@@ -131,27 +131,24 @@ def file_stream(
 def copy_into(
     spark: SparkSession, source: str, target: str, ledger: str, fmt: str, schema: StructType, **options
 ) -> int:
-    """Append the files of ``source`` that no earlier call has loaded; returns their number.
-
-    Every call fills its own ``load=N`` folder and then notes its files in the
-    ledger. A call that died in between is repeated into the same folder, so
-    nothing is loaded twice.
+    """Append the files of ``source`` that no earlier call has loaded; returns the number of rows loaded.
+
+    The ledger is the checkpoint of a file stream that ends when all present
+    files are read: Spark keeps which files were taken, and no list of them
+    passes through here. Every batch fills its own ``load=N`` folder. A call
+    that died between the write and its entry repeats the same files into the
+    same folder, so nothing is loaded twice. Files count by their name, of any
+    age and at any depth.
     """
-    # Only names are read: the content column is pruned.
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source).select("path")
-    try:
-        done = spark.read.schema("load long, path string").parquet(ledger)
-        new = found.join(done, "path", "left_anti")
-        load = int(done.agg(F.coalesce(F.max("load"), F.lit(-1))).first()[0]) + 1
-    except AnalysisException:
-        new, load = found, 0
-    paths = [r[0] for r in new.toLocalIterator()]
-    if not paths:
-        return 0
-    rows = read_files(spark, paths, fmt, schema, **options)
-    rows.write.mode("overwrite").parquet(f"{target}/load={load}")
-    spark.createDataFrame([(load, p) for p in paths], "load long, path string").write.mode("append").parquet(ledger)
-    return len(paths)
+
+    def load(batch: DataFrame, number: int) -> None:
+        batch.drop("source_file", "ingested_at").write.mode("overwrite").parquet(f"{target}/load={number}")
+
+    everything = {"recursiveFileLookup": "true", "maxFileAge": "36500d", **options}
+    arriving = file_stream(spark, source, fmt, schema, **everything)
+    run = arriving.writeStream.foreachBatch(load).option("checkpointLocation", ledger).trigger(availableNow=True).start()
+    run.awaitTermination()
+    return sum(p["numInputRows"] for p in run.recentProgress)
 
 
 def since(df: DataFrame, column: str, bookmark: Column | None) -> DataFrame:
