@@ -8,6 +8,7 @@ from tidemark.operators.quality import Expectation, enforce
 from tidemark.plans.changes import MERGED, arriving, stored
 from tidemark.plans.inputs import msum
 from tidemark.plans.registry import query
+from tidemark.sources.incremental import file_stream
 from tidemark.streaming import jobs
 
 
@@ -162,3 +163,51 @@ def stream_medallion(t):
     beat = jobs.closing_beat(t.spark.read.schema(valid.schema).parquet(silver), "ts", t.folder("beat"))
     clean = jobs.timed(t.spark.readStream.schema(valid.schema).parquet(silver).unionByName(beat), "ts", "1 hour")
     return _finished(t, jobs.windowed(clean, "ts", "1 day", ["event_type"], _aggs()), "gold")
+
+
+@query(
+    "stream_output_modes",
+    """SELECT mode, time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type, count(*) AS n
+      FROM events, (VALUES ('append'), ('update'), ('complete')) m(mode) GROUP BY 1, 2, 3""",
+)
+def stream_output_modes(t):
+    """The same daily counts in each output mode: final windows once, changed windows, the whole result."""
+
+    def daily():
+        return jobs.windowed(event_stream(t, closed=True), "ts", "1 day", ["event_type"], [F.count(F.lit(1)).alias("n")])
+
+    appended, whole = t.folder("appended"), t.folder("complete")
+    jobs.run_append(daily(), appended, t.folder("checkpoint"))
+    log = jobs.UpsertLog(t.spark, t.folder("updated"), daily().schema, ["window_start", "event_type"])
+    jobs.run_batches(daily(), log.upsert, t.folder("checkpoint"), "update")
+    # The last batch holds the whole result, so each replaces the one before.
+    jobs.run_batches(daily(), lambda df, i: df.write.mode("overwrite").parquet(whole), t.folder("checkpoint"), "complete")
+    out = None
+    for mode, found in (("append", t.spark.read.parquet(appended)), ("update", log.current()), ("complete", t.spark.read.parquet(whole))):
+        part = found.filter("event_type is not null").select(F.lit(mode).alias("mode"), "window_start", "event_type", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(
+    "stream_fan_out",
+    """SELECT 'all' AS sink, event_type, count(*) AS n, CAST(4 AS BIGINT) AS batches FROM events GROUP BY event_type
+      UNION ALL SELECT 'large', event_type, count(*), 4 FROM events WHERE value >= 50 GROUP BY event_type""",
+)
+def stream_fan_out(t):
+    """Four landed files, one per micro-batch by the cap on files; each batch is worked out once and feeds two sinks."""
+    landing, every, large = (t.folder(x) for x in ("landing", "all", "large"))
+    t.events.repartition(4, "event_id").write.parquet(landing)
+    stream = file_stream(t.spark, landing, "parquet", t.events.schema, max_files=1)
+    sinks = [
+        lambda df, i: df.write.mode("overwrite").parquet(f"{every}/batch={i}"),
+        lambda df, i: df.filter("value >= 50").write.mode("overwrite").parquet(f"{large}/batch={i}"),
+    ]
+    jobs.run_batches(stream, jobs.fan_out(sinks), t.folder("checkpoint"))
+    batches = t.spark.read.parquet(every).agg(F.count_distinct("batch")).scalar()
+    out = None
+    for sink, path in (("all", every), ("large", large)):
+        counted = t.spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+        part = counted.select(F.lit(sink).alias("sink"), "event_type", "n", batches.alias("batches"))
+        out = part if out is None else out.unionByName(part)
+    return out
