@@ -1,4 +1,4 @@
-"""Joins: size-checked broadcast, validity interval, point in time, lookups."""
+"""Joins: size-checked broadcast, point in time, lookups."""
 
 from __future__ import annotations
 
@@ -37,29 +37,6 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 
-def validity_join(
-    fact: DataFrame,
-    validity: DataFrame,
-    on: Sequence[str],
-    at: str,
-    start: str,
-    end: str,
-    how: str = "inner",
-) -> DataFrame:
-    """Join each fact row to the row valid at its time: ``start <= at < end``.
-
-    An open ``end`` (null) never closes.
-    """
-    v = broadcast_if_small(validity).alias("v")
-    f = fact.alias("f")
-    cond = F.col(f"v.{start}") <= F.col(f"f.{at}")
-    cond = cond & (F.col(f"v.{end}").isNull() | (F.col(f"v.{end}") > F.col(f"f.{at}")))
-    for k in on:
-        cond = cond & (F.col(f"f.{k}") == F.col(f"v.{k}"))
-    extra = [F.col(f"v.{c}") for c in validity.columns if c not in on]
-    return f.join(v, cond, how).select("f.*", *extra)
-
-
 def asof_join(
     left: DataFrame,
     right: DataFrame,

@@ -11,9 +11,9 @@ from tidemark.operators.joins import (
     broadcast_if_small,
     feature_lookup,
     latest_by,
-    validity_join,
 )
 from tidemark.operators.quantiles import exact_quantiles
+from tidemark.operators.validity import validity_join
 from tidemark.operators.vectors import lateral_topk
 from tidemark.plans.inputs import (
     AS_OF_EVENTS,
@@ -349,6 +349,25 @@ def temporal_price_join(t):
     )
 
 
+@query(
+    "overlapping_windows",
+    """
+    SELECT p.event_id, count(e.event_id) AS open_windows, max(e.event_id) AS last_error
+    FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+    LEFT JOIN (SELECT * FROM events WHERE event_type = 'error') e
+      ON e.user_id = p.user_id AND e.ts <= p.ts AND e.ts + INTERVAL 2 DAY > p.ts
+    GROUP BY p.event_id""",
+)
+def overlapping_windows(t):
+    """Windows of two days that a user's errors open, and that are open at a purchase; they may overlap."""
+    of = lambda kind: t.events.filter(F.col("event_type") == kind)
+    windows = of("error").select(
+        "user_id", F.col("event_id").alias("error_id"), F.col("ts").alias("opened"), (F.col("ts") + F.expr("INTERVAL 2 DAY")).alias("closed")
+    )
+    met = validity_join(of("purchase").select("event_id", "user_id", "ts"), windows, ["user_id"], "ts", "opened", "closed", "left")
+    return met.groupBy("event_id").agg(F.count("error_id").alias("open_windows"), F.max("error_id").alias("last_error"))
+
+
 @query(
     "asof_join_features",
     """

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tidemark.functions.measures import money_avg, money_sum, pct
 from tidemark.operators import quality as dq
-from tidemark.operators.joins import validity_join
+from tidemark.operators.validity import validity_join
 from tidemark.plans.inputs import AS_OF_EVENTS, AS_OF_ORDERS, SALES, columns_of, mavg, msum, sales
 from tidemark.plans.registry import query
 from tidemark.plans.relational import PRICES_SQL, USAGE_SQL, price_list, usage
