@@ -41,6 +41,42 @@ def test_upsert_takes_the_newest(target, spark, rows):
     assert (1, "Alice", "Gold", 2.0) in rows(got) and got.count() == 4
 
 
+@pytest.mark.parametrize("limit", [mu.BROADCAST_BYTES, -1])
+def test_upsert_small_and_large_source(spark, source, target, rows, monkeypatch, limit):
+    """Broadcast and tagged union agree: null keys stay and arrive, a key the target has twice goes, empty sides."""
+    monkeypatch.setattr(mu, "BROADCAST_BYTES", limit)
+    odd = target.union(spark.createDataFrame([(None, "N", None, 1.0), (1, "Again", None, 2.0)], COLS))
+    new = source.union(spark.createDataFrame([(None, "M", None, 3.0)], COLS))
+    want = [START[1], START[3], *CHANGES, (None, "N", None, 1.0), (None, "M", None, 3.0)]
+    assert rows(mu.merge_upsert(odd, new, ["customer_id"])) == sorted(want, key=repr)
+    assert rows(mu.merge_upsert(odd, new.limit(0), ["customer_id"])) == rows(odd)
+    assert rows(mu.merge_upsert(odd.limit(0), new, ["customer_id"])) == rows(new)
+    with pytest.raises(Exception, match="occurs twice"):
+        mu.merge_upsert(target.limit(0), source.union(source), ["customer_id"]).collect()
+
+
+@pytest.mark.parametrize("limit, exchanges", [(mu.BROADCAST_BYTES, 0), (-1, 1)])
+def test_upsert_reads_the_source_once(spark, target, source, monkeypatch, limit, exchanges):
+    """The source's own plan does not stand in the result; a large one costs one exchange for both sides."""
+    monkeypatch.setattr(mu, "BROADCAST_BYTES", limit)
+    path, worked = folder(spark, "target"), spark.sparkContext.accumulator(0)
+    target.write.parquet(path)
+
+    def count(batches):
+        for b in batches:
+            worked.add(b.num_rows)
+            yield b
+
+    got = mu.merge_upsert(spark.read.parquet(path), source.mapInArrow(count, COLS), ["customer_id"])
+    assert got.count() == 5 and worked.value == len(CHANGES)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "MapInArrow" not in plan
+    whole = mu.merge_upsert(spark.read.parquet(path), source, ["customer_id"])._jdf.queryExecution().executedPlan().toString()
+    kept = whole.split("Union")[-1] if limit == -1 else whole[: whole.index("Window")]
+    assert whole.count("Exchange hashpartitioning") == 1
+    assert kept.count("Exchange hashpartitioning") == 0 and (exchanges == 1) == ("Join" not in whole)
+
+
 def test_update_and_delete_leave_rows_with_a_null_predicate(target, rows):
     up = mu.update_where(target, F.col("total_spend") > 50, {"tier": F.lit("Top")})
     assert rows(up, "customer_id", "tier") == [(1, "Top"), (2, "Top"), (3, "Bronze"), (5, None)]

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tidemark.operators import segmented
-from tidemark.operators.joins import latest_by
+from tidemark.operators.joins import BROADCAST_BYTES, latest_by, measured_bytes
 from tidemark.session import settle
 
 
@@ -20,22 +20,27 @@ def merge_upsert(
     """Rows of ``source`` replace those of ``target`` with the same key; others are added.
 
     A key that occurs twice in the source is an error unless ``newest`` says
-    which row wins. The error is raised inside the plan, where the rows are.
+    which row wins. The error is raised inside the plan, where the rows are. A
+    null key equals no other: such rows of the target stay, those of the source
+    are added. The source is worked out once and stored. When that fits a
+    broadcast, the target is not moved; else both sides go through one exchange
+    on the keys, which finds replaced rows and clashes in one window.
     """
     if newest is not None:
         source = latest_by(source, keys, newest)
-    else:
-        clash = F.raise_error(F.concat(F.lit("source key occurs twice: "), F.to_json(F.struct(*keys))))
-        # No row passes the guard; a clashing key raises when it is counted.
-        guard = (
-            source.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("__n"))
-            .filter(F.when(F.col("__n") > 1, clash.cast("boolean")).otherwise(F.lit(False)))
-            .select(*keys)
-        )
-        source = source.join(guard, list(keys), "left_anti")
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    source = settle(source.select(*target.columns), "upsert-source")
+    clash = F.raise_error(F.concat(F.lit("source key occurs twice: "), F.to_json(F.struct(*keys))))
+    once = lambda n: F.when(n > 1, clash.cast("boolean")).otherwise(F.lit(True))
+    if measured_bytes(source) <= BROADCAST_BYTES:
+        checked = source.withColumn("__n", F.count(F.lit(1)).over(W.partitionBy(*keys))).filter(once(F.col("__n")))
+        kept = target.join(F.broadcast(source.select(*keys)), list(keys), "left_anti").select(*target.columns)
+        return kept.unionByName(checked.drop("__n"))
+    both = target.withColumn("__new", F.lit(0)).unionByName(source.withColumn("__new", F.lit(1)))
+    null_key = F.greatest(*[F.col(k).isNull().cast("int") for k in (keys[0], *keys)]) == 1
+    arriving = F.sum("__new").over(W.partitionBy(*keys))
+    seen = both.withColumn("__arriving", arriving)
+    stays = F.when(F.col("__new") == 1, once(F.col("__arriving"))).otherwise((F.col("__arriving") == 0) | null_key)
+    return seen.filter(stays).select(*target.columns)
 
 
 def upsert_partitions(
