@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pyarrow.parquet as pq
 import pytest
 
 from tidemark.llm import secretscan, urlrules
@@ -160,6 +161,73 @@ def test_parts_of_a_run():
     assert all(text[s:e] == v for s, e, v in secretscan.candidates(text, secretscan.base_matches(text)))
 
 
+def test_long_values_behind_a_separator_are_parts():
+    jwt = ".".join("x" * n for n in (60, 120, 80))
+    run = f"client_jwt={jwt}"
+    assert (11, len(run)) in secretscan.parts(run)
+    assert (11, len(run)) in secretscan.parts(run, 400) and (11, len(run)) not in secretscan.parts(run, 200)
+    assert secretscan.parts("a" * 50, 49) == []
+
+
+def test_long_formats_are_learned_and_found(make):
+    """Labelled values of three parts and 200 to 300 characters are found without their keyword, behind another name too."""
+    rng = random.Random(23)
+    part = lambda n: "".join(rng.choice("ABCDEFGHJKMNPQRSTVWXYZ23456789") for _ in range(n))
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(3, 14)))
+    rows, hidden = [], {}
+    for i in range(240):
+        v = f"{part(60)}.{part(rng.randint(100, 180))}.{part(60)}"
+        hidden[i] = v
+        shown = f"token: {v}" if i % 2 else (v if i % 4 else f"client_jwt={v}")
+        rows.append((i, " ".join([word() for _ in range(10)] + [shown] + [word() for _ in range(10)])))
+    texts = dict(rows)
+    caught = 0
+    for r in secretscan.secrets(make(rows)).collect():
+        spans = [s.split(":") for s in r.spans.split(",") if s.startswith("format")]
+        found = [texts[r.doc_id][int(s) : int(e)] for _, s, e in spans]
+        if r.doc_id % 2 == 0:
+            caught += any(hidden[r.doc_id] in x for x in found)
+        assert all(len(x) > 100 for x in found)
+    assert caught >= 0.9 * 120, caught
+
+
+def test_sample_is_the_least_hashes_of_each_kind(make, monkeypatch):
+    rng = random.Random(29)
+    runs = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(900)]
+    rows = [(i, f"x {v} token={v}") for i, v in enumerate(runs)]
+    least = sorted(set(runs), key=lambda v: (hashlib.md5(v.encode()).hexdigest(), v))[:50]
+    for salts in (1, 7):
+        monkeypatch.setattr(secretscan, "SALTS", salts)
+        got = secretscan.labelled_sample(make(rows), 50)
+        assert got["hex"] == least and "assign" not in got  # a hex run counts as one kind only
+
+
+def test_held_out_labelled_values_without_their_context():
+    """Each fifth of the labelled values of the given documents, stripped of keyword and prefix, against a model of the others."""
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"]).column("text").to_pylist()
+    labelled, ordinary, runs = {}, {k: set() for k in secretscan.ORDINARY}, set()
+    for text in texts:
+        base = secretscan.base_matches(text or "")
+        for kind, _, _, v in base:
+            if kind != "assign" or not secretscan.PLAIN.fullmatch(v):
+                labelled.setdefault(kind, set()).add(v)
+        for *_, r in secretscan.candidates(text or "", base):
+            runs.add(r)
+            if k := secretscan.shape(r):
+                ordinary[k].add(r)
+    usual = {k: sorted(v)[:400] for k, v in ordinary.items()}
+    hits = total = 0
+    for fold in range(5):
+        lists = {k: sorted(v) for k, v in labelled.items() if len(v) >= 15}
+        formats = secretscan.Formats({k: [w for i, w in enumerate(v) if i % 5 != fold] for k, v in lists.items()} | usual)
+        held = [w for v in lists.values() for w in v[fold::5]]
+        hits += sum(formats.fits(w) for w in held)
+        total += len(held)
+    assert total and hits >= 0.9 * total, (hits, total)
+    alarms = sum(bool(formats.within(r)) for r in runs)
+    assert alarms <= 0.001 * len(runs), alarms
+
+
 def test_odd_rows(odd, empty):
     got = secretscan.secrets(odd).collect()
     assert len(got) == odd.count()

@@ -21,6 +21,8 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # a run of 24 or more from its start, as [0-9a-f]+ takes it
 MIN_ASSIGN, MIN_ACCESS = 6, 20
+#: Values of the other kinds.
+PLAIN = re.compile(r"[0-9a-f]{24,}|AKIA[A-Z0-9]{16,}")
 #: Kind of the spans that the automata add.
 LEARNED = "format"
 #: Runs that are no credentials, by their characters.
@@ -30,8 +32,12 @@ CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{MIN_ASSIGN},}}", re.ASCII)
 #: What stands between a name and its value, and at the end of a sentence: parts between them are candidates too.
 SEPARATOR, PIECE, SENTENCE = re.compile(r"[=/.]+"), re.compile(r"[^=/.]+"), re.compile(r"[^.]+")
 
-#: Labelled credentials per kind to learn from, and the longest of them; longer parts behind a separator are no format.
-SAMPLE, LONGEST = 400, 128
+#: Labelled credentials per kind to learn from, and the longest that is learned from.
+SAMPLE, LONGEST = 400, 1024
+#: A value's length may lie this far outside the lengths of its kind's sample, as a factor.
+SLACK = 1.25
+#: Groups by another hash in which a kind's least hashes are found before those of the kind.
+SALTS = 64
 #: Significance of the test that keeps two states apart; smaller merges more.
 ALPHA = 0.05
 #: Occurrences added to each symbol and the end in every state.
@@ -71,16 +77,20 @@ def candidates(text: str, taken: Sequence[tuple]) -> list[tuple[int, int, str]]:
     return found
 
 
-def parts(run: str) -> list[tuple[int, int]]:
-    """Spans of a run to be judged, longest first: the whole, its parts between separators and those behind one."""
+def parts(run: str, longest: int | None = None) -> list[tuple[int, int]]:
+    """Spans of a run to be judged, longest first: the whole, its parts between separators and those behind one.
+
+    ``longest`` leaves out spans that no kind is long enough for, before they are built.
+    """
+    top = len(run) if longest is None else min(longest, len(run))
     if not SEPARATOR.search(run):
-        return [(0, len(run))]
-    found = {(0, len(run)), *(m.span() for m in PIECE.finditer(run)), *(m.span() for m in SENTENCE.finditer(run))}
+        return [(0, len(run))] if len(run) <= top else []
+    sentences = [m.span() for m in SENTENCE.finditer(run)]
+    found = {(0, len(run)), *(m.span() for m in PIECE.finditer(run)), *sentences}
     starts = [m.end() for m in SEPARATOR.finditer(run)]
-    found |= {(s, len(run)) for s in starts if len(run) - s <= LONGEST}
-    for low, high in [m.span() for m in SENTENCE.finditer(run)]:
-        found |= {(s, high) for s in starts[bisect_left(starts, max(low, high - LONGEST)) : bisect_left(starts, high)]}
-    return sorted((x for x in found if x[1] - x[0] >= MIN_ASSIGN), key=lambda x: (x[0] - x[1], x))
+    for low, high in [(0, len(run)), *sentences]:
+        found |= {(s, high) for s in starts[bisect_left(starts, max(low, high - top)) : bisect_left(starts, high)]}
+    return sorted((x for x in found if MIN_ASSIGN <= x[1] - x[0] <= top), key=lambda x: (x[0] - x[1], x))
 
 
 @dataclass
@@ -207,18 +217,23 @@ class Formats:
     """The automata of the labelled kinds, the least score of each, and the automata of ordinary runs."""
 
     def __init__(self, samples: dict[str, list[str]], alpha: float = ALPHA, rejected: float = REJECTED):
-        self.kinds = learn({k: v for k, v in samples.items() if k not in ORDINARY}, alpha, rejected)
+        labelled = {k: v for k, v in samples.items() if k not in ORDINARY}
+        self.kinds = learn(labelled, alpha, rejected)
+        sizes = {k: [len(v) for v in labelled[k]] for k in self.kinds}
+        self.lengths = {k: (min(n) / SLACK, max(n) * SLACK) for k, n in sizes.items()}
+        self.longest = int(max((high for _, high in self.lengths.values()), default=0))
         self.ordinary = [infer(samples[k], alpha) for k in ORDINARY if len(samples.get(k, ())) >= 10]
 
     def fits(self, word: str) -> bool:
-        """Likely enough in some kind, and likelier there than as an ordinary run."""
-        best = max((x for m, least in self.kinds.values() if (x := score(m, word)) >= least), default=None)
+        """About as long as the credentials of some kind, likely enough in it, and likelier there than as an ordinary run."""
+        near = [self.kinds[k] for k, (low, high) in self.lengths.items() if low <= len(word) <= high]
+        best = max((x for m, least in near if (x := score(m, word)) >= least), default=None)
         return best is not None and all(best > score(m, word) for m in self.ordinary)
 
     def within(self, run: str) -> tuple[tuple[int, int], ...]:
         """The parts of a run that fit; where they overlap, the longest."""
         found: list[tuple[int, int]] = []
-        for s, e in parts(run):
+        for s, e in parts(run, self.longest):
             if all(e <= a or b <= s for a, b in found) and self.fits(run[s:e]):
                 found.append((s, e))
         return tuple(sorted(found))
@@ -253,8 +268,10 @@ def shape(word: str) -> str | None:
 def labelled_sample(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> dict[str, list[str]]:
     """Per kind at most ``sample`` different strings, those of least hash: a bounded, repeatable choice.
 
-    The parts of candidates, which no pattern labels, give two kinds of ordinary runs.
-    Each task hands on no more than its own ``sample`` of a kind.
+    A value that is an access key or a hex run counts there alone, not as an
+    assigned one too. The parts of candidates, which no pattern labels, give two kinds of ordinary runs.
+    Each task hands on no more than its own ``sample`` of a kind, each of ``SALTS``
+    groups of a kind no more than that again, so that no task meets more than ``SALTS * sample`` of them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,9 +290,11 @@ def labelled_sample(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGES
             for x in batch.column("text"):
                 text = x.as_py() or ""
                 base = base_matches(text)
-                values.update((k, v) for k, _, _, v in base if len(v) <= longest)
+                values.update(
+                    (k, v) for k, _, _, v in base if len(v) <= longest and (k != "assign" or not PLAIN.fullmatch(v))
+                )
                 runs.update(CANDIDATE.findall(text) if not base else (r for *_, r in candidates(text, base)))
-            pieces = {r[s:e] for r in runs for s, e in parts(r) if e - s <= longest}
+            pieces = {r[s:e] for r in runs for s, e in parts(r, longest)}
             values.update((k, v) for v in pieces if (k := shape(v)))
             for kind, v in values:
                 if kind not in limit or hashed(v) <= limit[kind]:
@@ -290,8 +309,10 @@ def labelled_sample(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGES
         )
 
     values = docs.select("text").mapInArrow(run, "kind string, value string")
-    order = Window.partitionBy("kind").orderBy(F.md5("value"), "value")
-    chosen = values.distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample)
+    chosen = values.distinct().withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)))
+    for group in (["kind", "salt"], ["kind"]):
+        order = Window.partitionBy(*group).orderBy(F.md5("value"), "value")
+        chosen = chosen.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample)
     out: dict[str, list[str]] = {}
     for row in sorted(chosen.collect(), key=lambda r: ((*KINDS, *ORDINARY).index(r.kind), r.n)):
         out.setdefault(row.kind, []).append(row.value)
@@ -305,8 +326,8 @@ def secrets(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     automaton per kind is learned. Every other run of credential characters in
     any text, what a base match leaves of one, and their parts between and behind
     separators are scored by all automata, and by those learned from ordinary runs. One
-    becomes a span of kind ``format`` when a kind finds it as likely as its own
-    and likelier than an ordinary run. Offsets are code points, ends exclusive.
+    becomes a span of kind ``format`` when a kind finds it as likely as its own,
+    its length lies within ``SLACK`` of the kind's lengths, and it is likelier than an ordinary run. Offsets are code points, ends exclusive.
     A text without a match (or null, or empty) has the digest of the empty
     string and no spans; without labelled credentials nothing is added. Repeated
     rows are judged alike.
