@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as tx
 from tidemark.functions.measures import count_where, money_sum
-from tidemark.operators import governance as gov, nearcopies, text as docs, vectors as vec
+from tidemark.operators import governance as gov, nearcopies, text as docs, textclass, vectors as vec
 from tidemark.plans.inputs import msum
 from tidemark.plans.registry import query
 from tidemark.session import inline_rows, settle, spread
@@ -287,6 +287,51 @@ def classify_keywords(t):
     return docs.keyword_class(spread(t.documents.select("doc_id", "text")), "doc_id", "text", keywords)
 
 
+# The share of documents the model learns from; the others measure it.
+HELD_OUT = "('0x' || left(md5(CAST(doc_id AS VARCHAR)), 6))::BIGINT / 16777216.0::DOUBLE >= 0.8"
+GRAM_SQL = f"""
+d AS (SELECT doc_id, lang, {HELD_OUT} AS held_out,
+  list_transform(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?s).'), lambda x: ord(x)) AS c FROM documents),
+g AS (SELECT doc_id, lang, held_out, slot, count(*) AS n FROM (
+    SELECT doc_id, lang, held_out, unnest(list_transform(range(1, len(c) - 1), lambda i: (c[i]::BIGINT * 961 + c[i + 1] * 31 + c[i + 2]) % 4096)) AS slot FROM d)
+  GROUP BY ALL),
+k AS (SELECT lang AS label, count(*) AS docs FROM d WHERE NOT held_out AND lang IS NOT NULL GROUP BY 1),
+h AS (SELECT lang AS label, slot, sum(n) AS n FROM g WHERE NOT held_out AND lang IS NOT NULL GROUP BY 1, 2),
+total AS (SELECT label, sum(n) AS n FROM h GROUP BY 1),
+wt AS (SELECT label, slot, CAST(floor(10000 * ln((coalesce(h.n, 0) + 1)::DOUBLE / (coalesce(total.n, 0) + 4096)) + 0.5) AS BIGINT) AS w
+  FROM k CROSS JOIN range(4096) r(slot) LEFT JOIN h USING (label, slot) LEFT JOIN total USING (label)),
+prior AS (SELECT label, CAST(floor(10000 * ln(docs::DOUBLE / (SELECT sum(docs) FROM k)) + 0.5) AS BIGINT) AS p FROM k),
+s AS (SELECT doc_id, label, sum(g.n * w) AS score FROM g JOIN wt USING (slot) GROUP BY 1, 2),
+best AS (SELECT d.doc_id, d.lang, d.held_out, prior.label AS predicted FROM d CROSS JOIN prior LEFT JOIN s ON s.doc_id = d.doc_id AND s.label = prior.label
+  QUALIFY row_number() OVER (PARTITION BY d.doc_id ORDER BY p + coalesce(score, 0) DESC, prior.label) = 1)"""
+
+
+def language_classes(t):
+    """Every document with its class by a model of four fifths of them."""
+    texts = spread(t.documents.select("doc_id", "lang", "text"))
+    held_out = tx.hash_share(F.col("doc_id")) >= 0.8
+    model = textclass.fit_grams(texts.filter(~held_out), "lang", "text")
+    return model.add_class(texts.withColumn("held_out", held_out), "text").drop("text")
+
+
+@query("classify_language", f"WITH {GRAM_SQL} SELECT * FROM best")
+def classify_language(t):
+    """Trained classes: a multinomial model over hashed character trigrams, fitted by one aggregate."""
+    return language_classes(t)
+
+
+@query(
+    "classify_language_accuracy",
+    f"""WITH {GRAM_SQL} SELECT held_out, count(*) AS n, count(*) FILTER (lang = predicted) AS hits,
+      count(*) FILTER (lang = predicted) >= 0.95 * count(*) AS good FROM best WHERE lang IS NOT NULL GROUP BY 1""",
+)
+def classify_language_accuracy(t):
+    """Right classes among the documents the model has seen and those it has not."""
+    hit, n = count_where(F.col("lang") == F.col("predicted")), F.count(F.lit(1))
+    known = language_classes(t).filter("lang is not null")
+    return known.groupBy("held_out").agg(n.alias("n"), hit.alias("hits"), (hit >= 0.95 * n).alias("good"))
+
+
 @query(
     "extractive_summary",
     f"""WITH spread AS (SELECT word, count(*) AS docs FROM (SELECT DISTINCT doc_id, unnest({w('text')}) AS word FROM documents) GROUP BY 1),
