@@ -104,6 +104,79 @@ def test_compaction_keeps_rows(spark):
     assert files.stored_bytes(out).first()["files"] == 3 and out.agg(F.sum("id")).first()[0] == 499500
 
 
+def names_and_times(path):
+    return {
+        os.path.relpath(os.path.join(at, f), path): os.stat(os.path.join(at, f)).st_mtime_ns
+        for at, _, found in os.walk(path)
+        for f in found
+        if f.endswith(".parquet")
+    }
+
+
+def test_small_files_are_merged_and_large_ones_left(spark, rows):
+    path = folder(spark, "mixed")
+    spark.range(40_000).repartition(2).write.parquet(path)
+    spark.range(40_000, 41_000).repartition(30).write.mode("append").parquet(path)
+    before = names_and_times(path)
+    sizes = {f: os.path.getsize(f"{path}/{f}") for f in before}
+    small = {f for f, size in sizes.items() if size < 20_000}
+    assert len(small) == 30
+    target = sum(sizes[f] for f in small) // 4
+    assert layout.compact_small(spark, path, target, 20_000) == 30
+    after = names_and_times(path)
+    assert {f: at for f, at in before.items() if f not in small}.items() <= after.items()
+    assert not small & set(after) and len(after) in (6, 7)
+    assert rows(spark.read.parquet(path)) == [(i,) for i in sorted(range(41_000), key=lambda i: repr((i,)))]
+    assert not os.path.exists(f"{path}/{layout.STAGED}")
+    # What is large enough now stays where it is.
+    assert layout.compact_small(spark, path, target, 1000) == 0 and names_and_times(path) == after
+
+
+def test_partition_folders_stay_as_written(spark, rows):
+    path = folder(spark, "parts")
+    keys = F.array(F.lit("007"), F.lit("a b"), F.lit("x=y/z"), F.lit(None))
+    df = spark.range(400).withColumn("part key", keys[F.col("id").cast("int") % 4]).withColumn("day", F.lit("2024-01-01"))
+    df.repartition(8).write.partitionBy("part key", "day").parquet(path)
+    single = f"{path}/part key=alone/day=2024-01-01"
+    spark.range(1000, 1001).coalesce(1).write.parquet(single)
+    before = names_and_times(path)
+    assert len(before) == 33
+    assert layout.compact_small(spark, path, 1_000_000) == 32
+    after = names_and_times(path)
+    assert len(after) == 5 and {os.path.dirname(f) for f in after} == {os.path.dirname(f) for f in before}
+    alone = [f for f in before if "alone" in f]
+    assert all(after[f] == before[f] for f in alone)
+    back = spark.read.schema("id long, `part key` string, day string").parquet(path)
+    extra = spark.createDataFrame([(1000, "alone", "2024-01-01")], df.schema)
+    assert rows(back) == rows(df.unionByName(extra))
+
+
+@pytest.mark.parametrize("lost", [0, 5, 12])
+def test_a_swap_cut_off_goes_on(spark, rows, monkeypatch, lost):
+    """The job ends after staging, and with some of the old files gone already."""
+    path = folder(spark, "cut-off")
+    spark.range(500).repartition(12).write.parquet(path)
+    before = names_and_times(path)
+    with monkeypatch.context() as m:
+        m.setattr(layout, "finish_compaction", lambda *_: None)
+        assert layout.compact_small(spark, path, 1_000_000) == 12
+    assert rows(spark.read.parquet(path), "id") == rows(spark.range(500), "id")  # staged files are hidden
+    for f in sorted(before)[:lost]:
+        os.remove(f"{path}/{f}")
+    layout.finish_compaction(spark, path)
+    assert rows(spark.read.parquet(path), "id") == rows(spark.range(500), "id")
+    assert len(names_and_times(path)) == 1
+
+
+def test_nothing_to_merge(spark):
+    path = folder(spark, "empty")
+    spark.range(0).write.parquet(path)
+    assert layout.compact_small(spark, path, 1_000_000) == 0
+    spark.range(3).coalesce(1).write.mode("append").parquet(path)
+    assert layout.compact_small(spark, path, 1_000_000) == 0
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_z_value_interleaves(spark):
     got = spark.range(1).select(layout.z_value([F.lit(0b101), F.lit(0b011)], 3)).first()[0]
     assert got == 0b011011

@@ -228,6 +228,25 @@ def compact_files(t):
     return out.select("state", "rows", (F.col("files") < at_first).alias("fewer_files"))
 
 
+@query(
+    "compact_small_files",
+    "SELECT event_id, user_id, event_type, value, event_id % 2 = 1 AS moved FROM events",
+)
+def compact_small_files(t):
+    """Half of the events in two large files, half in 16 small ones: only rows of the small files move."""
+    path = t.folder("mixed")
+    events = t.events.select("event_id", "user_id", "event_type", "value")
+    events.filter("event_id % 2 = 0").repartition(2).write.parquet(path)
+    name, size = F.col("_metadata.file_name"), F.col("_metadata.file_size")
+    large = t.spark.read.parquet(path).agg(F.min(size)).first()[0]
+    events.filter("event_id % 2 = 1").repartition(16).write.mode("append").parquet(path)
+    before = settle(t.spark.read.parquet(path).select(name.alias("file")).distinct(), "files-before")
+    layout.compact_small(t.spark, path, target_bytes=large, small_bytes=large)
+    after = t.spark.read.parquet(path).withColumn("file", name)
+    kept = before.withColumn("kept", F.lit(True))
+    return after.join(kept, "file", "left").select(*events.columns, F.col("kept").isNull().alias("moved"))
+
+
 # --- incremental loads ------------------------------------------------------
 
 
