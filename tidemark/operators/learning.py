@@ -10,7 +10,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.text import hash_share
 from tidemark.operators import segmented
@@ -64,6 +64,15 @@ def stratified_split(df: DataFrame, id: str, label: str, fifths: int = 4) -> Dat
     return placed.join(sizes, label).withColumn("split", part).drop("__h", "__rn", "__n")
 
 
+def stratified_folds(df: DataFrame, id: str, label: str, folds: int = 5, out: str = "fold") -> DataFrame:
+    """``out`` from 0 to ``folds`` - 1: each label in hash order is dealt out in turn, so its counts differ by one at most.
+
+    Positions come from segmented ranks, so a label may hold most of the rows.
+    """
+    placed = segmented.row_position(df.withColumn("__h", hash_share(F.col(id), 8)), [label], ["__h", id], "__rn")
+    return placed.withColumn(out, ((F.col("__rn") - 1) % folds).cast("int")).drop("__h", "__rn")
+
+
 # --- scores -----------------------------------------------------------------
 
 
@@ -187,26 +196,66 @@ def importances(model: PipelineModel, spark, columns: Sequence[str], k: int = 5)
     return found.orderBy(F.desc("importance"), "feature").limit(k)
 
 
+# Parameter sets tried for each model family.
+GRIDS = {
+    "logistic_regression": {"regParam": [0.0, 0.05], "elasticNetParam": [0.0, 0.5]},
+    "random_forest": {"numTrees": [20, 50], "maxDepth": [3, 6]},
+    "gradient_boosting": {"maxIter": [10, 20], "maxDepth": [2, 4]},
+}
+
+
 def grid_search(
-    train: DataFrame, columns: Sequence[str], label: str, folds: int = 3, parallelism: int = 4
+    train: DataFrame,
+    columns: Sequence[str],
+    label: str,
+    family: str = "logistic_regression",
+    fold: str = "fold",
+    folds: int = 5,
+    parallelism: int = 4,
 ) -> DataFrame:
-    """Mean AUC of every parameter set over the folds, best first."""
-    lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=30)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1]).addGrid(lr.elasticNetParam, [0.0, 0.5]).build()
+    """AUC of every parameter set of a family's grid over the folds that ``fold`` (0 to ``folds`` - 1) names, best first."""
+    estimator = classifiers(label)[family]
+    builder = ParamGridBuilder()
+    for name, values in GRIDS[family].items():
+        builder = builder.addGrid(estimator.getParam(name), values)
+    grid = builder.build()
     cv = CrossValidator(
-        estimator=stages(columns, lr),
+        estimator=stages(columns, estimator),
         estimatorParamMaps=grid,
         evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
         numFolds=folds,
+        foldCol=fold,
         parallelism=parallelism,
         seed=42,
     )
     model = cv.fit(train)
     rows = [
-        (float(g[lr.regParam]), float(g[lr.elasticNetParam]), float(a)) for g, a in zip(grid, model.avgMetrics)
+        (family, ", ".join(f"{p.name}={v}" for p, v in sorted(g.items(), key=lambda x: x[0].name)), float(mean), float(spread))
+        for g, mean, spread in zip(grid, model.avgMetrics, model.stdMetrics)
     ]
-    found = train.sparkSession.createDataFrame(rows, "reg_param double, elastic_net double, mean_auc double")
-    return found.orderBy(F.desc("mean_auc"), "reg_param", "elastic_net")
+    found = train.sparkSession.createDataFrame(rows, "model string, params string, mean_auc double, std_auc double")
+    return found.orderBy(F.desc("mean_auc"), "params")
+
+
+def tuning_runs(
+    train: DataFrame, test: DataFrame, columns: Sequence[str], id: str, label: str, folds: int = 5
+) -> DataFrame:
+    """Every run of a tuning as one stored row with its AUC, best first within its stage.
+
+    Stage ``family`` trains each model family and measures it on ``test``.
+    Stage ``grid`` goes through the grid of the best family over stratified folds of ``train``.
+    """
+    families = settle(compare_models(train, test, columns, label)[0].select("model", "auc"), "family-runs")
+    best = families.orderBy(F.desc("auc"), "model").first()["model"]
+    dealt = settle(stratified_folds(train, id, label, folds), "folds")
+    tried = grid_search(dealt, columns, label, best, "fold", folds)
+    runs = families.select(
+        F.lit("family").alias("stage"), "model", F.lit("").alias("params"), F.lit(1).alias("folds"), "auc", F.lit(None).cast("double").alias("std_auc")
+    ).unionByName(
+        tried.select(F.lit("grid").alias("stage"), "model", "params", F.lit(folds).alias("folds"), F.col("mean_auc").alias("auc"), "std_auc")
+    )
+    place = F.row_number().over(Window.partitionBy("stage").orderBy(F.desc("auc"), "model", "params"))
+    return settle(runs.withColumn("place", place), "runs")
 
 
 # --- forecast ---------------------------------------------------------------

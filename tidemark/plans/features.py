@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidemark.functions import text as tx
 from tidemark.functions.measures import count_where, money_avg, money_sum
@@ -197,6 +197,15 @@ def stratified_split(t):
     return ml.stratified_split(t.labels.select("doc_id", "quality"), "doc_id", "quality")
 
 
+@query(
+    "stratified_folds",
+    """SELECT doc_id, quality, CAST((row_number() OVER (PARTITION BY quality ORDER BY left(md5(CAST(doc_id AS VARCHAR)), 8), doc_id) - 1) % 5 AS INTEGER) AS fold
+    FROM labels""",
+)
+def stratified_folds(t):
+    return ml.stratified_folds(t.labels.select("doc_id", "quality"), "doc_id", "quality")
+
+
 # --- scores -----------------------------------------------------------------
 
 
@@ -315,8 +324,40 @@ def feature_importances(t):
 
 @query("grid_search")
 def grid_search(t):
+    """The grid of one family over five stratified folds."""
     train, _ = labelled(t)
-    return ml.grid_search(train, COLUMNS, "quality")
+    dealt = settle(ml.stratified_folds(train, "doc_id", "quality"), "folds")
+    return ml.grid_search(dealt, COLUMNS, "quality")
+
+
+@query("tuning_runs")
+def tuning_runs(t):
+    """Three families on held-out rows, then the grid of the best one over five folds, by AUC."""
+    train, test = labelled(t)
+    return ml.tuning_runs(train, test, COLUMNS, "doc_id", "quality")
+
+
+@query(
+    "tuning_checks",
+    """SELECT stage, runs, folds, TRUE AS better_than_chance, TRUE AS grid_of_best, TRUE AS in_order
+    FROM (VALUES ('family', 3::BIGINT, 1), ('grid', 4::BIGINT, 5)) v(stage, runs, folds)""",
+)
+def tuning_checks(t):
+    """Counts and bounds of the run list: all runs there, the best one far from chance, places in the order of AUC."""
+    runs = tuning_runs(t)
+    best = runs.filter("stage = 'family' AND place = 1").agg(F.max("model")).scalar()
+    after = F.lead("auc").over(Window.partitionBy("stage").orderBy("place"))
+    return (
+        runs.withColumns({"after": after, "best": best})
+        .groupBy("stage")
+        .agg(
+            F.count(F.lit(1)).alias("runs"),
+            F.max("folds").alias("folds"),
+            (F.max("auc").between(0.8, 1.0) & (F.min("auc") >= 0)).alias("better_than_chance"),
+            F.bool_and((F.col("stage") == "family") | (F.col("model") == F.col("best"))).alias("grid_of_best"),
+            F.bool_and(F.coalesce(F.col("after") <= F.col("auc"), F.lit(True))).alias("in_order"),
+        )
+    )
 
 
 @query("score_batch")
