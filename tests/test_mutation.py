@@ -1,8 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import mutation as mu
-from tidemark.operators.snapshots import Snapshots
+from tidemark.operators import history as hi, mutation as mu
 from tidemark.session import folder
 
 COLS = "customer_id long, name string, tier string, total_spend double"
@@ -125,21 +124,27 @@ def test_reconcile_finds_each_difference(target, source):
     assert tuple(r) == (4, 5, 0, 1, 2)
 
 
-def test_snapshots(spark, target, source, rows):
-    s = Snapshots(spark, folder(spark, "test"), target.schema)
-    s.commit(target, 0, "2024-01-01 00:00:00", "WRITE")
-    s.commit(mu.merge_upsert(s.as_of(0), source, ["customer_id"]), 1, "2024-01-02 00:00:00", "MERGE")
-    assert rows(s.as_of_time("2024-01-01 12:00:00")) == rows(target)
-    assert s.restore(0, "2024-01-03 00:00:00") == 2
-    assert rows(s.as_of(2)) == rows(target)
-    assert rows(s.history(["customer_id"]), "snapshot_version", "operation", "rows", "inserted", "updated", "deleted") == [
+def test_states_from_the_change_log(spark, target, source, rows):
+    key = ["customer_id"]
+    after = mu.merge_upsert(target, source, key)
+    log = hi.logged(hi.as_load(target), "WRITE", "2024-01-01 00:00:00").unionByName(
+        hi.logged(mu.change_feed(target, after, key, 1), "MERGE", "2024-01-02 00:00:00")
+    )
+    back = hi.logged(hi.changes_back(log, key, 0, 2), "RESTORE 0", "2024-01-03 00:00:00")
+    # Repeated rows of a log, as after a commit sent twice, change no state.
+    full = log.unionByName(back)
+    for one in (full, full.unionByName(back)):
+        assert rows(hi.state_at(one, key, 0), *target.columns) == rows(target)
+        assert rows(hi.state_at(one, key, at="2024-01-01 12:00:00"), *target.columns) == rows(target)
+        assert rows(hi.state_at(one, key, 1), *target.columns) == rows(after)
+        assert rows(hi.state_at(one, key), *target.columns) == rows(target)
+    assert hi.state_at(full, key, at="2023-01-01 00:00:00").count() == 0
+    assert hi.state_at(full.limit(0), key).count() == 0
+    assert rows(hi.history(full), "snapshot_version", "operation", "rows", "inserted", "updated", "deleted") == [
         (0, "WRITE", 4, 0, 0, 0),
         (1, "MERGE", 5, 1, 2, 0),
         (2, "RESTORE 0", 4, 0, 2, 1),
     ]
-    # A commit repeated after a failure replaces its own version only.
-    s.commit(s.as_of(0), 2, "2024-01-03 00:00:00", "RESTORE 0")
-    assert s.all().count() == 13
 
 
 def test_upsert_rewrites_only_touched_partitions(spark, rows):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import history
 from tidemark.operators.joins import latest_by
 from tidemark.operators.mutation import (
     apply_changes,
@@ -15,7 +16,6 @@ from tidemark.operators.mutation import (
     update_where,
     upsert_partitions,
 )
-from tidemark.operators.snapshots import Snapshots
 from tidemark.plans.inputs import BRONZE, bronze_events
 from tidemark.plans.registry import query
 
@@ -158,26 +158,31 @@ def applied(t):
     return apply_changes(stored(t), feed(t), ["event_id"])
 
 
-def order_snapshots(t) -> Snapshots:
-    """Three versions: stored, after the upsert, after the removal of early errors."""
-    snaps = Snapshots(t.spark, t.folder("snapshots"), t.events.select(*COLS).schema)
-    snaps.commit(stored(t), 0, "2024-02-01 00:00:00", "WRITE")
-    snaps.commit(merge_upsert(snaps.as_of(0), arriving(t), ["event_id"]), 1, "2024-02-02 00:00:00", "MERGE")
-    early = F.col("ts") < F.lit(ARRIVING_FROM).cast("timestamp_ntz")
-    gone = delete_where(snaps.as_of(1), (F.col("event_type") == "error") & early)
-    snaps.commit(gone, 2, "2024-02-03 00:00:00", "DELETE")
-    return snaps
+def event_log(t):
+    """Change log of three commits, stored by version: load, upsert, removal of early errors."""
+    first, merged = stored(t), merge_upsert(stored(t), arriving(t), ["event_id"])
+    commits = [
+        history.logged(history.as_load(first), "WRITE", "2024-02-01 00:00:00"),
+        history.logged(change_feed(first, merged, ["event_id"], 1), "MERGE", "2024-02-02 00:00:00"),
+        history.logged(change_feed(merged, current(t), ["event_id"], 2), "DELETE", "2024-02-03 00:00:00"),
+    ]
+    path = t.folder("change-log")
+    for commit in commits:
+        commit.write.mode("append").partitionBy("_commit_version").parquet(path)
+    return t.spark.read.schema(commits[0].schema).parquet(path)
 
 
 @query("read_as_of", MERGED)
 def read_as_of(t):
-    return order_snapshots(t).as_of_time("2024-02-02 12:00:00")
+    return history.state_at(event_log(t), ["event_id"], at="2024-02-02 12:00:00").select(*COLS)
 
 
 @query("restore_version", STORED)
 def restore_version(t):
-    snaps = order_snapshots(t)
-    return snaps.as_of(snaps.restore(0, "2024-02-04 00:00:00"))
+    """The state after a fourth commit that takes the table back to the first one."""
+    log = event_log(t)
+    back = history.logged(history.changes_back(log, ["event_id"], 0, 3), "RESTORE 0", "2024-02-04 00:00:00")
+    return history.state_at(log.unionByName(back), ["event_id"]).select(*COLS)
 
 
 @query(
@@ -191,7 +196,7 @@ def restore_version(t):
     UNION ALL SELECT 2, 'DELETE', (SELECT count(*) FROM c), 0, 0, (SELECT count(*) FROM m ANTI JOIN c USING (event_id))""",
 )
 def snapshot_history(t):
-    return order_snapshots(t).history(["event_id"])
+    return history.history(event_log(t))
 
 
 @query(
