@@ -213,6 +213,12 @@ def test_changed_types_are_widened_or_refused():
     ddl = StructType.fromDDL
     assert inc.evolve(ddl("a int, b string"), ddl("a bigint")) == ddl("a bigint, b string")
     assert inc.evolve(ddl("a double"), ddl("a int")) == ddl("a double")
+    assert inc.evolve(ddl("a float"), ddl("a smallint")) == ddl("a double")
     for mode in ("add", "ignore", "fail"):
+        # 2^53 + 1 is a bigint that no double holds.
+        with pytest.raises(inc.SchemaChanged, match="a from bigint to double"):
+            inc.evolve(ddl("a bigint"), ddl("a double"), mode)
+        with pytest.raises(inc.SchemaChanged, match="a from float to bigint"):
+            inc.evolve(ddl("a float"), ddl("a bigint"), mode)
         with pytest.raises(inc.SchemaChanged, match="a from bigint to string"):
             inc.evolve(ddl("a bigint"), ddl("a string"), mode)

@@ -69,15 +69,18 @@ def wider(stored: DataType, arriving: DataType) -> DataType | None:
     at = [[i for i, k in enumerate(ranked) if isinstance(x, k)] for x in (stored, arriving)]
     if all(at):
         return max((stored, arriving), key=lambda x: ranked.index(type(x)))
+    # A double has 53 bits: room for every number of up to 32, not for a bigint.
     floats = [isinstance(x, (FloatType, DoubleType)) for x in (stored, arriving)]
-    return DoubleType() if all(f or a for f, a in zip(floats, at)) else None
+    whole = [bool(a) and a[0] < ranked.index(LongType) for a in at]
+    return DoubleType() if all(f or w for f, w in zip(floats, whole)) else None
 
 
 def evolve(stored: StructType, arriving: StructType, mode: str = "add") -> StructType:
     """Schema after new columns arrive: ``add`` appends them, ``ignore`` leaves them out, ``fail`` raises.
 
-    A known column whose type changed is widened among numbers in mode ``add``;
-    any other change of type raises in every mode, for the values would be lost.
+    A known column whose type changed is widened among numbers in mode ``add``
+    where no digit is lost; any other change of type, bigint and double as well,
+    raises in every mode.
     """
     if mode not in ("add", "fail", "ignore"):
         raise ValueError(f"unknown mode {mode!r}")
