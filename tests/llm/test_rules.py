@@ -47,6 +47,18 @@ def test_judged(shipped, monkeypatch, blocks):
     assert got == {i: by_hand(u, rules) for i, u, *_ in rows}
 
 
+def test_many_path_lengths_of_one_host(shipped):
+    """Rules of every length, in no order, several of the same length, and a host inside the host."""
+    rng = random.Random(7)
+    paths = ["/" + "".join(rng.choice("ab/") for _ in range(i % 40)) for i in range(120)]
+    given = {("com", p): rng.choice(["allow", "block"]) for p in paths} | {("a.com", p): "block" for p in paths[::7]}
+    rules = [(h, p, v) for (h, p), v in given.items()]
+    urls = [f"http://{h}{rng.choice(paths)[: rng.randint(1, 40)]}ab" for h in ("com", "a.com", "b.a.com") for _ in range(200)]
+    pages = shipped.createDataFrame([(i, u, "h", "k", 0, 0) for i, u in enumerate(urls)], PAGES)
+    got = {r.page_id: tuple(r)[1:] for r in urlrules.judged(pages, urlrules.rule_table(shipped, rules)).collect()}
+    assert got == {i: by_hand(u, rules) for i, u in enumerate(urls)}
+
+
 def test_no_pages_and_no_rules(shipped):
     none = shipped.createDataFrame([], PAGES)
     rules = urlrules.rule_table(shipped, [("com", "/", "allow")])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -78,13 +79,14 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: int | None = None
-        stack: list[tuple[str, str, dict[str, str]]] = []  # key, host, path to verdict
+        # Key, host, path to verdict, and the lengths of these paths from the shortest.
+        stack: list[tuple[str, str, dict[str, str], list[int]]] = []
 
         def verdict(path: str) -> tuple[str | None, str]:
             best: tuple[int, int, str, str] | None = None
-            for _, own, paths in stack:
-                for n in sorted({*map(len, paths)}, reverse=True):
-                    found = paths.get(path[:n]) if n <= len(path) else None
+            for _, own, paths, lengths in stack:
+                for n in reversed(lengths[: bisect_right(lengths, len(path))]):
+                    found = paths.get(path[:n])
                     if found is not None:
                         best = max(best or (-1, -1, "", ""), (len(own) + n, len(own), own + path[:n], found))
                         break
@@ -99,8 +101,12 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFr
                     stack.pop()
                 if kind == 0:
                     if not stack or stack[-1][0] != key:
-                        stack.append((key, host, {}))
-                    stack[-1][2][path] = mark
+                        stack.append((key, host, {}, []))
+                    _, _, paths, lengths = stack[-1]
+                    paths[path] = mark
+                    at = bisect_left(lengths, len(path))
+                    if at == len(lengths) or lengths[at] != len(path):
+                        lengths.insert(at, len(path))
                 else:
                     out.append((page_id, host, path, *(verdict(path) if host else (None, default))))
             names, kinds = ("page_id", "host", "path", "rule", "verdict"), (pa.int64(), *[pa.string()] * 4)
