@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import random
 import zlib
 from collections import Counter
@@ -114,6 +115,26 @@ def test_words_as_the_library(words, monkeypatch):
     assert [x.tolist() for x in small.encode_batch(texts[:200])] == want[:200]
 
 
+def test_another_vocabulary_encodes_whole_texts(tmp_path):
+    """Upper case kept, or white space kept: the words in a row would give other ids."""
+    assert wavelet.WordBpe(WORDS).by_word
+    with open(WORDS, encoding="utf-8") as f:
+        settings = json.load(f)
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    for name, change in (("case", {"normalizer": {"type": "NFC"}}), ("blanks", {"pre_tokenizer": plain})):
+        where = tmp_path / f"{name}.json"
+        where.write_text(json.dumps({**settings, **change}), encoding="utf-8")
+        tool, library = wavelet.WordBpe(str(where)), Tokenizer.from_file(str(where))
+        texts = ["", "Two Words\n\tand  MORE", "don't. \u00c9t\u00e9 42"]
+        assert not tool.by_word
+        end = np.array([1], dtype="<u2").tobytes()
+        assert [x.tolist() for x in tool.encode_batch(texts, end)] == [
+            [*library.encode(x, add_special_tokens=False).ids, 1] for x in texts
+        ]
+    with pytest.raises(ValueError):
+        wavelet.WordBpe(WORDS, "<u1")
+
+
 @pytest.mark.parametrize("bits, n", [(16, 20_000), (3, 5000), (20, 9000), (16, 1), (16, 0)])
 def test_wavelet_lookup(bits, n):
     rng = np.random.default_rng(bits + n)

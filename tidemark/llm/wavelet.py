@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -171,11 +172,36 @@ class WaveletShard:
         return values
 
 
+# The steps before the model in vocabularies that are encoded word by word.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def splits_into_words(settings: dict) -> bool:
+    """Whether a vocabulary drops white space, lower-cases and maps bytes as ``WordBpe`` does by itself."""
+    before = (settings.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    split = {"type": "Split", "pattern": {"Regex": WORD_PATTERN}, "behavior": "Removed", "invert": True}
+    return (
+        (settings.get("normalizer") or {}).get("normalizers") == NORMALIZERS
+        and len(before) == 2
+        and before[0] == split
+        and before[1].get("type") == "ByteLevel"
+        and not before[1].get("add_prefix_space")
+        and not before[1].get("use_regex")
+        and settings["model"].get("type") == "BPE"
+        and not settings["model"].get("dropout")
+        and not settings.get("truncation")
+        and not settings.get("padding")
+    )
+
+
 class WordBpe:
-    """Ids of texts by a vocabulary of the tokenizers library that drops white space.
+    """Ids of texts by a vocabulary of the tokenizers library.
 
-    Such a vocabulary cannot join characters across white space, so a text's
-    ids are those of its words in a row, and a word is encoded once per worker.
+    A vocabulary that drops white space cannot join characters across it, so a
+    text's ids are those of its words in a row, and a word is encoded once per
+    worker. Any other vocabulary encodes whole texts by the library. One with
+    ids that ``dtype`` does not hold is an error.
     """
 
     def __init__(self, path: str, dtype: str = "<u2"):
@@ -186,6 +212,10 @@ class WordBpe:
         self.tool.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tool.model
         self.dtype = np.dtype(dtype)
+        if max(self.tool.get_vocab().values(), default=0) > np.iinfo(self.dtype).max:
+            raise ValueError(f"{path} has ids that {dtype} does not hold")
+        with open(path, encoding="utf-8") as f:
+            self.by_word = splits_into_words(json.load(f))
         self.shown = {b: ord(c) for b, c in enumerate(byte_chars())}
         self.known: dict[str, bytes] = {"": b""}
         self.packers: dict[int, Callable[..., bytes]] = {}
@@ -237,6 +267,11 @@ class WordBpe:
     def encode_batch(self, texts: pa.Array | Sequence[str], end: bytes = b"") -> Iterator[np.ndarray]:
         """Ids of each text, with the bytes of ``end`` after them. Each different word of the batch is looked up once."""
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        last = np.frombuffer(end, dtype=self.dtype)
+        if not self.by_word:
+            for e in self.tool.encode_batch_fast(texts.to_pylist(), add_special_tokens=False):
+                yield np.concatenate([np.array(e.ids, dtype=self.dtype), last])
+            return
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         words = split.flatten().dictionary_encode()
         different = pa.ListArray.from_arrays(pa.array([0, len(words.dictionary)], pa.int32()), words.dictionary)
@@ -249,7 +284,6 @@ class WordBpe:
         ends = np.concatenate([[0], np.cumsum(counts)])
         out = ids[np.repeat(begins[codes] - ends[:-1], counts) + np.arange(ends[-1])]
         places = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
-        last = np.frombuffer(end, dtype=self.dtype)
         for a, b in zip(places[:-1].tolist(), places[1:].tolist()):
             yield np.concatenate([out[a:b], last])
 
