@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark.operators.joins import latest_by
 from tidemark.operators.mutation import change_feed
 
-LOGGED = ("_change_type", "_commit_version", "_operation", "_committed_at")
+VERSION = "snapshot_version"
+LOGGED = ("_change_type", VERSION, "_operation", "_committed_at")
 
 
 def logged(feed: DataFrame, operation: str, committed_at: str) -> DataFrame:
-    """A change feed with the name and time of its commit."""
-    return feed.withColumns(
+    """A change feed with the name and time of its commit, its version as ``snapshot_version``."""
+    return feed.withColumnRenamed("_commit_version", VERSION).withColumns(
         {"_operation": F.lit(operation), "_committed_at": F.lit(committed_at).cast("timestamp_ntz")}
     )
 
@@ -32,13 +33,13 @@ def state_at(log: DataFrame, keys: Sequence[str], version: int | None = None, at
     version or time before the first change gives no rows.
     """
     if version is not None:
-        log = log.filter(F.col("_commit_version") <= version)
+        log = log.filter(F.col(VERSION) <= version)
     if at is not None:
         log = log.filter(F.col("_committed_at") <= F.lit(at).cast("timestamp_ntz"))
     effect = log.filter(F.col("_change_type") != "update_preimage")
     # A key deleted and inserted in one version ends with the insert.
     late = F.when(F.col("_change_type") == "delete", 0).otherwise(1)
-    last = latest_by(effect, keys, [F.desc("_commit_version"), late.desc()])
+    last = latest_by(effect, keys, [F.desc(VERSION), late.desc()])
     return last.filter(F.col("_change_type") != "delete").drop(*LOGGED)
 
 
@@ -53,13 +54,13 @@ def history(log: DataFrame) -> DataFrame:
     def kind(name: str):
         return F.count_if(F.col("_change_type") == name)
 
-    per_version = log.groupBy(F.col("_commit_version").alias("snapshot_version"), F.col("_operation").alias("operation")).agg(
+    per_version = log.groupBy(VERSION, F.col("_operation").alias("operation")).agg(
         kind("load").alias("__loaded"),
         kind("insert").alias("inserted"),
         kind("update_postimage").alias("updated"),
         kind("delete").alias("deleted"),
     )
     # One row per version is left.
-    upto = Window.orderBy("snapshot_version")
+    upto = Window.orderBy(VERSION)
     gained = F.col("__loaded") + F.col("inserted") - F.col("deleted")
     return per_version.withColumn("rows", F.sum(gained).over(upto)).drop("__loaded")

@@ -168,7 +168,7 @@ def event_log(t):
     ]
     path = t.folder("change-log")
     for commit in commits:
-        commit.write.mode("append").partitionBy("_commit_version").parquet(path)
+        commit.write.mode("append").partitionBy(history.VERSION).parquet(path)
     return t.spark.read.schema(commits[0].schema).parquet(path)
 
 
