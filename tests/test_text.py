@@ -254,3 +254,17 @@ def test_cosine_and_means(spark):
         vec.cosine(F.array(F.lit(0.0)), F.array(F.lit(1.0))).alias("z"),
     ).first()
     assert abs(r["c"] - 2**-0.5) < 1e-12 and r["z"] is None
+
+
+def test_top_sentences_by_bounds(spark):
+    """Only some words fit the limit; the sentences are those of exact counts."""
+    rows = [(f"g{i % 3}", i, ". ".join(" ".join(f"{'abcdefgh'[(i * j + k * k) % (2 + j)] * (1 + k % 4)}" for k in range(j + 2)) for j in range(1, 7))) for i in range(40)]
+    rows += [(None, 50, "alone here"), ("g9", 51, None), ("g1", 7, rows[7][2])]
+    df = spark.createDataFrame(rows, "source string, doc_id long, text string")
+    spread = df.select("doc_id", F.explode(F.array_distinct(tx.words(F.col("text")))).alias("word")).groupBy("word").agg(F.count("*").alias("docs"))
+    floors = {limit: docs.frequent_words(spread, limit)[0] for limit in (1 << 20, 200, 0)}
+    assert floors[1 << 20] == 0 and 0 < floors[200] <= floors[0]
+    want = sorted(map(tuple, docs.top_sentences(df, "source", "doc_id", "text").collect()), key=repr)
+    assert {r[0] for r in want} >= {"g0", "g1", "g2"}
+    for limit in (200, 0):
+        assert sorted(map(tuple, docs.top_sentences(df, "source", "doc_id", "text", limit=limit).collect()), key=repr) == want

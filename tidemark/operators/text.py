@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from tidemark.functions import text as tx
-from tidemark.operators.joins import broadcast_if_small, latest_by
+from tidemark.operators.joins import BROADCAST_BYTES, broadcast_if_small, latest_by
 from tidemark.session import settle
 
 
@@ -97,11 +97,34 @@ def keyword_class(df: DataFrame, key: str, text: str, keywords: DataFrame, defau
     return df.select(key).join(best, key, "left").fillna(default, ["category"]).fillna(0, ["hits"])
 
 
-def top_sentences(df: DataFrame, group: str, doc_id: str, text: str, min_words: int = 5) -> DataFrame:
+def frequent_words(spread: DataFrame, limit: int) -> tuple[int, DataFrame]:
+    """A floor, and the words of ``spread(word, docs)`` above it: as many of the commonest as fit ``limit`` bytes.
+
+    The floor is 0 when all fit, else one less than a power of two. At most one row per power reaches the driver.
+    """
+    power = F.floor(F.log2("docs")).cast("int").alias("power")
+    sizes = spread.groupBy(power).agg(F.sum(F.octet_length("word") + 16).alias("bytes")).orderBy(F.desc("power")).collect()
+    floor, used = 0, 0
+    for r in sizes:
+        used += r["bytes"]
+        if used > limit:
+            floor = 2 ** (r["power"] + 1) - 1
+            break
+    return floor, spread.filter(F.col("docs") > floor)
+
+
+def top_sentences(
+    df: DataFrame, group: str, doc_id: str, text: str, min_words: int = 5, limit: int = BROADCAST_BYTES // 4
+) -> DataFrame:
     """The sentence of each group whose words occur in the most documents on average.
 
     Sentences of ``min_words`` different words come first; a group that has none
     is summed up by a shorter one.
+
+    Words are looked up among the commonest, as many as fit ``limit`` bytes; a
+    word that is not there stands in one to ``floor`` documents, which bounds a
+    sentence's score on both sides. Only sentences that may still be the best of
+    their group are scored by the counts of all their words.
     """
     spread = settle(
         df.select(doc_id, F.explode(F.array_distinct(tx.words(F.col(text)))).alias("word"))
@@ -109,14 +132,29 @@ def top_sentences(df: DataFrame, group: str, doc_id: str, text: str, min_words:
         .agg(F.count(F.lit(1)).alias("docs")),
         "word-spread",
     )
+    key = [group, doc_id, "pos"]
     sent = df.select(group, doc_id, F.posexplode(tx.sentences(F.col(text))).alias("pos", "sentence"))
-    terms = sent.select(group, doc_id, "pos", F.explode(F.array_distinct(tx.words(F.col("sentence")))).alias("word"))
-    scored = (
-        terms.join(broadcast_if_small(spread), "word")
-        .groupBy(group, doc_id, "pos")
-        .agg(F.sum("docs").alias("weight"), F.count(F.lit(1)).alias("n"))
-        .withColumns({"full": F.col("n") >= min_words, "score": F.col("weight") / F.col("n")})
-    )
+
+    def terms(rows: DataFrame) -> DataFrame:
+        return rows.select(*key, F.explode(F.array_distinct(tx.words(F.col("sentence")))).alias("word"))
+
+    floor, frequent = frequent_words(spread, limit)
+    met = terms(sent).join(F.broadcast(frequent), "word", "left").groupBy(*key)
+    known = met.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("weight"), F.count(F.lit(1)).alias("n"), F.count("docs").alias("found"))
+    known = known.withColumn("full", F.col("n") >= min_words)
+    if floor:
+        rare = F.col("n") - F.col("found")
+        low, high = (F.col("weight") + rare * k for k in (1, floor))
+        known = settle(known.select(*key, "full", (low / F.col("n")).alias("low"), (high / F.col("n")).alias("high")), "sentence-bounds")
+        least = known.groupBy(F.col(group).alias("g")).agg(F.max(F.struct("full", "low")).alias("best"))
+        mine = F.col(group).eqNullSafe(F.col("g"))
+        open_ = known.join(broadcast_if_small(settle(least, "sentence-floors")), mine)
+        open_ = open_.filter(F.struct("full", F.col("high").alias("low")) >= F.col("best"))
+        picked = broadcast_if_small(settle(open_.select(*(F.col(c).alias(f"__{c}") for c in key)), "sentences-open"))
+        same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key]
+        exact = terms(sent.join(picked, same, "left_semi")).join(spread, "word").groupBy(*key)
+        known = exact.agg(F.sum("docs").alias("weight"), F.count(F.lit(1)).alias("n")).withColumn("full", F.col("n") >= min_words)
+    scored = known.select(*key, "weight", "n", "full", (F.col("weight") / F.col("n")).alias("score"))
     order = [F.desc("full"), F.desc("score"), F.asc(doc_id), F.asc("pos")]
     best = settle(latest_by(scored, [group], order), "best-sentences")
     # Only the winners fetch their text; stored, they are small enough for Spark to broadcast.
