@@ -83,3 +83,12 @@ def test_odd_inputs(spark):
     assert [r["predicted"] for r in got.orderBy("label").collect()] == ["5", "7"]
     with pytest.raises(ValueError):
         tc.fit_grams(df, "hits", "text", max_labels=1)
+
+
+def test_a_long_text_is_counted_in_pieces(monkeypatch):
+    text = "".join(chr(97 + i * i % 23) for i in range(500)) + "\U0001f600x"
+    whole = Counter(slots_of(text, 3, 64))
+    for piece in (1, 7, 499, 501, 1 << 16):
+        monkeypatch.setattr(tc, "PIECE", piece)
+        assert dict(whole) == {i: n for i, n in enumerate(tc.slot_hits(text, 3, 64).tolist()) if n}
+    assert not tc.slot_hits(None, 3, 64).any() and not tc.slot_hits("ab", 3, 64).any()

@@ -6,7 +6,6 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,6 +15,8 @@ BASE = 31
 SCALE = 10_000
 # Labels whose counts a training task holds before it hands them on.
 HELD = 64
+# Runs of a text that are worked on together.
+PIECE = 1 << 16
 
 
 def gram_slots(text: str | None, n: int, slots: int) -> np.ndarray:
@@ -31,6 +32,14 @@ def gram_slots(text: str | None, n: int, slots: int) -> np.ndarray:
     return found % slots
 
 
+def slot_hits(text: str | None, n: int, slots: int) -> np.ndarray:
+    """Occurrences per slot; a long text is taken in pieces, so its arrays stay small."""
+    hits = np.zeros(slots, dtype=np.int64)
+    for at in range(0, len(text or ""), PIECE):
+        hits += np.bincount(gram_slots(text[at : at + PIECE + n - 1], n, slots), minlength=slots)
+    return hits
+
+
 def gram_counts(df: DataFrame, label: str, text: str, n: int = 3, slots: int = 4096) -> DataFrame:
     """``label, slot, hits``: occurrences per label and slot, documents per label under slot -1.
 
@@ -56,13 +65,13 @@ def gram_counts(df: DataFrame, label: str, text: str, n: int = 3, slots: int = 4
             )
 
         for batch in batches:
-            for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for name, body in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if name not in held:
                     if len(held) == HELD:
                         yield rows()
                     held[name] = np.zeros(slots + 1, dtype=np.int64)
                 held[name][0] += 1
-                held[name][1:] += np.bincount(gram_slots(body, n, slots), minlength=slots)
+                held[name][1:] += slot_hits(body.as_py(), n, slots)
         if held:
             yield rows()
 
@@ -87,16 +96,16 @@ class GramModel:
         """
         labels, prior, weights, n = self.labels, self.prior, self.weights, self.n
 
-        @F.pandas_udf("string")
-        def best(texts: pd.Series) -> pd.Series:
+        @F.arrow_udf("string")
+        def best(texts: pa.Array) -> pa.Array:
             if not labels:
-                return pd.Series([None] * len(texts), dtype=object)
+                return pa.nulls(len(texts), pa.string())
             slots = weights.shape[1]
             picked = []
-            for body in texts:
-                hits = np.bincount(gram_slots(body, n, slots), minlength=slots)
+            for body in texts:  # one text at a time as a Python string
+                hits = slot_hits(body.as_py(), n, slots)
                 picked.append(labels[int(np.argmax(prior + weights @ hits))])
-            return pd.Series(picked, dtype=object)
+            return pa.array(picked, pa.string())
 
         return df.withColumn(out, best(F.col(text).cast("string")))
 
