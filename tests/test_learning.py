@@ -32,3 +32,11 @@ def test_grid_covers_every_setting(spark, family):
     assert len({r["params"] for r in found}) == len(found) == 4
     assert [r["mean_auc"] for r in found] == sorted((r["mean_auc"] for r in found), reverse=True)
     assert all(r["model"] == family and r["mean_auc"] > 0.9 for r in found)
+
+
+def test_grid_prepares_features_once_a_fold(spark, monkeypatch):
+    fits, plain = [], ml.Pipeline.fit
+    monkeypatch.setattr(ml.Pipeline, "fit", lambda self, *a: fits.append(self) or plain(self, *a))
+    df = spark.range(60).select("id", (F.col("id") % 2).cast("int").alias("label"), (F.col("id") % 7).cast("double").alias("x"))
+    assert ml.grid_search(ml.stratified_folds(df, "id", "label", 2), ["x"], "label", folds=2).count() == 4
+    assert len(fits) == 2
