@@ -156,6 +156,35 @@ def test_near_groups_of_a_long_list_of_unlike_texts(spark):
     assert got == [(5, 5, 3), (2000, 5, 3), (2001, 5, 3)]
 
 
+def test_rare_postings_bound_what_two_sets_share(spark):
+    """The bound of a shared posting holds for every pair, and shingles are shuffled twice only."""
+    rng = np.random.default_rng(8)
+    sets = {i: sorted({int(x) for x in rng.zipf(1.3, 40) % 500} | {1000 + i}) for i in range(60)}
+    sets |= {100 + i: sets[i][:-2] + [2000 + i] for i in range(30)}
+    df = spark.createDataFrame(list(sets.items()), "id long, s array<long>")
+    postings = nearcopies.rare_postings(df, 70)
+    plan = postings._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 2
+    x, y = F.col("x"), F.col("y")
+    one, two = (postings.select("h", F.struct("id", "known", "place").alias(k)) for k in "xy")
+    met = one.join(two, "h").filter(x["id"] < y["id"])
+    rows = met.select(x["id"].alias("a"), y["id"].alias("b"), nearcopies.reachable(x, y).alias("most")).collect()
+    common = {(r.a, r.b): len(set(sets[r.a]) & set(sets[r.b])) for r in rows}
+    assert all(common[r.a, r.b] <= r.most for r in rows)
+    assert {(i, 100 + i) for i in range(30) if 100 * (len(sets[i]) - 2) >= 70 * (len(sets[i]) + 1)} <= set(common)
+
+
+def test_only_sets_of_pairs_are_compared(spark, monkeypatch):
+    """Sets of documents without a candidate do not reach the comparison."""
+    seen = []
+    wanted = nearcopies._sets_of
+    monkeypatch.setattr(nearcopies, "_sets_of", lambda n, s: seen.append(wanted(n, s)) or seen[-1])
+    sets = spark.createDataFrame([(i, [i, 7, 8, 9]) for i in range(50)], "id long, s array<long>")
+    pairs = spark.createDataFrame([(3, 4), (4, 5)], "a long, b long")
+    assert nearcopies._verified(pairs, sets, 60).count() == 2
+    assert [sorted(r.id for r in x.collect()) for x in seen] == [[3, 4, 5]]
+
+
 def test_components(spark):
     """A path, a star, a ring and a doubled edge."""
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(8, 60)] + [(200, 201), (201, 202), (202, 200)]

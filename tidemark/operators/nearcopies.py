@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.functions import text as tx
+from tidemark.operators.joins import broadcast_if_small
 from tidemark.session import settle
 
 #: Documents of one shingle that are paired row by row; longer lists are compared in blocks.
@@ -52,27 +53,41 @@ def similar(common: Column, x: Column, y: Column, percent: int) -> Column:
     return 100 * common >= percent * (x + y - common)
 
 
+def reachable(x: Column, y: Column) -> Column:
+    """Most shingles that two postings' sets can have in common, exactly: up to the shared place, and behind it."""
+    rest = F.least(x["known"] - x["place"], y["known"] - y["place"])
+    return F.least(x["place"], y["place"]) + rest
+
+
 def rare_postings(sets: DataFrame, percent: int) -> DataFrame:
-    """``h, id, size``: of each set the rarest shingles, as many as must hit any similar set.
+    """``h, id, size, known, place``: of each set the rarest shingles, as many as must hit any similar set.
 
     Two sets of which ``percent`` is common share one of their first
     ``size - ceil(percent * size / 100) + 1`` shingles in any fixed order; the
     order is by documents, rarest first. Shingles of one document have no
-    partner: they only count in the order.
+    partner: they only count in the order. ``place`` is the place among the
+    ``known`` others. Shingles are dealt and counted in one exchange; the rows
+    of one are its documents, a small share of all rows.
     """
     each = sets.select("id", F.size("s").alias("size"), F.explode("s").alias("h"))
-    repeated = each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    known = each.join(repeated, "h")
+    counted = each.withColumn("n", F.count(F.lit(1)).over(W.partitionBy("h"))).filter("n > 1")
     mine = W.partitionBy("id")
-    place = F.col("size") - F.count(F.lit(1)).over(mine) + F.row_number().over(mine.orderBy("n", "h"))
+    ranked = counted.withColumn("known", F.count(F.lit(1)).over(mine)).withColumn("place", F.row_number().over(mine.orderBy("n", "h")))
     reach = F.col("size") - F.ceil(F.col("size") * percent / F.lit(100)) + 1
-    return known.withColumn("place", place).filter(F.col("place") <= reach).select("h", "id", "size")
+    return ranked.filter(F.col("size") - F.col("known") + F.col("place") <= reach).select("h", "id", "size", "known", "place")
+
+
+def _sets_of(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows of ``sets`` whose id is in the column of ``nodes``: only these are shuffled further on."""
+    return sets.join(broadcast_if_small(settle(nodes.toDF("id").distinct(), "near-nodes")), "id", "left_semi")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The rows of ``pairs(a, b, ...)`` whose full sets are similar."""
-    left = sets.select(F.col("id").alias("a"), F.col("s").alias("s_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("s").alias("s_b"))
+    pairs = settle(pairs, "near-pairs")
+    few = _sets_of(pairs.select("a").union(pairs.select("b")), sets)
+    left = few.select(F.col("id").alias("a"), F.col("s").alias("s_a"))
+    right = few.select(F.col("id").alias("b"), F.col("s").alias("s_b"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("s_a", "s_b"))
     return both.filter(similar(common, F.size("s_a"), F.size("s_b"), percent)).drop("s_a", "s_b")
@@ -124,10 +139,12 @@ def label_links(postings: DataFrame, sets: DataFrame, labels: DataFrame, percent
     open_ = settle(named.join(mixed, "h"), "near-open")
 
     short = open_.filter(F.col("n") <= LIST)
-    left = short.select("h", F.col("id").alias("a"), F.col("label").alias("la"), F.col("size").alias("x"))
-    right = short.select("h", F.col("id").alias("b"), F.col("label").alias("lb"), F.col("size").alias("y"))
-    fits = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & similar(F.least("x", "y"), F.col("x"), F.col("y"), percent)
-    pairs = left.join(right, "h").filter(fits).select("a", "b", "la", "lb").distinct()
+    left = short.select("h", F.struct("id", "label", "size", "known", "place").alias("x"))
+    right = short.select("h", F.struct("id", "label", "size", "known", "place").alias("y"))
+    x, y = F.col("x"), F.col("y")
+    fits = (x["id"] < y["id"]) & (x["label"] != y["label"]) & similar(reachable(x, y), x["size"], y["size"], percent)
+    ends = x["id"].alias("a"), y["id"].alias("b"), x["label"].alias("la"), y["label"].alias("lb")
+    pairs = left.join(right, "h").filter(fits).select(*ends).distinct()
     found = _verified(pairs, sets, percent).select(F.col("la").alias("a"), F.col("lb").alias("b"))
 
     long = open_.filter(F.col("n") > LIST)
@@ -137,7 +154,7 @@ def label_links(postings: DataFrame, sets: DataFrame, labels: DataFrame, percent
     met = dealt.withColumn("other", other).select(
         "h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "label", "size"
     )
-    in_blocks = met.join(sets, "id").groupBy("h", "i", "j").applyInPandas(_block_links(percent), "a long, b long")
+    in_blocks = met.join(_sets_of(long.select("id"), sets), "id").groupBy("h", "i", "j").applyInPandas(_block_links(percent), "a long, b long")
     return found.unionByName(in_blocks).distinct()
 
 
@@ -155,15 +172,21 @@ def near_groups(df: DataFrame, doc_id: str, text: str, percent: int = 70, width:
     pairs. A null text counts as empty; texts without a word are alike.
     """
     source = df.select(F.col(doc_id).alias("id"), tx.shingles(F.coalesce(F.col(text), F.lit("")), width).alias("s"))
-    source = settle(source.withColumn("digest", F.md5(F.to_json(F.array_sort("s")))), "near-sets")
-    first = settle(source.groupBy("digest").agg(F.min("id").alias("first")), "near-firsts")
-    same = source.select("id", "digest").join(first, "digest").select("id", "first")
-    sets = source.join(first, (source["digest"] == first["digest"]) & (source["id"] == first["first"])).select("id", "s")
-    sets = settle(sets.dropDuplicates(["id"]), "near-different")
+    source = source.select("id", "s", F.md5(F.to_json(F.array_sort("s"))).alias("digest"), F.monotonically_increasing_id().alias("row"))
+    source = settle(source, "near-sets")
+    least = source.filter("id IS NOT NULL").groupBy("digest").agg(F.min(F.struct("id", "row")).alias("f"))
+    first = settle(least.select("digest", F.col("f.id").alias("first"), F.col("f.row").alias("row")), "near-firsts")
+    same = source.select("id", "digest").join(first.drop("row"), "digest").select("id", "first")
+    # Of equal sets one row is compared. The others are few or, if not, a shuffle of the rest is small.
+    chosen = first.groupBy("first").agg(F.min("row").alias("row")).select("row")
+    copies = settle(source.select("row").join(chosen, "row", "left_anti"), "near-equal")
+    sets = source.join(broadcast_if_small(copies), "row", "left_anti").select("id", "s")
     postings = settle(rare_postings(sets, percent), "near-postings")
 
-    heads = postings.groupBy("h").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    stars = postings.join(heads, "h").filter("id <> b").select(F.col("id").alias("a"), "b").distinct()
+    heads = postings.groupBy("h").agg(F.min(F.struct("id", "size", "known", "place")).alias("y"), F.count(F.lit(1)).alias("n"))
+    x, y = F.struct("id", "size", "known", "place"), F.col("y")
+    near = (F.col("id") != y["id"]) & similar(reachable(x, y), x["size"], y["size"], percent)
+    stars = postings.join(heads.filter("n > 1"), "h").filter(near).select(F.col("id").alias("a"), y["id"].alias("b")).distinct()
     labels = components(_verified(stars, sets, percent)).withColumnRenamed("node", "id")
     between = components(label_links(postings, sets, labels, percent)).select(F.col("node").alias("label"), F.col("label").alias("top"))
     merged = same.join(labels.withColumnRenamed("id", "first"), "first", "left")
