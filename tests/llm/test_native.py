@@ -33,6 +33,17 @@ def test_base_counts(odd):
     assert got == want
 
 
+@pytest.mark.parametrize("listed", [0, 5_000])
+def test_common_words_in_order(shipped, monkeypatch, listed):
+    """With the set of all languages' words and without it; a word common in another language only does not count."""
+    monkeypatch.setattr(divergence, "LISTED", listed)
+    refs = shipped.createDataFrame([("a", ["der", "\u03bf\u03c2"]), ("b", ["the", "of"]), ("c", None)], "lang string, common array<string>")
+    rows = [("a", ["Der", "THE", "\u039f\u03a3", "der", "rest"]), ("b", ["The", "der", "OF", "the"]), ("c", ["the"]), ("a", [])]
+    df = shipped.createDataFrame(rows, "lang string, w array<string>").join(refs, "lang")
+    got = sorted((r.lang, r.f) for r in df.select("lang", divergence.common_words(refs, F.col("w")).alias("f")).collect() if r.f is not None)
+    assert got == [("a", []), ("a", ["der", "\u03bf\u03c2", "der"]), ("b", ["the", "of", "the"]), ("c", [])]
+
+
 def test_divergence_tells_junk_from_prose(make):
     rng = random.Random(3)
     common = "the of and to in a is that it for on was with be as by this are re at an from".split()
