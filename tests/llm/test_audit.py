@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 from llm import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,6 +233,45 @@ def test_audit(make, monkeypatch, small):
     assert sorted(map(tuple, got.collect())) == audit_by_hand([d[1:] for d in docs], top=30)
 
 
+def test_counts_travel_as_bytes_by_term(make, monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("aBé日xyz") for _ in range(rng.randint(1, 12))) for _ in range(200)]
+    docs = [(i, " ".join(rng.choices(words, k=rng.randint(0, 30))), rng.choice(["en", "de"]), f"s{i % 5}é") for i in range(300)]
+    monkeypatch.setattr(iceberg, "TEXTS", 1000)
+    monkeypatch.setattr(iceberg, "BLOCKS", 1)
+    blocks = iceberg.term_blocks(make(docs))
+    counts = iceberg.group_counts(blocks, iceberg.frequent_terms(blocks, 3))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(lang#" in plan
+    assert not re.search(r"hashpartitioning\([^)]*(source|term)#", plan)  # no row of its own for each count
+    held, groups, langs = Counter(), Counter(), Counter()
+    for _, text, lang, source in docs:
+        found = TERM.findall(brute.lower(text))
+        held.update((lang, x) for x in set(found))
+        groups.update((lang, source, x) for x in found)
+        langs.update((lang, x) for x in found)
+    rows = counts.collect()
+    want = sorted((g, s, x, n, langs[g, x]) for (g, s, x), n in groups.items() if held[g, x] >= 3)
+    assert sorted((r.lang, r.source, r.term, r.n, r.in_lang) for r in rows) == want
+    terms = {(r.lang, r.term) for r in rows}
+    assert len({(r.lang, r.id) for r in rows}) == len({(r.lang, r.term, r.id) for r in rows}) == len(terms)
+
+
+def test_prefixes_are_counted_once_a_document():
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abé") for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    docs = [(" ".join(rng.choices(words, k=rng.randint(0, 12))), rng.choice("xy"), rng.choice("st")) for _ in range(80)]
+    columns = [pa.array([d[i] for d in docs]) for i in range(3)]
+    block = iceberg.Block.of(pa.RecordBatch.from_arrays(columns, names=["text", "lang", "source"]))
+    for size in (4, 8, 16):
+        want = Counter()
+        for text, lang, _ in docs:
+            found = {x.encode() for x in TERM.findall(text)}
+            want.update((lang, p) for p in {(x + b"\0")[:size] for x in found if size == 4 or len(x) >= size // 2})
+        got = block.prefix_documents(size, 4).to_pylist()
+        assert {(r["lang"], r["prefix"]): r["n"] for r in got} == want and len(got) == len(want)
+
+
 def test_shares_of_large_counts(shipped):
     counts = [(0, 1), (5, 7), (8_999_999_999, 9_000_000_001), (9_000_000_000, 10**12), (10**15, 3 * 10**15 + 1)]
     df = shipped.createDataFrame(counts, "n bigint, total bigint")
