@@ -1,8 +1,10 @@
 import itertools
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -267,6 +269,36 @@ def test_inverted_file(spark, cloud, monkeypatch, limit):
     assert full >= 0.95 and 0.3 < few <= full
 
 
+def test_search_scores_are_bounded(spark, monkeypatch):
+    """A batch of 10,000 rows beside 4,000 visits of 400 cells: a product of all would take 320 MB."""
+    m = np.random.default_rng(5).normal(size=(10_000, 4))
+    frame = type(spark.range(0))
+    captured, real = [], frame.mapInPandas
+    monkeypatch.setattr(frame, "mapInPandas", lambda self, f, schema: captured.append(f) or real(self, f, schema))
+    visits = spark.range(4_000).selectExpr(
+        "id % 10 AS query_id", "transform(sequence(0, 3), i -> cast(sin(1 + id % 10 + i * i) AS double)) AS v", "cast(id div 10 AS int) AS c"
+    )
+    q = {r[0]: np.array(r[1]) for r in visits.select("query_id", "v").distinct().collect()}
+    corpus = spark.createDataFrame([(i, v, i % 500) for i, v in enumerate(m[:3_000].tolist())], "id long, v array<double>, c int")
+    got = found(vec.nearest(corpus, "id", "v", visits, 5, cell="c"))
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    held = np.flatnonzero(np.arange(3_000) % 500 < 400)
+    order = {i: sorted(held, key=lambda r: (-round(float(unit[r] @ v / np.linalg.norm(v)), 9), r))[:5] for i, v in q.items()}
+    assert got == order
+
+    def peak(work):
+        tracemalloc.start()
+        try:
+            work()
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    batch = pd.DataFrame({"id": np.arange(10_000), "v": m.tolist(), "cell": np.arange(10_000) % 500})
+    assert peak(lambda: list(captured[0](iter([batch])))) < 64 << 20
+    assert peak(lambda: vec._closest(m, m[:2_000])) < 64 << 20
+
+
 def test_lateral_topk_keeps_ties_in_order(spark, rows):
     outer = spark.createDataFrame([(1,), (2,), (3,)], "k long")
     inner = spark.createDataFrame([(1, 5, 1), (1, 5, 0), (1, 4, 2), (2, 1, 3)], "k long, v long, id long")

@@ -15,6 +15,8 @@ from tidemark.session import settle
 
 # Query vectors a task may hold; above it both sides are cut into blocks.
 QUERY_BYTES = 16 * 1024 * 1024
+# Scores that are in memory at once, and queries among them.
+SCORES, COLUMNS = 1 << 20, 1 << 10
 
 
 def lateral_topk(
@@ -71,6 +73,25 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return np.take_along_axis(s, order, axis=0), np.take_along_axis(ids, order, axis=0)
 
 
+def _ranked(
+    x: np.ndarray, ids: np.ndarray, q: np.ndarray, k: int, best: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """``_best`` of the products of the rows of ``x`` and of ``q``, and of the ``best`` of the rows before.
+
+    No more than ``SCORES`` products are in memory, however many rows and queries meet.
+    """
+    blocks = []
+    for j in range(0, len(q), COLUMNS):
+        cols = q[j : j + COLUMNS].T
+        kept = best and tuple(b[:, j : j + COLUMNS] for b in best)
+        step = max(1, SCORES // cols.shape[1])
+        for i in range(0, len(x), step):
+            found = _best(x[i : i + step] @ cols, ids[i : i + step], k)
+            kept = _best(*(np.vstack(b) for b in zip(kept, found)), k) if kept else found
+        blocks.append(kept)
+    return tuple(np.hstack(b) for b in zip(*blocks))
+
+
 def _rows(qids: np.ndarray, s: np.ndarray, ids: np.ndarray) -> pd.DataFrame:
     out = pd.DataFrame(
         {"query_id": np.repeat(qids[None, :], len(s), axis=0).ravel(), "id": ids.ravel(), "score": s.ravel()}
@@ -94,10 +115,10 @@ def nearest(
     """The ``k`` most similar corpus vectors of each query, exact.
 
     ``queries(query_id, vector)``. When the query vectors fit ``limit`` bytes
-    every task scores its part of the corpus in one matrix product per batch and
+    every task scores its part of the corpus in matrix products of bounded size and
     hands on only its own ``k`` best per query; otherwise ``nearest_blocks`` is
-    used. Score pairs are never rows. With ``cell`` a query row meets only
-    corpus rows of the same cell. ``decode`` makes the matrix of a batch from
+    used. Score pairs are never rows. With ``cell`` a query row is multiplied only
+    with corpus rows of the same cell. ``decode`` makes the matrix of a batch from
     what is stored, by default unit vectors.
     """
     n, width = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vector)), F.lit(0))).first()
@@ -108,21 +129,22 @@ def nearest(
     if not found:
         return corpus.sparkSession.createDataFrame([], RESULT + ", rank int")
     qids = np.array([r[0] for r in found], dtype=np.int64)
-    q, qcells = _unit([r[1] for r in found]), np.array([r[2] for r in found])
+    q = _unit([r[1] for r in found])
+    asked: dict[int, list[int]] = {}
+    for n, r in enumerate(found):
+        asked.setdefault(r[2], []).append(n)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = None
+        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for pdf in batches:
-            if len(pdf):
-                s = decode(pdf["v"]) @ q.T
-                s[pdf["cell"].to_numpy()[:, None] != qcells[None, :]] = np.nan
-                s, ids = _best(s, pdf["id"].to_numpy(), k)
-                if best is not None:
-                    s, ids = np.vstack([best[0], s]), np.vstack([best[1], ids])
-                    s, ids = _best(s, ids, k)
-                best = (s, ids)
-        if best is not None:
-            yield _rows(qids, *best)
+            for c, rows in pdf.groupby("cell").indices.items():
+                if c in asked:
+                    part = pdf.iloc[rows]
+                    best[c] = _ranked(decode(part["v"]), part["id"].to_numpy(), q[asked[c]], k, best.get(c))
+        if best:
+            out = pd.concat([_rows(qids[asked[c]], *found) for c, found in best.items()])
+            out = out.sort_values(["query_id", "score", "id"], ascending=[True, False, True], na_position="first")
+            yield out.groupby("query_id").head(k)
 
     part = corpus.select(F.col(id).alias("id"), F.col(vector).alias("v"), at).mapInPandas(score, RESULT)
     return topk(part, ["query_id"], [F.desc("score"), F.asc("id")], k, rank="rank")
@@ -172,7 +194,7 @@ def nearest_blocks(
             return pd.DataFrame({"query_id": [], "id": [], "score": []}).astype(
                 {"query_id": "int64", "id": "int64"}
             )
-        s, ids = _best(decode(c["v"]) @ _unit(q["v"]).T, c["id"].to_numpy(), k)
+        s, ids = _ranked(decode(c["v"]), c["id"].to_numpy(), _unit(q["v"]), k)
         return _rows(q["query_id"].to_numpy(), s, ids)
 
     keys = ["cell", "cb", "qb"]
@@ -234,7 +256,14 @@ def _means(x: np.ndarray, n: int, rounds: int, seed: int) -> np.ndarray:
 
 
 def _closest(x: np.ndarray, means: np.ndarray) -> np.ndarray:
-    return ((means * means).sum(axis=1)[None, :] - 2 * x @ means.T).argmin(axis=1)
+    return np.concatenate([far.argmin(axis=1) for far in _distances(x, means)] or [np.empty(0, np.int64)])
+
+
+def _distances(x: np.ndarray, means: np.ndarray) -> Iterator[np.ndarray]:
+    """Squared distances to the means, less the row's own square, by blocks of at most ``SCORES``."""
+    squares, step = (means * means).sum(axis=1)[None, :], max(1, SCORES // max(1, len(means)))
+    for i in range(0, len(x), step):
+        yield squares - 2 * x[i : i + step] @ means.T
 
 
 class InvertedFile:
@@ -288,8 +317,8 @@ class InvertedFile:
             if not len(vectors):
                 return pd.Series([], dtype=object)
             x = np.nan_to_num(_unit(vectors))
-            far = (means * means).sum(axis=1)[None, :] - 2 * x @ means.T
-            return pd.Series(list(np.argsort(far, axis=1, kind="stable")[:, :near].astype(np.int32)))
+            order = [np.argsort(far, axis=1, kind="stable")[:, :near].astype(np.int32) for far in _distances(x, means)]
+            return pd.Series([row for block in order for row in block])
 
         def decode(codes: pd.Series) -> np.ndarray:
             c = np.frombuffer(b"".join(codes), dtype=np.uint8).reshape(len(codes), -1)
