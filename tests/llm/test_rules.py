@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
@@ -203,6 +204,45 @@ def test_long_formats_are_learned_and_found(make):
     assert caught >= 0.9 * 120, caught
 
 
+def test_values_of_other_lengths_are_judged(make):
+    """Labelled values have 20 to 40 characters; those of 10, of 300 and of parts to 3,000 are found by the same format."""
+    rng = random.Random(31)
+    value = lambda n: "".join(rng.choice("BCDFGHJKLMNPQRSTVWXZ23456789") for _ in range(n))
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(3, 14)))
+    rows, hidden = [], {}
+    for i in range(300):
+        shown = f"token: {value(rng.randint(20, 40))}"
+        if i % 3 == 0:
+            hidden[i] = value(10) if i % 9 == 0 else value(300) if i % 9 == 3 else "/".join(value(60) for _ in range(50))
+            shown = f"pwd: {hidden[i]}" if i % 2 else f"client_id={hidden[i]}"
+        rows.append((i, " ".join([word() for _ in range(10)] + [shown] + [word() for _ in range(10)])))
+    texts, caught = dict(rows), {0: 0, 3: 0, 6: 0}
+    for r in secretscan.secrets(make(rows)).collect():
+        spans = [s.split(":") for s in r.spans.split(",") if s.startswith("format")]
+        covered = sum(int(e) - int(s) for _, s, e in spans if texts[r.doc_id][int(s) : int(e)] in hidden.get(r.doc_id, ""))
+        if r.doc_id in hidden:
+            caught[r.doc_id % 9] += covered >= 0.9 * len(hidden[r.doc_id])
+    assert caught[0] >= 17 and caught[3] >= 28 and caught[6] >= 28, caught  # the scores of short ones differ more
+
+
+def test_tails_of_long_runs():
+    """Scores of all tails in one pass, and the spans of a long run, are those of the parts one by one."""
+    rng = random.Random(37)
+    value = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    formats = secretscan.Formats({"assign": [value("ABCD29", rng.randint(8, 20)) for _ in range(100)], "word": [value("etaoin", 9) for _ in range(50)]})
+    model = formats.kinds["assign"][0]
+    run = value("ABCD29e", 90)
+    assert np.allclose(secretscan.tail_scores(model, run), [secretscan.score(model, run[i:]) for i in range(90)])
+    pieces = [value("ABCD29" if rng.random() < 0.7 else "etaoin", rng.randint(6, 30)) for _ in range(120)]
+    run = "".join(p + rng.choice("/=..") for p in pieces) + "ABCD2929"
+    want = []
+    for s, e in secretscan.parts(run):
+        if all(e <= a or b <= s for a, b in want) and formats.fits(run[s:e]):
+            want.append((s, e))
+    assert len(want) > 1 and formats.within(run) == tuple(sorted(want))
+    assert sum(e - s for s, e in formats.within("ABCD2929/" * 30_000)) >= 240_000
+
+
 def test_sample_is_the_least_hashes_of_each_kind(make, monkeypatch):
     rng = random.Random(29)
     runs = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(900)]
